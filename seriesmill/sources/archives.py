@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import logging
 import zipfile
 from collections.abc import Iterator
@@ -231,6 +232,10 @@ def _read_group(spark: SparkSession, files: list[str]) -> DataFrame:
 
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     name = f"part-{TaskContext.get().partitionId():05d}"
+    filled = (batch for batch in batches if batch.num_rows)
+    first = next(filled, None)
+    if first is None:
+        return
     file_system, inner = _locate(folder)
     file_system.create_dir(inner, recursive=True)
     rows, path = 0, f"{inner}/{name}.zip"
@@ -239,7 +244,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
         zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive,
         archive.open(f"{name}.csv", "w", force_zip64=True) as member,
     ):
-        for batch in batches:
+        for batch in itertools.chain([first], filled):
             lines = batch.to_pandas().to_csv(index=False, header=rows == 0)
             member.write(lines.encode("utf-8"))
             rows += batch.num_rows
@@ -252,6 +257,6 @@ def write_archives(df: DataFrame, folder: str) -> DataFrame:
     """One archive per partition of a text frame; returns the written files.
 
     The name depends on the partition only, so a repeated task replaces its file.
-    Partitions must not be empty: an archive without a header is not a series file.
+    An empty partition writes nothing.
     """
     return df.mapInArrow(lambda batches: _write_part(batches, folder), "archive string, rows bigint")

@@ -21,18 +21,24 @@ def canonical_columns(df: DataFrame, spellings: dict[str, str] = schema.HEADER_S
     has a value wins. Missing columns become NULL, unknown ones drop.
     """
     sources: dict[str, list[str]] = {name: [] for name in schema.SERIES_COLUMNS}
-    for column in df.columns:
-        name = spellings.get(column, column)
+    places = {}
+    for place, column in enumerate(df.columns):
+        # By place, because names that differ in case only are ambiguous to Spark.
+        places[f"c{place}"] = name = spellings.get(column, column)
         if name in sources:
-            sources[name].append(column)
+            sources[name].append(f"c{place}")
+    lineage = [place for place, name in places.items() if name == "_source_file"]
+    df = df.toDF(*places)
 
     def merged(name: str) -> Column:
-        found = [F.col(f"`{column}`") for column in sources[name]]
+        found = [F.col(place) for place in sources[name]]
         value = F.coalesce(*found) if found else F.lit(None)
         return value.cast("string").alias(name)
 
-    extra = ["_source_file"] if "_source_file" in df.columns else []
-    return df.select(*(merged(name) for name in schema.SERIES_COLUMNS), *extra)
+    return df.select(
+        *(merged(name) for name in schema.SERIES_COLUMNS),
+        *(F.col(place).alias("_source_file") for place in lineage),
+    )
 
 
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:
