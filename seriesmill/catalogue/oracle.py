@@ -677,7 +677,7 @@ def oracle_sql() -> dict[str, str]:
     # windows
     q["lag_growth"] = """SELECT *, lag(order_value, 4) OVER w AS one_year_ago, lag(order_value, 8) OVER w AS two_years_ago
     FROM segment_quarters WINDOW w AS (PARTITION BY c_mktsegment ORDER BY period_start_date)"""
-    q["rolling_mean_4"] = f"""SELECT *, {_round('avg(order_value) OVER (PARTITION BY c_mktsegment ORDER BY period_start_date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)', 3)} AS rolling
+    q["rolling_mean_4"] = f"""SELECT *, {_round('avg(order_value) OVER (PARTITION BY c_mktsegment ORDER BY period_start_date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)', 4)} AS rolling
     FROM segment_quarters"""
     q["rank_both"] = _ranked_rows("part", "p_brand", "p_retailprice", "p_partkey, p_brand, p_retailprice")
     q["percent_band"] = f"""SELECT s_suppkey, {_round('p * 100', 0)} AS percentile_pct, {_BAND.format('round(p * 100, 0)', 75, 25)} AS band_rounded,

@@ -665,7 +665,7 @@ def lag_growth(spark, folder):
 def rolling_mean_4(spark, folder):
     """W3."""
     return _segment_quarters(spark, folder).withColumn(
-        "rolling", F.round(windows.rolling_mean("order_value", 4, ["c_mktsegment"]), 3)
+        "rolling", F.round(windows.rolling_mean("order_value", 4, ["c_mktsegment"]), 4)
     )
 
 

@@ -87,16 +87,18 @@ def missing_combinations(
 ) -> DataFrame:
     """(expected label, quarter) pairs that the table lacks.
 
-    The short list of labels is attached to each distinct quarter as an array, so
-    no cross join is planned. Both sides derive from one distinct pass.
+    Each quarter collects which of the expected labels it has (at most as many as
+    the list is long, combined in the map tasks) and returns the others. That
+    equals listing all pairs and removing those present, without planning either
+    the cross join or the anti join.
     """
-    present = df.select(*quarter_columns, column).distinct()
-    wanted = (
-        present.select(*quarter_columns)
-        .distinct()
-        .withColumn(column, F.explode(F.array(*(F.lit(label) for label in expected))))
+    known = F.array(*(F.lit(label) for label in expected))
+    listed = F.when(F.col(column).isin(list(expected)), F.col(column))
+    return (
+        df.groupBy(*quarter_columns)
+        .agg(F.collect_set(listed).alias("_present"))
+        .select(*quarter_columns, F.explode(F.array_except(known, "_present")).alias(column))
     )
-    return wanted.join(present, [*quarter_columns, column], "left_anti")
 
 
 def at_latest_period(df: DataFrame, period: str = "period") -> DataFrame:

@@ -70,7 +70,7 @@ def rank_rows(df: DataFrame, key: str, value: str, cell_width: float) -> DataFra
     """
     cell = F.floor(F.col(value) / F.lit(float(cell_width)))
     values = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & cell.isNotNull())
         .groupBy(F.col(key), F.col(value), cell.alias("_cell"))
         .agg(F.count("*").alias("_n"))
     )
