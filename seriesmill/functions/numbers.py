@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seriesmill.functions.text import strip
+
 # A plain decimal number with optional exponent, or an infinity. Java literals
 # such as `12d` are refused.
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
@@ -12,7 +14,7 @@ _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT
 
 def parse_value(text: Column) -> Column:
     """Text to double; anything that is not a number becomes NULL, never NaN."""
-    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
+    bare = strip(text)
     return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 

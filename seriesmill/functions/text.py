@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from seriesmill.schema import NULL_TOKENS
 
-# Unicode white space and the four ASCII separators, at either end.
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All characters that count as white space in Unicode, with the ASCII separators.
+WHITE_SPACE = "".join(
+    chr(code)
+    for code in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def null_if_token(text: Column, tokens: Sequence[str] = tuple(NULL_TOKENS)) -> Column:

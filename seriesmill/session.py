@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites of column expressions are not recorded, which shortens the
+    # building of plans with many expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from seriesmill import schema
 from seriesmill.functions import numbers, text
 
-_NUMERIC = ("data_value", "magnitude")
-
-
 def canonical_columns(df: DataFrame, spellings: dict[str, str] = schema.HEADER_SPELLINGS) -> DataFrame:
     """One file's columns under their canonical names.
 
@@ -50,16 +47,16 @@ def union_files(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def typed_rows(rows: DataFrame) -> DataFrame:
-    """Parse the numbers, strip the strings, null the missing-value tokens."""
-    cleaned = {}
-    for name in rows.columns:
-        if name == "data_value":
-            cleaned[name] = numbers.parse_value(F.col(name))
-        elif name == "magnitude":
-            cleaned[name] = numbers.parse_magnitude(F.col(name))
-        else:
-            cleaned[name] = text.null_if_token(text.strip(F.col(name)))
-    return rows.select(*(column.alias(name) for name, column in cleaned.items()))
+    """Parse the numbers, strip the strings, null the missing-value tokens.
+
+    Stripping is a projection of its own, because the token test would otherwise
+    evaluate it twice for every value.
+    """
+    stripped = rows.select(*(text.strip(F.col(name)).alias(name) for name in rows.columns))
+    parsers = {"data_value": numbers.parse_value, "magnitude": numbers.parse_magnitude}
+    return stripped.select(
+        *(parsers.get(name, text.null_if_token)(F.col(name)).alias(name) for name in rows.columns)
+    )
 
 
 def with_load_metadata(
