@@ -495,9 +495,7 @@ def _labels(column: str, values: str, severity: str = "error") -> tuple[str, str
 
 _YEARS = _range("year_num", START, 2000, "error")
 _QUARTERS = _labels("quarter_num", "1, 2, 3, 4")
-_WAGES_NOT_POSITIVE = (
-    "private_hourly_wage_nzd <= 0 OR public_hourly_wage_nzd <= 0 OR all_sectors_hourly_wage_nzd <= 0"
-)
+_WAGE_COLUMNS = [f"{s}_hourly_wage_nzd" for s in ("private", "public", "all_sectors")]
 _KEY = ("series_reference", "period")
 
 _CHECKS = {
@@ -784,6 +782,12 @@ def oracle_sql() -> dict[str, str]:
     q["dq_future_periods"] = """SELECT CAST(l_shipdate AS DATE) AS ship_day, count(*) AS future_rows FROM lineitem
     WHERE CAST(l_shipdate AS DATE) > DATE '2001-07-01' GROUP BY 1"""
     rates = "unemployment_rate_pct"
+    implausible = ("implausible_unemployment", rates, "error", f"{rates} > 50 AND employment_rate_pct IS NOT NULL")
+    not_positive = ("wages_positive", ",".join(_WAGE_COLUMNS), "error", " OR ".join(f"{c} <= 0" for c in _WAGE_COLUMNS))
+    rules = {"int_regional": [implausible], "mart_wage": [not_positive]}
+    q["build_and_check"] = _with_status(
+        [_verdicts(table, declared + rules.get(table, [])) for table, declared in _CHECKS.items()]
+    )
     q["dq_singular"] = _with_status(
         [
             _verdicts(
@@ -793,15 +797,7 @@ def oracle_sql() -> dict[str, str]:
                     ("unemployment_above_employment", rates, "error", f"{rates} > employment_rate_pct"),
                 ],
             ),
-            _verdicts(
-                "mart_wage",
-                [(
-                    "wages_positive",
-                    "private_hourly_wage_nzd,public_hourly_wage_nzd,all_sectors_hourly_wage_nzd",
-                    "error",
-                    _WAGES_NOT_POSITIVE,
-                )],
-            ),
+            _verdicts("mart_wage", [not_positive]),
         ]
     )
     age = "CASE WHEN {0} - max({1}) <= INTERVAL 100 DAY THEN 'pass' WHEN {0} - max({1}) <= INTERVAL 200 DAY THEN 'warn' ELSE 'error' END"

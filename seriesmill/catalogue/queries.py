@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seriesmill import schema
 from seriesmill.functions import labels, numbers, periods, text
 from seriesmill.operators import aggregates, filters, joins, policies, quality, snapshots, windows
-from seriesmill.plans import checks, dashboards, ingest, marts, measures, staging
+from seriesmill.plans import build, checks, dashboards, ingest, marts, measures, staging
 from seriesmill.session import scratch_path
 from seriesmill.sources import archives, normalise, testdata
 from seriesmill.sources.tables import TableStore, materialise
@@ -980,6 +980,21 @@ def dq_labels(spark, folder):
     )
 
 
+@query
+def build_and_check(spark, folder):
+    """All models from stored raw tables, then all checks and rules."""
+    store = TableStore(spark, scratch_path(spark, "build"))
+    inputs = {
+        "raw_household": testdata.household(spark, folder),
+        "raw_wages": testdata.wages(spark, folder),
+        "raw_monthly": testdata.monthly(spark, folder),
+    }
+    for name, raw in inputs.items():
+        store.write(raw, name, AS_OF)
+    tables = build.build_models(store, START, AS_OF, WAGE_SCALE, MONEY_SCALE)
+    return build.check_models(tables, START, 2000)
+
+
 # --- policies ---------------------------------------------------------------
 
 ROLES = [policies.ENGINEER, policies.ANALYST, policies.REPORTER, "ADMIN_ROLE"]

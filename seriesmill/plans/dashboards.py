@@ -13,6 +13,14 @@ from seriesmill.functions.text import has
 from seriesmill.operators import aggregates, joins, windows
 
 
+def small_result(df: DataFrame, most: int = 100_000):
+    """A finished report as a pandas frame; refuses anything larger than a report."""
+    rows = df.limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"result has more than {most} rows, aggregate it first")
+    return rows
+
+
 def _unemployment(household_raw: DataFrame, regions: Sequence[str]) -> DataFrame:
     rows = household_raw.filter(
         (F.col("series_title_1") == "Unemployment Rate")

@@ -21,6 +21,22 @@ SETTINGS = {
 }
 
 
+def shuffle_settings(
+    input_bytes: int, shuffled_share: float = 0.1, partition_bytes: int = 128 * 1024**2
+) -> dict[str, str]:
+    """Settings for a cluster session that reads `input_bytes` of raw tables.
+
+    Adaptive execution merges small partitions and splits skewed ones, but it does
+    not cut partitions that are evenly large. The first number of partitions must
+    therefore suit the widest shuffle, which keeps `shuffled_share` of the input.
+    """
+    partitions = max(200, int(input_bytes * shuffled_share) // partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSession:
     """Session for tests and for the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)

@@ -138,10 +138,16 @@ class TableStore:
         return n
 
 
-def materialise(df: DataFrame, name: str, layer: str, store: TableStore | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame,
+    name: str,
+    layer: str,
+    store: TableStore | None = None,
+    at: dt.datetime | None = None,
+) -> DataFrame:
     """Staging models stay views, intermediate models and marts are stored."""
     if layer == "staging" or store is None:
         df.createOrReplaceTempView(name)
         return df
-    store.write(df, name)
+    store.write(df, name, at)
     return store.read(name)

@@ -186,3 +186,25 @@ def test_incremental_landing(spark, tmp_path):
     deliver([("S1", "2025Q1", 1.5, late), ("S2", "2025Q1", 9.0, early)])
     assert land() == [("S1", 1.5), ("S2", 2.0)]
     assert land() == [("S1", 1.5), ("S2", 2.0)]  # nothing new
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from seriesmill.__main__ import SURVEYS, main
+
+    wage = "W,2025Q1,40,Dollars,Hourly Earnings,Private Sector,Mining\n"
+    for survey in SURVEYS:
+        (tmp_path / "in" / survey).mkdir(parents=True)
+        header = "Series_reference,Period,Data_value,UNITS,Series_title_1,Series_title_2,Series_title_3\n"
+        make_archive(tmp_path / "in" / survey / "a.zip", {"a.csv": header + wage})
+    assert main([str(tmp_path / "in"), str(tmp_path / "store")]) == 0
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 3 + 57
+    assert main([str(tmp_path / "nothing"), str(tmp_path / "store")]) == 2
+
+
+def test_small_result_refuses_large_frames(spark):
+    from seriesmill.plans.dashboards import small_result
+
+    assert len(small_result(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError):
+        small_result(spark.range(6), 5)
