@@ -412,8 +412,7 @@ _STEPS["version_now"] = _version(
 _STEPS["both_versions"] = """
   SELECT coalesce(c.series_reference, p.series_reference) AS series_reference, coalesce(c.period, p.period) AS period,
     c.data_value AS current_value, p.data_value AS previous_value,
-    CASE WHEN c.series_reference IS NOT NULL THEN true END AS in_current,
-    CASE WHEN p.series_reference IS NOT NULL THEN true END AS in_previous
+    c.series_reference IS NOT NULL AS in_current, p.series_reference IS NOT NULL AS in_previous
   FROM version_now c FULL OUTER JOIN version_week p ON c.series_reference = p.series_reference AND c.period = p.period"""
 
 
@@ -843,8 +842,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["snapshot_diff"] = f"""SELECT series_reference, period, current_value, previous_value,
       {_round('current_value - previous_value', 4)} AS value_change,
-      CASE WHEN in_previous IS NULL THEN 'NEW ROW' WHEN in_current IS NULL THEN 'ROW DELETED' ELSE 'VALUE CHANGED' END AS change_type
-    FROM both_versions WHERE in_previous IS NULL OR in_current IS NULL OR current_value IS DISTINCT FROM previous_value"""
+      CASE WHEN NOT in_previous THEN 'NEW ROW' WHEN NOT in_current THEN 'ROW DELETED' ELSE 'VALUE CHANGED' END AS change_type
+    FROM both_versions WHERE NOT in_previous OR NOT in_current OR current_value IS DISTINCT FROM previous_value"""
 
     # ingest
     q["normalise_raw"] = _cleaned("NULL")

@@ -123,8 +123,8 @@ def change_type(in_current: Column, in_previous: Column, current: Column, previo
     """C14: decided by presence of the row, so that a NULL value is not taken for a missing row."""
     return ladder(
         [
-            (in_previous.isNull(), "NEW ROW"),
-            (in_current.isNull(), "ROW DELETED"),
+            (~in_previous, "NEW ROW"),
+            (~in_current, "ROW DELETED"),
             (~current.eqNullSafe(previous), "VALUE CHANGED"),
         ],
         "UNCHANGED",

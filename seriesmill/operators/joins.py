@@ -74,8 +74,7 @@ def full_outer_on_keys(
         *(F.coalesce(f"_current_{key}", f"_previous_{key}").alias(key) for key in keys),
         "current_value",
         "previous_value",
-        "in_current",
-        "in_previous",
+        *(F.coalesce(mark, F.lit(False)).alias(mark) for mark in ("in_current", "in_previous")),
     )
 
 

@@ -52,7 +52,8 @@ def _locate(path: str) -> tuple[arrow_fs.FileSystem, str]:
     """Arrow file system and path for a path as Spark prints it."""
     if path.startswith("file:"):
         return arrow_fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return arrow_fs.FileSystem.from_uri(path)
+    # Spark's name of the object-store connector differs from Arrow's.
+    return arrow_fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 @contextmanager

@@ -34,7 +34,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("duration_secs", T.DoubleType()),
     ]
 )
-_COMMITS = "snapshot_ts timestamp_ntz, folder string, rows bigint"
+_COMMITS = "snapshot_ts timestamp_ntz, version string, rows bigint"
 
 
 def utc_now() -> dt.datetime:
@@ -61,7 +61,8 @@ class TableStore:
         written file footers, which a repeated task cannot inflate.
         """
         at = at or utc_now()
-        folder = f"{self.root}/{name}/versions/{at:%Y%m%dT%H%M%S%f}"
+        version = f"{name}/versions/{at:%Y%m%dT%H%M%S%f}"
+        folder = f"{self.root}/{version}"
         if "period" in df.columns:
             by_year = df.withColumn("period_year", periods.year_of(F.col("period")))
             rows = by_year.hint("rebalance", "period_year").sortWithinPartitions(
@@ -71,7 +72,7 @@ class TableStore:
         else:
             df.write.mode("overwrite").parquet(folder)
         n = self.spark.read.parquet(folder).count()
-        self.spark.createDataFrame([(at, folder, n)], _COMMITS).coalesce(1).write.mode(
+        self.spark.createDataFrame([(at, version, n)], _COMMITS).coalesce(1).write.mode(
             "append"
         ).parquet(self._commit_path(name))
         return n
@@ -86,7 +87,7 @@ class TableStore:
         known = [v for v in self.versions(name) if as_of is None or v.snapshot_ts <= as_of]
         if not known:
             raise LookupError(f"table {name} has no version at {as_of}")
-        return self.spark.read.parquet(known[-1].folder)
+        return self.spark.read.parquet(f"{self.root}/{known[-1].version}")
 
     def read_offset(self, name: str, seconds: int, now: dt.datetime | None = None) -> DataFrame:
         """The table as it was `seconds` ago."""
