@@ -677,7 +677,7 @@ def oracle_sql() -> dict[str, str]:
     FROM int_regional r LEFT JOIN (SELECT * FROM int_regional WHERE region IN ('New Zealand', 'Auckland Region')) b
       ON r.period_start_date = b.period_start_date WHERE r.region NOT IN ('New Zealand', 'Auckland Region')"""
     q["full_outer_diff"] = _columns("both_versions")
-    q["year_ago_join"] = """SELECT a.c_mktsegment, a.period_start_date, a.order_value, b.order_value AS by_join, b.order_value AS by_window
+    q["year_ago_join"] = """SELECT a.c_mktsegment, a.period_start_date, a.order_value, b.order_value AS by_shift, b.order_value AS by_window
     FROM segment_quarters a LEFT JOIN segment_quarters b
       ON a.c_mktsegment = b.c_mktsegment AND b.period_start_date = a.period_start_date - INTERVAL 12 MONTH"""
     regions = ", ".join(

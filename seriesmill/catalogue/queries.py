@@ -613,10 +613,10 @@ def full_outer_diff(spark, folder):
 
 @query
 def year_ago_join(spark, folder):
-    """J4 by window and by join side by side."""
+    """J4 by window and by shifted rows side by side."""
     rows = _segment_quarters(spark, folder)
-    joined = joins.year_ago_by_join(rows, ["c_mktsegment"], "order_value", "by_join")
-    return joined.withColumn(
+    shifted = joins.year_ago_by_shift(rows, ["c_mktsegment"], "order_value", "by_shift")
+    return shifted.withColumn(
         "by_window", windows.months_back("order_value", 12, ["c_mktsegment"])
     )
 
@@ -853,13 +853,10 @@ def kpi_gap_lights(spark, folder):
 @query
 def kpi_by_year(spark, folder):
     """Sliced by region, date range and year."""
-    mart = _region_mart(spark, folder)
-    sliced = filters.slice_rows(
-        mart, ["Auckland Region", "Otago Region"], "1999-01-01", "2000-12-31"
-    )
-    one_year = filters.slice_rows(mart, year=1998)
-    both = sliced.unionByName(one_year)
-    return measures.average_gap(both, ["year_num"], RATE_SCALE)
+    regions = ["Auckland Region", "Otago Region"]
+    chosen = filters.slicer(regions, "1999-01-01", "2000-12-31") | filters.slicer(year=1998)
+    mart = _region_mart(spark, folder).filter(chosen)
+    return measures.average_gap(mart, ["year_num"], RATE_SCALE)
 
 
 # --- data checks ------------------------------------------------------------
@@ -1022,16 +1019,13 @@ def mask_values(spark, folder):
 @query
 def rows_for_role(spark, folder):
     """R2: rows per region that each role sees."""
-    counted = testdata.household(spark, folder).groupBy("series_title_3").agg(
-        F.count("*").alias("n")
-    )
-    parts = [
-        policies.rows_for(counted, role).select(F.lit(role).alias("role"), "*") for role in ROLES
+    region = F.col("series_title_3")
+    counted = testdata.household(spark, folder).groupBy(region).agg(F.count("*").alias("n"))
+    per_role = [
+        F.struct(F.lit(role).alias("role"), policies.may_see(region, role).alias("visible"))
+        for role in ROLES
     ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united
+    return counted.select(region, "n", F.inline(F.array(*per_role))).filter("visible").drop("visible")
 
 
 @query
@@ -1042,18 +1036,17 @@ def layers_for_role(spark, folder):
         "staging": _wages(spark, folder, industries=False),
         "mart": _wage_mart(spark, folder),
     }
+
+    def readers(layer):
+        return F.array(*(F.lit(r) for r in ROLES if layer in policies.layers_for(r)))
+
     lines = [
-        policies.published(df, layer, role).agg(F.count("*").alias("n")).select(
-            F.lit(role).alias("role"), F.lit(layer).alias("layer"), "n"
-        )
-        for role in ROLES
+        policies.published(df, layer, policies.ENGINEER)
+        .agg(F.count("*").alias("n"))
+        .select(F.explode(readers(layer)).alias("role"), F.lit(layer).alias("layer"), "n")
         for layer, df in layers.items()
-        if layer in policies.layers_for(role)
     ]
-    united = lines[0]
-    for line in lines[1:]:
-        united = united.unionByName(line)
-    return united
+    return normalise.union_files(lines)
 
 
 # --- snapshots --------------------------------------------------------------

@@ -48,22 +48,21 @@ def monthly_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(periods.is_monthly(F.col("period")))
 
 
-def slice_rows(
-    df: DataFrame,
+def slicer(
     regions: Sequence[str] | None = None,
     first_date: str | None = None,
     last_date: str | None = None,
     year: int | None = None,
     date_column: str = "period_start_date",
-) -> DataFrame:
-    """Region, date-range (inclusive) and year slicers."""
-    date = F.col(date_column)
+) -> Column:
+    """Region, date-range (inclusive) and year slicers as one condition."""
+    date, chosen = F.col(date_column), F.lit(True)
     if regions is not None:
-        df = df.filter(F.col("region").isin(list(regions)))
+        chosen = chosen & F.col("region").isin(list(regions))
     if first_date is not None:
-        df = df.filter(date >= F.lit(first_date).cast("date"))
+        chosen = chosen & (date >= F.lit(first_date).cast("date"))
     if last_date is not None:
-        df = df.filter(date <= F.lit(last_date).cast("date"))
+        chosen = chosen & (date <= F.lit(last_date).cast("date"))
     if year is not None:
-        df = df.filter(F.year(date) == year)
-    return df
+        chosen = chosen & (F.year(date) == year)
+    return chosen

@@ -112,11 +112,29 @@ def star_by_date(facts: DataFrame, wages: DataFrame, columns: Sequence[str]) ->
     )
 
 
-def year_ago_by_join(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """J4 as an equi join, for tables too large for one window partition per key."""
-    earlier = df.select(
-        *keys,
-        F.add_months("period_start_date", 12).alias("period_start_date"),
-        F.col(value).alias(name),
+def year_ago_by_shift(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, date: str = "period_start_date"
+) -> DataFrame:
+    """J4 for keys with more dates than one window partition should hold.
+
+    Needs one row per key and date. Every row is sent to its own date and, as the
+    earlier value, to the date a year later; both meet by aggregation. That equals
+    the left self join on the shifted date with one scan and one shuffle, and no
+    group holds more than two rows.
+    """
+    missing = F.lit(None).cast(df.schema[value].dataType)
+    here = F.struct(
+        F.col(date).alias("_at"), F.col(value).alias("_now"), missing.alias("_then"),
+        F.lit(True).alias("_own"),
+    )
+    later = F.struct(
+        F.add_months(date, 12).alias("_at"), missing.alias("_now"), F.col(value).alias("_then"),
+        F.lit(False).alias("_own"),
+    )
+    met = (
+        df.select(*keys, F.inline(F.array(here, later)))
+        .groupBy(*keys, "_at")
+        .agg(F.max("_now").alias(value), F.max("_then").alias(name), F.max("_own").alias("_own"))
     )
-    return df.join(earlier, [*keys, "period_start_date"], "left")
+    earlier = F.when(F.col("_at").isNotNull(), F.col(name))
+    return met.filter("_own").select(*keys, F.col("_at").alias(date), value, earlier.alias(name))

@@ -42,18 +42,21 @@ def is_national(region: Column) -> Column:
     return flag(has(region, "New Zealand")) | flag(has(region, "Total")) | region.isNull()
 
 
+def may_see(region: Column, role: str, allowed: Sequence[str] = FULL_ACCESS) -> Column:
+    """R2 as a condition: everything, national rows for reporters, nothing for other roles."""
+    if role in allowed:
+        return F.lit(True)
+    return is_national(region) if role == REPORTER else F.lit(False)
+
+
 def rows_for(
     df: DataFrame,
     role: str,
     column: str = "series_title_3",
     allowed: Sequence[str] = FULL_ACCESS,
 ) -> DataFrame:
-    """R2: all rows, national rows for reporters, none for any other role."""
-    if role in allowed:
-        return df
-    if role == REPORTER:
-        return df.filter(is_national(F.col(column)))
-    return df.filter(F.lit(False))
+    """R2 on a table."""
+    return df.filter(may_see(F.col(column), role, allowed))
 
 
 def layers_for(role: str) -> tuple[str, ...]:

@@ -66,6 +66,22 @@ def test_null_dates_sort_last(spark):
     assert sorted(rows_of(back)) == [(1.0, None), (2.0, 1.0), (9.0, 2.0)]
 
 
+def test_year_ago_by_shift(spark):
+    days = [dt.date(2024, 1, 1), dt.date(2024, 4, 1), dt.date(2025, 1, 1), None]
+    df = spark.createDataFrame(
+        [("a", d, float(i)) for i, d in enumerate(days)] + [("b", days[2], None)],
+        "k string, period_start_date date, v double",
+    )
+    shifted = joins.year_ago_by_shift(df, ["k"], "v", "before")
+    assert sorted(rows_of(shifted, "k", "v", "before"), key=str) == [
+        ("a", 0.0, None), ("a", 1.0, None), ("a", 2.0, 0.0), ("a", 3.0, None), ("b", None, None),
+    ]
+    windowed = df.withColumn("before", windows.months_back("v", 12, ["k"]))
+    assert sorted(rows_of(windowed, "k", "v", "before"), key=str) == sorted(
+        rows_of(shifted, "k", "v", "before"), key=str
+    )
+
+
 def test_pivot_keeps_maxima(spark):
     df = spark.createDataFrame([(1, "x", 2.0), (1, "x", 5.0), (1, "y", 3.0), (2, "y", 4.0)], "k int, l string, v double")
     wide = aggregates.pivot_by_value(df, ["k"], "l", {"x": ("x", "v"), "y": ("y", "v")})
@@ -86,6 +102,14 @@ def test_null_in_a_list_never_matches(spark):
     assert df.filter(F.col("sex").isin("Total Both Sexes", "Total")).count() == 1
 
 
+def test_slicer(spark):
+    rows = [(dt.date(2025, 1, 1), "A"), (dt.date(2026, 1, 1), "A"), (dt.date(2026, 4, 1), "B")]
+    df = spark.createDataFrame(rows, "period_start_date date, region string")
+    assert df.filter(filters.slicer()).count() == 3
+    assert df.filter(filters.slicer(["A"], "2026-01-01", "2026-01-01")).count() == 1
+    assert df.filter(filters.slicer(year=2026)).count() == 2
+
+
 # --- checks -----------------------------------------------------------------
 
 
