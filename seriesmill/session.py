@@ -51,9 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
     Only where the session does not name one (local tests) a temporary folder is
     made and remembered in the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.seriesmill.scratch", None)
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.seriesmill.scratch", None)
+    )
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

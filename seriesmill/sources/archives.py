@@ -36,6 +36,7 @@ from seriesmill.sources import normalise
 log = logging.getLogger(__name__)
 
 CHUNK_ROWS = 50_000
+TASK_BYTES = 32 * 1024**2  # unpacked bytes that are worth a task of their own
 PERIOD_HEADERS = ("Period", "period")
 
 _MEMBERS = "archive string, member string, bytes bigint"
@@ -189,8 +190,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     if empty or not good:
         raise ValueError(f"no time-series CSV found in {sorted(empty) or path}")
     chosen = spark.createDataFrame([(r.archive, r.member, r.bytes) for r in good], _MEMBERS)
-    # One member per task.
-    return chosen.repartition(len(good)).mapInArrow(_read_members, schema.TEXT_SCHEMA)
+    # One member per task, unless the members are many and small.
+    by_size = sum(r.bytes for r in good) // TASK_BYTES
+    tasks = min(len(good), max(by_size, spark.sparkContext.defaultParallelism))
+    return chosen.repartition(tasks).mapInArrow(_read_members, schema.TEXT_SCHEMA)
 
 
 def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,17 +202,23 @@ def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             file_system, inner = _locate(path)
             with file_system.open_input_file(inner) as handle:
                 names = next(csv.reader(io.TextIOWrapper(handle, "utf-8-sig", newline="")), [])
-            yield pa.RecordBatch.from_pydict({"file": [path], "names": pa.array([names], pa.list_(pa.string()))})
+            yield pa.RecordBatch.from_pydict(
+                {"file": [path], "names": pa.array([names], pa.list_(pa.string()))}
+            )
 
 
-def read_csv_folder(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_folder(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3 to S7 for unpacked CSV files, with Spark's own splittable reader.
 
     Tasks read the header line of each file. Files with the same header (there is
     a handful of spellings) are read together, and the groups are united under
-    canonical names.
+    canonical names. Set `multi_line` when quoted values hold line breaks; such
+    files cannot be split. A line with too many fields loses the surplus ones here,
+    while an archive member with such a line is left out.
     """
-    headers = _files(spark, path, "*.csv").mapInArrow(_read_headers, "file string, names array<string>")
+    headers = _files(spark, path, "*.csv").mapInArrow(
+        _read_headers, "file string, names array<string>"
+    )
     groups: dict[tuple, list[str]] = {}
     for row in headers.collect():
         is_series = any(name in row.names for name in PERIOD_HEADERS)
@@ -217,18 +226,22 @@ def read_csv_folder(spark: SparkSession, path: str) -> DataFrame:
             groups.setdefault(tuple(row.names), []).append(row.file)
     if not groups:
         raise ValueError(f"no time-series CSV found in {path}")
-    frames = [_read_group(spark, files) for _, files in sorted(groups.items())]
+    frames = [_read_group(spark, files, multi_line) for _, files in sorted(groups.items())]
     return normalise.union_files(frames)
 
 
-def _read_group(spark: SparkSession, files: list[str]) -> DataFrame:
-    rows = spark.read.csv(sorted(files), header=True, inferSchema=False, escape='"')
-    columns = [(name, F.col(f"`{name}`")) for name in rows.columns]
-    rows = rows.select(
-        *(text.null_if_token(column, schema.CSV_MISSING_TOKENS).alias(name) for name, column in columns),
-        F.col("_metadata.file_name").alias("_source_file"),
+def _read_group(spark: SparkSession, files: list[str], multi_line: bool) -> DataFrame:
+    rows = spark.read.csv(
+        sorted(files), header=True, inferSchema=False, escape='"', multiLine=multi_line
+    )
+    named = rows.select("*", F.col("_metadata.file_name").alias("_source_file"))
+    table = normalise.canonical_columns(named)
+    return table.select(
+        *(
+            text.null_if_token(F.col(name), schema.CSV_MISSING_TOKENS).alias(name)
+            for name in table.columns
+        )
     )
-    return normalise.canonical_columns(rows)
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:

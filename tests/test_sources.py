@@ -72,6 +72,13 @@ def test_unreadable_member_is_left_out_whole(spark, folder):
     }
 
 
+def test_header_without_rows_counts_as_series(spark, tmp_path):
+    make_archive(tmp_path / "a.zip", {"a.csv": SERIES, "b.csv": "Time,x\n"})
+    assert archives.read_archives(spark, str(tmp_path)).count() == 0
+    statuses = dict(rows_of(archives.member_manifest(spark, str(tmp_path)), "member", "status"))
+    assert statuses == {"a.csv": "series", "b.csv": "no period column"}
+
+
 @pytest.mark.parametrize("members", [{"readme.txt": "x"}, {"other.csv": "Time\n1\n"}, {"empty.csv": ""}])
 def test_archive_without_series_is_an_error(spark, folder, members):
     make_archive(folder / "c.zip", members)
@@ -79,12 +86,35 @@ def test_archive_without_series_is_an_error(spark, folder, members):
         archives.read_archives(spark, str(folder))
 
 
-def test_many_chunks_and_quoted_line_breaks(spark, tmp_path, monkeypatch):
-    lines = "".join(f'S{i},2025Q1,{i},"F\nx",1,G,x\n' for i in range(1000))
+def test_csv_folder_with_line_breaks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text(SERIES + 'S1,2025Q1,1.5,"F\nx",1,G,x\n')
+    rows = archives.read_csv_folder(spark, str(tmp_path), multi_line=True)
+    assert rows_of(rows, "status") == [("F\nx",)]
+
+
+def test_shared_folder_of_the_session_is_used():
+    from types import SimpleNamespace
+
+    from seriesmill.session import scratch_path
+
+    def session(settings, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        conf = SimpleNamespace(get=settings.get)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    named = session({"spark.checkpoint.dir": "hdfs://shared/tmp/"}, "yarn")
+    assert scratch_path(named, "x").startswith("hdfs://shared/tmp/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session({}, "yarn"), "x")
+
+
+def test_many_chunks_and_quoted_line_breaks(spark, tmp_path):
+    n = 2 * archives.CHUNK_ROWS + 1
+    lines = "".join(f'S{i},2025Q1,{i},"F\nx",1,G,x\n' for i in range(n))
     make_archive(tmp_path / "big.zip", {"big.csv": SERIES + lines})
     rows = archives.read_archives(spark, str(tmp_path))
-    assert rows.count() == 1000
-    assert rows.filter("status = 'F\\nx'").count() == 1000
+    assert rows.filter("status = 'F\\nx'").count() == n
+    assert rows.select("series_reference").distinct().count() == n
 
 
 def test_csv_folder(spark, tmp_path):
