@@ -1,6 +1,6 @@
 """Load archives, build the models, run the checks.
 
-`spark-submit -m seriesmill LANDING STORE` expects the archives of each survey in
+`python -m seriesmill LANDING STORE` expects the archives of each survey in
 a folder of its own below LANDING: household, wages, monthly. The exit status is
 0 when everything loaded, 1 when some sources failed, 2 when none could be read
 or loaded, and 3 when a check of severity error failed.

@@ -780,6 +780,8 @@ def oracle_sql() -> dict[str, str]:
     WHERE l_extendedprice < 1000 OR l_extendedprice > 100000 GROUP BY 1"""
     q["dq_future_periods"] = """SELECT CAST(l_shipdate AS DATE) AS ship_day, count(*) AS future_rows FROM lineitem
     WHERE CAST(l_shipdate AS DATE) > DATE '2001-07-01' GROUP BY 1"""
+    q["dq_duplicates"] = """SELECT series_reference, period, count(*) AS key_rows FROM raw_wages
+    GROUP BY 1, 2 HAVING count(*) > 1"""
     rates = "unemployment_rate_pct"
     implausible = ("implausible_unemployment", rates, "error", f"{rates} > 50 AND employment_rate_pct IS NOT NULL")
     not_positive = ("wages_positive", ",".join(_WAGE_COLUMNS), "error", " OR ".join(f"{c} <= 0" for c in _WAGE_COLUMNS))

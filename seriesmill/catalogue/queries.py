@@ -768,7 +768,8 @@ def dash_wage_rows(spark, folder):
 @query
 def dash_latest_rank(spark, folder):
     """B4."""
-    return dashboards.latest_ranking(_dashboard_household(spark, folder), "2001Q2")
+    ranking = dashboards.latest_ranking(_dashboard_household(spark, folder), "2001Q2")
+    return ranking.orderBy(F.col("unemployment_rate").desc())
 
 
 @query
@@ -928,6 +929,13 @@ def dq_future_periods(spark, folder):
     return quality.future_periods(lines, "ship_day", F.lit(dt.date(2001, 7, 1)))
 
 
+@query
+def dq_duplicates(spark, folder):
+    """Series and periods that the wage table holds more than once."""
+    raw = testdata.wages(spark, folder, industries=False)
+    return quality.duplicate_keys(raw, ["series_reference", "period"])
+
+
 @query
 def dq_singular(spark, folder):
     """D8, D9 and the literal comparison."""

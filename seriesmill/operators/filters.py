@@ -43,9 +43,9 @@ def quarterly_rows(raw: DataFrame, dialect: str = "strict") -> DataFrame:
     return raw.filter(periods.is_quarterly(F.col("period"), dialect))
 
 
-def monthly_rows(raw: DataFrame) -> DataFrame:
+def monthly_rows(raw: DataFrame, dialect: str = "strict") -> DataFrame:
     """P2."""
-    return raw.filter(periods.is_monthly(F.col("period")))
+    return raw.filter(periods.is_monthly(F.col("period"), dialect))
 
 
 def slicer(

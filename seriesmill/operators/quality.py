@@ -108,6 +108,15 @@ def valid_rate(df: DataFrame, column: str, low: float = 0, high: float = 100) ->
     return failing_values(df, between(column, low, high))
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that name more than one row, with their row count.
+
+    Two national labels on one date double the benchmark join, and a snapshot diff
+    expects one row per key; this finds the offending keys beforehand.
+    """
+    return df.groupBy(*keys).agg(F.count("*").alias("key_rows")).filter("key_rows > 1")
+
+
 def future_periods(df: DataFrame, column: str, as_of: Column | None = None) -> DataFrame:
     """Dates after `as_of` (today by default) with their row count."""
     today = F.current_date() if as_of is None else as_of

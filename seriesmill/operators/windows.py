@@ -68,7 +68,11 @@ def rank_rows(df: DataFrame, key: str, value: str, cell_width: float) -> DataFra
     ranks then go back to the rows by an equi join. Rows without a value keep
     NULL ranks.
     """
-    cell = F.floor(F.col(value) / F.lit(float(cell_width)))
+    # Spark orders NaN above all numbers; a cast beyond 64 bits stops at the last cell.
+    last_cell = F.lit(2**63 - 1)
+    cell = F.when(F.isnan(F.col(value).cast("double")), last_cell).otherwise(
+        F.floor(F.col(value) / F.lit(float(cell_width)))
+    )
     values = (
         df.filter(F.col(value).isNotNull() & cell.isNotNull())
         .groupBy(F.col(key), F.col(value), cell.alias("_cell"))

@@ -108,12 +108,13 @@ def stage_wages(
 def stage_monthly(
     raw: DataFrame,
     start_year: int = schema.DEFAULT_START_YEAR,
+    dialect: str = "strict",
     layout: dict[str, str] = schema.MONTHLY_LAYOUT,
     group_name: str | None = None,
 ) -> DataFrame:
     """M3: monthly indicators, one row per series and month."""
     rows = _of_group(_since(raw, start_year), group_name)
-    rows = filters.monthly_rows(rows).filter(filters.valued())
+    rows = filters.monthly_rows(rows, dialect).filter(filters.valued())
     parts = periods.parse_monthly(F.col("period"))
     rows = rows.withColumns(
         {

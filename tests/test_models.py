@@ -85,6 +85,24 @@ def test_partition_column_prunes(raw, spark, tmp_path):
     assert staged.count() == 1
 
 
+def test_monthly_staging(raw):
+    rows = [
+        household_row("2025M3", "Filled jobs", 2.0, magnitude=1000, series_title_4="Actual"),
+        household_row("2025M13", "Paid hours", 1.0, series_title_4="Seasonally adjusted"),
+        household_row("2025M04", "Gross earnings", None),
+        household_row("2026.03", "Gross earnings", 3.0),
+        household_row("2025Q1", "Gross earnings", 3.0),
+    ]
+    columns = ("period", "quarter_num", "period_start_date", "measure_clean", "data_value_actual", "is_seasonally_adjusted")
+    staged = rows_of(staging.stage_monthly(raw(rows)), *columns)
+    assert sorted(staged) == [
+        ("2025M13", 5, None, "Paid hours", 1.0, True),
+        ("2025M3", 1, dt.date(2025, 3, 1), "Filled Jobs", 2000.0, False),
+    ]
+    dotted = rows_of(staging.stage_monthly(raw(rows), dialect="dotted"), *columns)
+    assert ("2026.03", 1, dt.date(2026, 3, 1), "Gross Earnings", 3.0, False) in dotted
+
+
 def pivot_rows():
     return [
         household_row(),

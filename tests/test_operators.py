@@ -41,6 +41,13 @@ def test_rank_rows_with_a_hot_key(spark):
     assert ranked(spark, rows, 2.5) == brute_ranks(rows)
 
 
+def test_rank_rows_with_extreme_values(spark):
+    inf = float("inf")
+    values = [-inf, -1e300, -1.0, 0.0, 1e300, inf, float("nan")]
+    found = ranked(spark, [(i, "k", v) for i, v in enumerate(values)], 0.5)
+    assert [row[2] for row in found] == [1, 2, 3, 4, 5, 6, 7]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(-9, 9)), min_size=1, max_size=30))
 def test_rank_rows_matches_counting(spark, pairs):
