@@ -8,6 +8,7 @@ commit log, so a failed load leaves the previous version in place.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import time
 import uuid
@@ -34,7 +35,10 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("duration_secs", T.DoubleType()),
     ]
 )
-_COMMITS = "snapshot_ts timestamp_ntz, version string, rows bigint"
+_COMMITS = (
+    "snapshot_ts timestamp_ntz, committed_at timestamp_ntz, version string, rows bigint, "
+    "columns string"
+)
 
 
 def utc_now() -> dt.datetime:
@@ -54,6 +58,9 @@ class TableStore:
     def write(self, df: DataFrame, name: str, at: dt.datetime | None = None) -> int:
         """Write a whole new version, then publish it; returns its rows.
 
+        Every write has a folder of its own, so a published version never changes
+        and a plan may read the table that it replaces.
+
         Rows are laid out by year of the period and sorted by period inside the
         files, so a year floor prunes folders and a period filter skips row
         groups. The rebalance hint lets Spark gather small years and split a year
@@ -61,33 +68,34 @@ class TableStore:
         written file footers, which a repeated task cannot inflate.
         """
         at = at or utc_now()
-        version = f"{name}/versions/{at:%Y%m%dT%H%M%S%f}"
+        version = f"{name}/versions/{at:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         folder = f"{self.root}/{version}"
         if "period" in df.columns:
-            by_year = df.withColumn("period_year", periods.year_of(F.col("period")))
-            rows = by_year.hint("rebalance", "period_year").sortWithinPartitions(
-                "period_year", "period"
-            )
-            rows.write.mode("overwrite").partitionBy("period_year").parquet(folder)
+            df = df.withColumn("period_year", periods.year_of(F.col("period")))
+            rows = df.hint("rebalance", "period_year")
+            rows = rows.sortWithinPartitions("period_year", "period")
+            rows.write.partitionBy("period_year").parquet(folder)
         else:
-            df.write.mode("overwrite").parquet(folder)
-        n = self.spark.read.parquet(folder).count()
-        self.spark.createDataFrame([(at, version, n)], _COMMITS).coalesce(1).write.mode(
-            "append"
-        ).parquet(self._commit_path(name))
+            df.write.parquet(folder)
+        n = self.spark.read.schema(df.schema).parquet(folder).count()
+        commit = (at, utc_now(), version, n, df.schema.json())
+        line = self.spark.createDataFrame([commit], _COMMITS)
+        line.coalesce(1).write.mode("append").parquet(self._commit_path(name))
         return n
 
     def versions(self, name: str) -> list:
         """Published versions, oldest first (one small line per load)."""
         commits = self.spark.read.schema(_COMMITS).parquet(self._commit_path(name))
-        return commits.orderBy("snapshot_ts").collect()
+        return commits.orderBy("snapshot_ts", "committed_at").collect()
 
     def read(self, name: str, as_of: dt.datetime | None = None) -> DataFrame:
         """The newest version, or the newest one not after `as_of`."""
         known = [v for v in self.versions(name) if as_of is None or v.snapshot_ts <= as_of]
         if not known:
             raise LookupError(f"table {name} has no version at {as_of}")
-        return self.spark.read.parquet(f"{self.root}/{known[-1].version}")
+        newest = known[-1]
+        columns = T.StructType.fromJson(json.loads(newest.columns))
+        return self.spark.read.schema(columns).parquet(f"{self.root}/{newest.version}")
 
     def read_offset(self, name: str, seconds: int, now: dt.datetime | None = None) -> DataFrame:
         """The table as it was `seconds` ago."""

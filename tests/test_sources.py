@@ -176,6 +176,23 @@ def test_versions_and_layout(spark, tmp_path):
     assert (row._source_name, row._ingested_at, row.period_year) == ("wages", days[1], 2025)
 
 
+def test_a_table_can_be_replaced_by_a_plan_that_reads_it(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    at = dt.datetime(2025, 1, 1)
+    store.write(text_rows(spark, ["S1", "S2"]), "t", at)
+    before = store.read("t")
+    store.write(before.filter("series_reference = 'S1'").drop("period_year"), "t", at)
+    assert store.read("t").count() == 1
+    assert before.count() == 2
+
+
+def test_empty_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert store.load(text_rows(spark, ["S1"]).filter("false"), "raw_wages", "wages") == 0
+    assert store.read("raw_wages").count() == 0
+    assert "data_value" in store.read("raw_wages").columns
+
+
 def test_materialise(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     df = spark.range(3)
