@@ -312,6 +312,23 @@ def test_latest_measure_follows_the_filter(spark):
     ]
 
 
+def test_industry_mart_properties(spark):
+    from seriesmill.catalogue import queries
+
+    mart = queries.mart_industry(spark, "/root/testdata/sf0.001")
+    per_quarter = mart.groupBy("period_start_date").agg(
+        F.count("*").alias("n"),
+        F.max("wage_rank_highest").alias("last"),
+        F.min("wage_rank_highest").alias("first"),
+        F.count_if(F.col("wage_band").isNotNull()).alias("banded"),
+        F.min("wage_percentile_pct").alias("low"),
+        F.max("wage_percentile_pct").alias("high"),
+    )
+    for row in per_quarter.collect():
+        assert row.first == 1 and row.last <= row.n == row.banded
+        assert row.low == 0.0 and row.high <= 100.0
+
+
 def test_marts_scan_each_table_once(spark):
     from seriesmill.catalogue import queries
 
