@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +47,27 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Tasks that run functions of the package import it on the executors, where it
+    is not installed. Spark hands the file out from the driver.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = f"{tempfile.mkdtemp(prefix='seriesmill-code-')}/seriesmill.zip"
+    with zipfile.ZipFile(target, "w") as code:
+        for source in sorted(package.rglob("*.py")):
+            code.write(source, source.relative_to(package.parent))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach, named by `spark.checkpoint.dir`.
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from seriesmill import schema
 from seriesmill.functions import text
+from seriesmill.session import ship_package
 from seriesmill.sources import normalise
 
 log = logging.getLogger(__name__)
@@ -152,6 +153,7 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """Paths below a folder; the file contents are not read."""
+    ship_package(spark)
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -273,4 +275,5 @@ def write_archives(df: DataFrame, folder: str) -> DataFrame:
     The name depends on the partition only, so a repeated task replaces its file.
     An empty partition writes nothing.
     """
+    ship_package(df.sparkSession)
     return df.mapInArrow(lambda batches: _write_part(batches, folder), "archive string, rows bigint")
