@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import decontamination, line_rules, mixing, near_duplicates
+from seriesmill.llm import decontamination, line_rules, mixing, near_duplicates, token_shards
 from seriesmill.llm.scratch import stored
 
 
@@ -32,11 +32,17 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixed_documents(docs)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write token sequences in training order and return where each one stands."""
+    return token_shards.training_order(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("source_mixing", source_mixing),
+    ("token_output", token_output),
 ]
 
 #: SuperMinHash groups and tokens have no SQL form; the stages are tested one by one.

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from seriesmill.llm import decontamination, line_rules, mixing, near_duplicates
+from seriesmill.llm import (
+    decontamination,
+    line_rules,
+    mixing,
+    near_duplicates,
+    passages,
+    quality_model,
+    token_counts,
+    token_shards,
+    url_filter,
+    warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +29,36 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and chance of the best grade of each document, from the labels table."""
+    return quality_model.select_good(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of each page's URL."""
+    return url_filter.judge_urls(_table(spark, folder, "pages"), url_filter.host_has_word())
+
+
+def op4_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    """WARC records of all pages, as read back from the archives, in the order of their index."""
+    return warc.archive_and_index(_table(spark, folder, "pages"))
+
+
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages that occur in two documents or more."""
+    return passages.repeated_passages(_table(spark, folder, "documents"))
+
+
+def op6_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Slot, place and digest of every token sequence, as read back from the shards."""
+    return token_shards.training_order(_table(spark, folder, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of each document before and after personal data is replaced."""
+    return token_counts.masked_counts(_table(spark, folder, "documents"))
+
+
 def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near duplicates by two-word shingles, as the contract of this query says."""
     return near_duplicates.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
@@ -34,7 +74,10 @@ def op10_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(_table(spark, folder, "documents"))
 
 
-_QUERIES = [op1_decontamination, op8_minhash_dedup, op9_source_mixing, op10_line_frequency]
+_QUERIES = [
+    op1_decontamination, op2_quality_classifier, op3_url_filter, op4_warc_index, op5_repeated_passages,
+    op6_training_order, op7_token_counts, op8_minhash_dedup, op9_source_mixing, op10_line_frequency,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

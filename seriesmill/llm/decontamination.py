@@ -109,4 +109,5 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent:
 def without_leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents that contain no test item; a document with a null id is judged with all null ids."""
     leaks = contaminated(docs, items, width, percent).select(F.col("doc_id").alias("_leak")).distinct()
+    leaks = stored(leaks, "leaks")
     return docs.join(leaks, docs.doc_id.eqNullSafe(leaks["_leak"]), "left_anti")

@@ -149,6 +149,11 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with their columns and whole texts; rows of one doc_id are kept if any passes."""
-    good = judge(docs, host).where("kept").select(F.col("doc_id").alias("_good")).distinct()
-    return docs.join(good, docs.doc_id.eqNullSafe(good["_good"]), "left_semi")
+    """The documents that pass, with their columns and whole texts; rows of one doc_id stay if any of them passes.
+
+    The rejected ids are the smaller side of the join, so texts stay where they are
+    wherever Spark finds them small enough to send to the tasks.
+    """
+    ids = judge(docs, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    bad = stored(ids.where("not kept").select(F.col("doc_id").alias("_bad")), "rejected")
+    return docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti")

@@ -257,9 +257,17 @@ def _across(state: DataFrame, percent: int) -> DataFrame:
 def without_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with the columns of `docs`: the one with the smallest doc_id.
 
-    Documents without words are linked with nothing and stay. Of rows that share a
-    doc_id and all other values, one stays; rows that share only the doc_id all stay if
-    it is kept, since they count as one document.
+    Documents without words are linked with nothing and stay. Equal rows are one
+    document, of which one row stays. Rows that share only the doc_id stay or go together.
     """
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept["_kept"]), "left_semi").distinct()
+    judged = stored(near_duplicates(docs, width, percent).groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias("several")
+    ), "kept-documents")
+    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone"))
+    left = docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti")
+    several = judged.where("kept and several").select(F.col("doc_id").alias("_several"))
+    if several.isEmpty():
+        return left
+    # Only rows whose doc_id occurs again are compared as a whole.
+    again = left.doc_id.eqNullSafe(several["_several"])
+    return left.join(several, again, "left_anti").unionByName(left.join(several, again, "left_semi").distinct())
