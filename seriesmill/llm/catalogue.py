@@ -11,6 +11,7 @@ from seriesmill.llm import (
     line_rules,
     mixing,
     near_duplicates,
+    oracle,
     passages,
     quality_model,
     token_counts,
@@ -85,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

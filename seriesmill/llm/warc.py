@@ -345,7 +345,7 @@ def archive_and_index(pages: DataFrame, least_payload: int = LEAST_PAYLOAD) -> D
     """Write all pages as WARC records, read the archives back and merge their index.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to,
-    url_key, captured_at, run, position. A null html is an empty payload, a null url has
+    url_key, captured_at, position. A null html is an empty payload, a null url has
     no target and an empty key, a null page_id is a revisit where another page has its
     payload. Rows that share page_id and payload are recorded alike. An empty table
     writes no archive and gives no rows. Other columns are ignored.
@@ -354,5 +354,5 @@ def archive_and_index(pages: DataFrame, least_payload: int = LEAST_PAYLOAD) -> D
     names = write_archives(captures_of(pages), folder, least_payload)
     index = merged_index(read_index(names, folder))
     return index.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "run", "position"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "position"
     )
