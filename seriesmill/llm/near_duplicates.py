@@ -7,21 +7,25 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesmill.llm import words
 from seriesmill.llm.components import connected_components
-from seriesmill.llm.scratch import map_batches, stored
+from seriesmill.llm.scratch import map_batches, sent_if_small, stored
 
 #: Bands and rows of a band. A pair at similarity 0.8 shares no band with probability
 #: (1 - 0.8 ** 5) ** 32, about 3 in a million; a pair at 0.15 shares one in 1 of 400 cases.
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-#: Pairs that differ in more sketch bits are not compared. A pair at similarity 0.8
-#: differs in 16 of 160 bits on average, and in more than 40 in under 1 of 10^9 cases.
-MOST_BITS = 40
-#: Passes that compare each bucket with one member, before the rest is compared in pairs.
-HUB_PASSES = 2
+#: Sketch bits in which a pair at similarity 0.8 may differ: 16 of 160 on average, more
+#: than LINK_BITS in under 1 of 10^9 cases. A member this near to its bucket's hub in
+#: GROUP_BITS belongs to the hub's group; beyond CORE_BITS it looks for another hub, too.
+#: A linked partner of a member within CORE_BITS is within CORE_BITS + LINK_BITS.
+LINK_BITS, CORE_BITS = 40, 24
+GROUP_BITS = CORE_BITS + LINK_BITS
+#: Hubs that a bucket gets before what is left of it is compared in pairs.
+HUBS = 3
 
 _U = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -118,26 +122,12 @@ def _alike_in_size(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _bits_apart(a: str, b: str) -> Column:
-    apart = [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(-(-SLOTS // 64))]
-    return sum(apart[1:], apart[0])
-
+_SKETCH = [f"sketch{k}" for k in range(-(-SLOTS // 64))]
 
-def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough.
 
-    Only documents that occur in a pair are read again. The two joins deal out pairs, so
-    a document with many partners is split by adaptive execution.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    involved = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(map_batches(involved, _sets(width), "doc_id long, shingles array<long>"), "shingle-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - common
-    return both.where(common * 100 >= union * percent).select("a", "b").distinct()
+def _bits_apart(prefix: str) -> Column:
+    apart = [F.bit_count(F.col(k).bitwiseXOR(F.col(prefix + k))) for k in _SKETCH]
+    return sum(apart[1:], apart[0])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -149,11 +139,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Documents with equal sets form a class, and the class's smallest doc_id stands for
     it from then on, so copies are never compared. Representatives get a SuperMinHash
-    signature, whose bands put them into buckets. Instead of all pairs of a bucket, each
-    member is compared with one hub of the bucket, and union-find joins what is linked.
-    Buckets whose members are all in one component are done. The others get another hub,
-    and in the end the pairs that are still in different components are compared, where
-    size and sketch do not rule them out. A link counts only after a check on full sets.
+    signature, whose bands put them into buckets. Instead of all pairs of a bucket, its
+    members are compared with a hub, and union-find joins what is linked. Where a group
+    around a hub is not one component yet, its other pairs are searched by what each
+    member differs in from the group's middle (see `_by_differences`), which finds every
+    link and again makes no pairs of all members. A link counts only after a check on
+    full sets.
 
     Null or wordless texts have no shingles and are linked with nothing. A text with
     fewer words than a shingle is one shingle. Rows that share a doc_id count as one
@@ -179,79 +170,184 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def _components_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the representatives that are linked with another one."""
-    banded = classes.select(
-        F.posexplode("bands").alias("band", "hash"), F.struct("rep", "n_shingles", "sketch").alias("doc")
-    ).select(F.xxhash64("band", "hash").alias("bucket"), "doc")
-    shared = banded.groupBy("bucket").agg(F.min("doc.rep").alias("least"), F.max("doc.rep").alias("most"))
-    shared = stored(shared.where("least <> most").select("bucket"), "buckets")
-    members = stored(banded.join(shared, "bucket").select("bucket", "doc.*"), "bucket-members")
+    members = _bucket_members(classes)
+    groups, rest = _groups(members)
+    ids = groups.select(F.explode(F.array("hub", "rep")).alias("doc_id")).unionByName(rest.select(F.col("rep").alias("doc_id")))
+    ids = stored(ids.distinct(), "compared-ids")
+    involved = texts.join(sent_if_small(ids), "doc_id", "left_semi").select("doc_id", "text")
+    sets = stored(map_batches(involved, _sets(width), "doc_id long, shingles array<long>"), "shingle-sets")
 
-    links = None
-    state = members.withColumn("component", F.col("rep"))
-    for turn in range(HUB_PASSES + 1):
-        if turn < HUB_PASSES:
-            pairs = _with_hub(state, turn, percent)
-        else:
-            pairs = _across(state, percent)
-        found = stored(_checked(stored(pairs, "candidates"), texts, width, percent), "links")
-        links = found if links is None else links.unionByName(found)
+    near = groups.where((F.col("bits") <= LINK_BITS) & _alike_in_size("n_shingles", "hub_n", percent))
+    compared = stored(_compared(near.select(*_pair("rep", "hub")).distinct(), sets), "compared")
+    links = compared.where(_linked(percent)).select("a", "b")
+    components = connected_components(links)
+
+    unsettled = _unsettled(groups.select("hub", "rep"), "hub", components)
+    more = rest_pairs = None
+    if not unsettled.isEmpty():
+        middles = stored(_middles(unsettled, compared), "middles")
+        differences = stored(_differences(middles, sets), "differences")
+        near_middle = differences.where(_near_middle(percent)).select(*_pair("rep", "middle"))
+        links = links.unionByName(near_middle)
         components = connected_components(links)
-        if turn < HUB_PASSES:
-            labelled = members.join(components, F.col("rep") == F.col("node"), "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "rep")).drop("node")
-            state = stored(_unsettled(labelled), "unsettled")
-            if state.isEmpty():
-                break
-    return components
-
-
-def _unsettled(labelled: DataFrame) -> DataFrame:
-    """Members of the buckets that hold an untested pair, i.e. three or more and two components."""
-    counts = labelled.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
-    )
-    open_buckets = stored(counts.where("low <> high and members > 2").select("bucket"), "open-buckets")
-    return labelled.join(open_buckets, "bucket")
+        more = _by_differences(differences, components, percent)
+    if not rest.isEmpty():
+        rest_pairs = _across(rest, components, percent)
+    if more is None and rest_pairs is None:
+        return components
+    pairs = more if rest_pairs is None else rest_pairs if more is None else more.unionByName(rest_pairs)
+    pairs = stored(pairs.distinct(), "last-pairs")
+    last = stored(_compared(pairs, sets).where(_linked(percent)).select("a", "b"), "last-links")
+    return components if last.isEmpty() else connected_components(links.unionByName(last))
+
+
+def _bucket_members(classes: DataFrame) -> DataFrame:
+    """(bucket, rep, n_shingles, sketch) of the buckets with two representatives or more."""
+    banded = classes.select(F.posexplode("bands").alias("band", "hash"), "rep")
+    banded = banded.select(F.xxhash64("band", "hash").alias("bucket"), "rep")
+    shared = banded.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
+    shared = stored(shared.where("least <> most").select("bucket"), "buckets")
+    sketches = [F.col("sketch")[k].alias(name) for k, name in enumerate(_SKETCH)]
+    members = banded.join(shared, "bucket").join(classes.select("rep", "n_shingles", *sketches), "rep")
+    return stored(members, "bucket-members")
+
+
+def _groups(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups (hub, rep, hub_n, n_shingles, bits) and the members that no group settles.
+
+    Each bucket's smallest member is its first hub. Members outside its core choose
+    the next hub among themselves, and so on. Two members that are linked are in a
+    common group if either is in the core of a hub, since the other is then in its
+    group. What is left after HUBS hubs comes back with the hubs whose group it is in.
+    """
+    pool, groups = members.withColumn("seen", F.lit(0)), None
+    for turn in range(HUBS):
+        hub = F.min(F.struct("rep", "n_shingles", *_SKETCH)).alias("hub")
+        hubs = pool.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("members")).where("members > 1")
+        names = {"rep": "hub", "n_shingles": "hub_n"} | {k: f"hub_{k}" for k in _SKETCH}
+        hubs = stored(hubs.select("bucket", "hub.*").withColumnsRenamed(names), "hubs")
+        tested = pool.join(hubs, "bucket").where("rep <> hub").withColumn("bits", _bits_apart("hub_"))
+        tested = stored(tested.drop(*[f"hub_{k}" for k in _SKETCH]), "hub-distances")
+        own = tested.where(F.col("bits") <= GROUP_BITS).select("hub", "rep", "hub_n", "n_shingles", "bits").distinct()
+        groups = own if groups is None else groups.unionByName(own)
+        seen = F.col("seen") + F.when(F.col("bits") <= GROUP_BITS, 1 << turn).otherwise(0)
+        pool = tested.where(F.col("bits") > CORE_BITS).withColumn("seen", seen).select(members.columns + ["seen"])
+    several = pool.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
+    rest = pool.join(stored(several, "rest-buckets"), "bucket")
+    return stored(groups.distinct(), "groups"), stored(rest, "rest")
 
 
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _plausible(percent: int) -> Column:
-    return (
-        (F.col("component") != F.col("hub_component"))
-        & _alike_in_size("n_shingles", "hub_n", percent)
-        & (_bits_apart("sketch", "hub_sketch") <= MOST_BITS)
-    )
+def _with_sets(pairs: DataFrame, a: str, b: str, sets: DataFrame) -> DataFrame:
+    """Add the full sets of both ends. The joins deal out pairs, so a document with many
+    partners is split by adaptive execution."""
+    left = sets.select(F.col("doc_id").alias(a), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("doc_id").alias(b), F.col("shingles").alias("of_b"))
+    return pairs.join(left, a).join(right, b)
 
 
-def _renamed(df: DataFrame) -> DataFrame:
-    names = {"rep": "hub", "n_shingles": "hub_n", "sketch": "hub_sketch", "component": "hub_component"}
-    return df.withColumnsRenamed(names)
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, common): sizes of the full sets and of what they share."""
+    common = F.size(F.array_intersect("of_a", "of_b")).alias("common")
+    return _with_sets(pairs, "a", "b", sets).select("a", "b", F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b"), common)
 
 
-def _with_hub(state: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each bucket's members against one of them; another one at every turn.
+def _linked(percent: int) -> Column:
+    return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
 
-    First the smallest, which is the same for most buckets of a group; then one that is
-    not in the smallest component, so that what was left over gets a hub of its own.
-    """
-    member = F.struct(
-        F.lit(0).alias("order") if turn == 0 else F.xxhash64("component", F.lit(turn)).alias("order"),
-        "rep", "n_shingles", "sketch", "component",
+
+def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Add the component of each `rep`."""
+    found = components.withColumnRenamed("node", "rep")
+    return rows.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _unsettled(groups: DataFrame, hub: str, components: DataFrame) -> DataFrame:
+    """(hub, rep) of the groups of three or more that are not in one component; the hub is a member."""
+    own = groups.select(hub, F.col(hub).alias("rep"))
+    everyone = groups.unionByName(own).distinct()
+    counts = _labelled(everyone, components).groupBy(hub).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
     )
-    hubs = state.groupBy("bucket").agg(F.min(member).alias("h"))
-    hubs = hubs.select("bucket", "h.rep", "h.n_shingles", "h.sketch", "h.component")
-    both = state.join(stored(_renamed(hubs), "hubs"), "bucket")
-    return both.where(_plausible(percent)).select(*_pair("rep", "hub")).distinct()
+    open_ = stored(counts.where("low <> high and members > 2").select(hub), "open-groups")
+    return stored(everyone.join(open_, hub), "open-members")
+
+
+def _middles(members: DataFrame, compared: DataFrame) -> DataFrame:
+    """(middle, rep) for each member of a group: the middle is the hub's nearest neighbour.
+
+    If members are edits of one text, the distance to the hub grows with a member's own
+    edits, so the nearest one has the fewest of them.
+    """
+    apart = (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("apart")
+    both = compared.select(F.col("a").alias("hub"), F.col("b").alias("other"), apart)
+    both = both.unionByName(compared.select(F.col("b").alias("hub"), F.col("a").alias("other"), apart))
+    nearest = both.groupBy("hub").agg(F.min(F.struct("apart", "other")).alias("n"))
+    nearest = stored(nearest.select("hub", F.col("n.other").alias("nearest")), "nearest")
+    found = members.join(nearest, "hub", "left").select(F.coalesce("nearest", "hub").alias("middle"), "rep")
+    return found.where("middle <> rep").distinct()
 
 
-def _across(state: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a bucket that are in different components, where size and sketch allow a link."""
-    other = _renamed(state)
-    both = state.join(other, "bucket").where((F.col("rep") < F.col("hub")) & _plausible(percent))
-    return both.select(*_pair("rep", "hub")).distinct()
+def _differences(middles: DataFrame, sets: DataFrame) -> DataFrame:
+    """(middle, rep, n_middle, n_rep, apart): shingles that are in one of the two sets only."""
+    both = _with_sets(middles, "middle", "rep", sets)
+    apart = F.concat(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a"))
+    return both.select("middle", "rep", F.size("of_a").alias("n_middle"), F.size("of_b").alias("n_rep"), apart.alias("apart"))
+
+
+def _near_middle(percent: int) -> Column:
+    """The same as a similarity of `percent`: few enough differences for the sizes."""
+    return F.size("apart") * (100 + percent) <= (F.col("n_middle") + F.col("n_rep")) * (100 - percent)
+
+
+def _by_differences(differences: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one group that may be linked though at least one end is not linked to the middle.
+
+    Let D(x) be what x differs in from the middle m, and q = (100 - percent) / (100 +
+    percent). Then x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| shingles, and they
+    are linked if that is at most q (|x| + |y|). If x is not linked to m, |D(x)| is over
+    q (|x| + |m|), so the two must share more than (|D(y)| + q (|m| - |y|)) / 2 of y's
+    differences. Independent edits do not share that many. y therefore only offers as
+    many of its rarest differences as must contain a shared one, and x looks up all of
+    its own. Pairs that are in one component already are left out.
+    """
+    q = (100 - percent) / (100 + percent)
+    labelled = _labelled(differences, components)
+    spread = labelled.groupBy("middle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = stored(spread.where("low <> high").select("middle"), "open-middles")
+    n = F.size("apart")
+    least = F.greatest(F.lit(1), F.floor((n + q * (F.col("n_middle") - F.col("n_rep"))) / 2 + 1 - 1e-6))
+    each = labelled.join(open_, "middle").select(
+        "middle", "rep", "component", _near_middle(percent).alias("near"), n.alias("n"), (n - least + 1).alias("offers"),
+        F.explode("apart").alias("shingle"),
+    )
+    each = stored(each, "each-difference")
+    counts = each.groupBy("middle", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = each.join(stored(counts, "shared-differences"), ["middle", "shingle"])
+    own = W.partitionBy("middle", "rep")
+    ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("holders", "shingle")))
+    # Differences that nobody shares come first in the order and need no row.
+    ranked = ranked.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
+    ranked = stored(ranked.select("middle", "shingle", "rep", "component", "near", (F.col("alone") + F.col("rank") <= F.col("offers")).alias("offered")), "ranked-differences")
+    asking = ranked.where("not near").select("middle", "shingle", F.col("rep").alias("x"), F.col("component").alias("of_x"))
+    offered = ranked.where("offered").select("middle", "shingle", F.col("rep").alias("y"), F.col("component").alias("of_y"))
+    found = asking.join(offered, ["middle", "shingle"]).where("x <> y and of_x <> of_y")
+    return found.select(*_pair("x", "y")).distinct()
+
+
+def _across(rest: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members that are in no common group, where size and sketch allow a link."""
+    rows = stored(_labelled(rest, components), "rest-labelled")
+    other = rows.withColumnsRenamed({c: f"other_{c}" for c in rows.columns if c != "bucket"})
+    both = rows.join(other, "bucket").where(
+        (F.col("rep") < F.col("other_rep")) & (F.col("component") != F.col("other_component"))
+        & (F.col("seen").bitwiseAND(F.col("other_seen")) == 0)
+        & _alike_in_size("n_shingles", "other_n_shingles", percent) & (_bits_apart("other_") <= LINK_BITS)
+    )
+    return both.select(*_pair("rep", "other_rep")).distinct()
 
 
 def without_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seriesmill.session import scratch_path, ship_package
 
@@ -27,3 +28,12 @@ def map_batches(
     """mapInArrow with the package sent to the Python workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def sent_if_small(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """A stored table of a few numbers per row, marked for broadcast if it has at most `most` rows.
+
+    At 24 bytes a row that is some 12 MB. Larger tables are left to the session, which
+    shuffles both sides and splits hot keys.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows

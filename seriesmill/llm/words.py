@@ -14,8 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -57,7 +57,7 @@ class _Powers:
 _powers = _Powers()
 
 
-def bounds(raw: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+def bounds(raw: np.ndarray, outside: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-end byte of every run of bytes that are not `outside`."""
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = ~outside[raw]

@@ -133,3 +133,20 @@ def test_components(spark):
 def test_local_forest():
     node, parent = local_forest(np.array([[5, 3], [3, 9], [7, 8], [4, 4]]))
     assert dict(zip(node.tolist(), parent.tolist())) == {5: 3, 9: 3, 8: 7}
+
+
+def test_group_of_many_edits(documents):
+    """Edits of one text, among them many that are linked with nothing or only with each other."""
+    rng = random.Random(21)
+    base = prose(rng, 90).split()
+    rows = []
+    for k in range(260):
+        text = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 8, 11])):
+            text[rng.randrange(90)] = f"edit{rng.randrange(40)}" if k % 3 else f"own{k}x{rng.randrange(9)}"
+        rows.append((k, " ".join(text)))
+        if k % 10 == 0:  # a far edit with a close copy of its own
+            rows.append((1000 + k, " ".join(text[:45] + ["twin"] + text[46:])))
+    expected = brute_force(rows, 2)
+    assert 20 < len({r[2] for r in expected}) < 250
+    assert rows_of(near_duplicates(documents(rows), 2), *COLUMNS) == expected
