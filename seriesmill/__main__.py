@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from seriesmill import schema
 from seriesmill.plans.build import build_models, check_models
 from seriesmill.plans.ingest import Source, run_sources
+from seriesmill.session import shuffle_settings
 from seriesmill.sources.tables import TableStore
 
 SURVEYS = {"household": "raw_household", "wages": "raw_wages", "monthly": "raw_monthly"}
@@ -26,9 +27,16 @@ def main(arguments: list[str]) -> int:
     parser.add_argument("landing", help="folder with one folder of archives per survey")
     parser.add_argument("store", help="folder for the stored tables")
     parser.add_argument("--start-year", type=int, default=schema.DEFAULT_START_YEAR)
+    parser.add_argument("--input-gb", type=float, default=None, help="size of the raw files, to size the shuffles")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("seriesmill").getOrCreate()
+    # Adaptive execution splits hot keys and large years; the job relies on it.
+    settings = {"spark.sql.adaptive.enabled": "true"}
+    if options.input_gb is not None:
+        settings |= shuffle_settings(int(options.input_gb * 1e9))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     store = TableStore(spark, options.store.rstrip("/"))
     sources = [Source(n, f"{options.landing}/{n}", table) for n, table in SURVEYS.items()]
     report = run_sources(spark, sources, store)

@@ -1,11 +1,15 @@
 """Plain SQL with the same results as the registered queries.
 
-The statements run on the supplied tables without Spark. They follow the written
-rules, not the DataFrame code: joins stay joins, ranks stay window functions.
+The statements run on the supplied tables without Spark and are a second opinion: they
+start from the written rules and take another way to the result. Ranks count the greater
+rows, earlier quarters are found by number and joined, national figures come from a
+grouped subquery, and sums are added as decimals made from the printed value.
 """
 
 from __future__ import annotations
 
+from seriesmill import schema
+
 START = 1996
 
 # --- helpers ----------------------------------------------------------------
@@ -16,13 +20,19 @@ def _round(value: str, digits: int) -> str:
     return f"(round({value}, {digits}) + CAST(0 AS DOUBLE))"
 
 
-def _sum(value: str, scale: int) -> str:
-    factor = f"1e{scale}"
-    return f"(CAST(sum(CAST(round(({value}) * {factor}) AS BIGINT)) AS DOUBLE) / {factor})"
+def _sum(value: str) -> str:
+    """Decimal sum of doubles, ten digits behind the point, back as the nearest double."""
+    decimal = f"CAST(CAST(({value}) AS VARCHAR) AS DECIMAL(38, 10))"
+    return f"CAST(CAST(sum({decimal}) AS VARCHAR) AS DOUBLE)"
+
 
+def _mean(value: str) -> str:
+    return f"({_sum(value)} / nullif(count({value}), 0))"
 
-def _mean(value: str, scale: int) -> str:
-    return f"({_sum(value, scale)} / nullif(count({value}), 0))"
+
+def _names(labels: list[str]) -> str:
+    """Labels as a list of SQL strings."""
+    return ", ".join("'" + label.replace("'", "''") + "'" for label in labels)
 
 
 def _growth(now: str, before: str, digits: int = 2) -> str:
@@ -47,34 +57,34 @@ def _month_text(column: str) -> str:
     return f"CAST(year({column}) AS VARCHAR) || 'M' || CAST(month({column}) AS VARCHAR)"
 
 
+def _like(column: str, words: str) -> str:
+    return f"{column} ILIKE '%{words}%'"
+
+
 def _by_word(column: str, rules: list[tuple[str, str]], otherwise: str) -> str:
     """Label of the first rule whose words occur in the column, in any case."""
-    tests = " ".join(
-        f"WHEN regexp_matches({column}, '{words}', 'i') THEN '{label}'" for words, label in rules
-    )
+    tests = " ".join(f"WHEN {_like(column, words)} THEN '{label}'" for words, label in rules)
     return f"CASE {tests} ELSE {otherwise} END"
 
 
+def _tier(region: str) -> str:
+    return f"""CASE WHEN {_like(region, 'Auckland')} OR {_like(region, 'Wellington')} THEN 'North Island - Major'
+      WHEN {_like(region, 'Canterbury')} THEN 'South Island - Major'
+      WHEN {region} IN ('Waikato Region', 'Bay of Plenty Region') THEN 'North Island - Regional'
+      WHEN {region} = 'New Zealand' THEN 'National' ELSE 'Other' END"""
+
+
 def _by_limit(column: str, rules: list[tuple[str, str]], otherwise: str = "NULL") -> str:
     """Label of the first rule whose comparison holds."""
     tests = " ".join(f"WHEN {column} {test} THEN '{label}'" for test, label in rules)
     return f"CASE {tests} ELSE {otherwise} END"
 
 
-def _highest(name: str, value: str, *conditions: str) -> str:
-    return f"max({value}) FILTER (WHERE {' AND '.join(conditions)}) AS {name}"
-
 
 # Words and limits of the classifiers, with their labels.
 SECTOR_WORDS = [("private", "Private"), ("public", "Public"), ("all", "All Sectors")]
 FREQUENCY_WORDS = [("hourly", "Hourly"), ("weekly", "Weekly")]
 MEASURE_WORDS = [("filled job", "Filled Jobs"), ("gross earning", "Gross Earnings")]
-TIER_WORDS = [
-    ("auckland|wellington", "North Island - Major"),
-    ("canterbury", "South Island - Major"),
-    ("^(waikato|bay of plenty) region$", "North Island - Regional"),
-    ("^new zealand$", "National"),
-]
 CATEGORY_LIMITS = [
     (">= 5", "Strong Growth (5%+)"), (">= 2.5", "Moderate Growth (2.5-5%)"),
     (">= 0", "Slow Growth (0-2.5%)"), ("< 0", "Wage Decline"),
@@ -209,23 +219,26 @@ _STEPS["stg_monthly"] = f"""
 
 
 def _regional_rates(strict: bool = False) -> str:
-    def named(words: str, but_not: str = "") -> str:
-        test = f"regexp_matches(measure_name, '{words}', 'i')"
-        return f"{test} AND NOT regexp_matches(measure_name, '{but_not}', 'i')" if but_not else test
+    """Each measure is the greatest of the values whose label fits; `strict` closes two overlaps."""
+    def measure(name: str, value: str, label: str, *conditions: str) -> str:
+        rules = " AND ".join([_like("measure_name", label), *conditions])
+        return f"max(CASE WHEN {rules} THEN {value} END) AS {name}"
 
-    counted = "lower(units) LIKE '%number%'"
-    not_employed = "unemployed|underemployed" if strict else "unemployed"
+    def without(label: str) -> str:
+        return f"NOT {_like('measure_name', label)}"
+
+    count = _like("units", "number")
     outputs = [
-        _highest("employment_rate_pct", "data_value", named("employment rate", "unemployment rate" if strict else "")),
-        _highest("unemployment_rate_pct", "data_value", named("unemployment rate", "under")),
-        _highest("participation_rate_pct", "data_value", named("participation rate")),
-        _highest("underutilisation_rate_pct", "data_value", named("underutilisation rate")),
-        _highest("employed_count", "data_value_actual", named("employed", not_employed), counted),
-        _highest("unemployed_count", "data_value_actual", named("unemployed"), counted),
+        measure("employment_rate_pct", "data_value", "employment rate", *([without("unemployment rate")] if strict else [])),
+        measure("unemployment_rate_pct", "data_value", "unemployment rate", without("under")),
+        measure("participation_rate_pct", "data_value", "participation rate"),
+        measure("underutilisation_rate_pct", "data_value", "underutilisation rate"),
+        measure("employed_count", "data_value_actual", "employed", without("unemployed"), count, *([without("underemployed")] if strict else [])),
+        measure("unemployed_count", "data_value_actual", "unemployed", count),
     ]
     return f"""
   SELECT year_num, quarter_num, region, any_value(period_start_date) AS period_start_date, {", ".join(outputs)}
-  FROM stg_household WHERE sex IN ('Total', 'Total Both Sexes') AND NOT is_seasonally_adjusted
+  FROM stg_household WHERE sex IN ({_names(schema.BOTH_SEXES)}) AND NOT is_seasonally_adjusted
   GROUP BY ALL"""
 
 
@@ -234,8 +247,8 @@ _STEPS["regional_rates_strict"] = _regional_rates(strict=True)
 
 _STEPS["quarterly_jobs"] = f"""
   SELECT year_num, quarter_num, region,
-    {_mean("CASE WHEN measure_clean = 'Filled Jobs' THEN data_value_actual END", 2)} AS avg_monthly_filled_jobs,
-    {_sum("CASE WHEN measure_clean = 'Gross Earnings' THEN data_value_actual END", 2)} AS total_quarterly_gross_earnings_nzd
+    {_mean("CASE WHEN measure_clean = 'Filled Jobs' THEN data_value_actual END")} AS avg_monthly_filled_jobs,
+    {_sum("CASE WHEN measure_clean = 'Gross Earnings' THEN data_value_actual END")} AS total_quarterly_gross_earnings_nzd
   FROM stg_monthly WHERE NOT is_seasonally_adjusted GROUP BY ALL"""
 
 
@@ -244,7 +257,7 @@ def _int_regional(rates: str) -> str:
   SELECT period_start_date, year_num, quarter_num, year_num || 'Q' || quarter_num AS year_quarter_label, region,
     {", ".join(_RATES)}, employed_count, unemployed_count,
     avg_monthly_filled_jobs, total_quarterly_gross_earnings_nzd,
-    {_by_word('region', TIER_WORDS, "'Other'")} AS region_tier,
+    {_tier('region')} AS region_tier,
     CAST(employment_rate_pct IS NULL AS INTEGER) AS missing_employment_rate,
     CAST(unemployment_rate_pct IS NULL AS INTEGER) AS missing_unemployment_rate
   FROM {rates} LEFT JOIN quarterly_jobs USING (year_num, quarter_num, region)
@@ -255,58 +268,75 @@ _RATES = ["employment_rate_pct", "unemployment_rate_pct", "participation_rate_pc
 
 _STEPS["int_regional"] = _int_regional("regional_rates")
 
+_STEPS["national_rates"] = f"""
+  SELECT period_start_date AS day, {", ".join(f"any_value({c}) AS nz_{c}" for c in _RATES)}
+  FROM int_regional WHERE region IN ({_names(schema.NATIONAL_REGIONS)}) GROUP BY period_start_date"""
+
 _STEPS["mart_regional"] = f"""
-  SELECT period_start_date, r.year_num, r.quarter_num, r.year_quarter_label, r.region, r.region_tier,
-    {", ".join(f"{_round('r.' + c, 1)} AS {c}" for c in _RATES)},
-    {_round('r.employed_count / 100.0', 0)} * 100 AS employed_count,
-    {_round('r.unemployed_count / 100.0', 0)} * 100 AS unemployed_count,
-    {_round('r.avg_monthly_filled_jobs', 0)} AS avg_monthly_filled_jobs,
-    {_round('r.total_quarterly_gross_earnings_nzd / 1e9', 2)} AS gross_earnings_billions_nzd,
-    {", ".join(f"{_round('nz.' + c, 1)} AS nz_{c}" for c in _RATES)},
-    {_round('r.unemployment_rate_pct - nz.unemployment_rate_pct', 1)} AS unemployment_rate_vs_nz_pp,
-    {_round('r.employment_rate_pct - nz.employment_rate_pct', 1)} AS employment_rate_vs_nz_pp,
-    r.missing_employment_rate, r.missing_unemployment_rate
-  FROM (SELECT * FROM int_regional WHERE NOT regexp_matches(region, '^(Total )?New Zealand$')) r
-  LEFT JOIN (SELECT * FROM int_regional WHERE regexp_matches(region, '^(Total )?New Zealand$')) nz
-    USING (period_start_date)"""
-
-_STEPS["hourly_by_sector"] = f"""
-  SELECT period_start_date, year_num, quarter_num,
-    CAST(year_num AS VARCHAR) || 'Q' || CAST(quarter_num AS VARCHAR) AS year_quarter_label, sector_clean,
-    {_mean('wage_nzd', 5)} AS avg_hourly_wage_nzd
-  FROM stg_wages WHERE wage_frequency = 'Hourly' GROUP BY 1, 2, 3, 4, 5"""
-
-_STEPS["wage_history"] = """
-  SELECT *, lag(avg_hourly_wage_nzd, 4) OVER w AS wage_1yr_ago, lag(avg_hourly_wage_nzd, 8) OVER w AS wage_2yr_ago,
-    avg(avg_hourly_wage_nzd) OVER (w ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS rolling_4q_avg_wage
-  FROM hourly_by_sector WINDOW w AS (PARTITION BY sector_clean ORDER BY period_start_date ASC NULLS LAST)"""
+  SELECT period_start_date, year_num, quarter_num, year_quarter_label, region, region_tier,
+    {", ".join(f"{_round(c, 1)} AS {c}" for c in _RATES)},
+    {_round('employed_count / 100.0', 0)} * 100 AS employed_count,
+    {_round('unemployed_count / 100.0', 0)} * 100 AS unemployed_count,
+    {_round('avg_monthly_filled_jobs', 0)} AS avg_monthly_filled_jobs,
+    {_round('total_quarterly_gross_earnings_nzd / 1e9', 2)} AS gross_earnings_billions_nzd,
+    {", ".join(f"{_round('nz_' + c, 1)} AS nz_{c}" for c in _RATES)},
+    {_round('unemployment_rate_pct - nz_unemployment_rate_pct', 1)} AS unemployment_rate_vs_nz_pp,
+    {_round('employment_rate_pct - nz_employment_rate_pct', 1)} AS employment_rate_vs_nz_pp,
+    missing_employment_rate, missing_unemployment_rate
+  FROM int_regional LEFT JOIN national_rates ON day = period_start_date
+  WHERE region NOT IN ({_names(schema.NATIONAL_REGIONS)})"""
+
+# Wages: one list of hourly rows, means by joins of grouped totals, and neighbours in
+# time by the number of the quarter within its sector or industry.
+_STEPS["hourly_wage"] = """
+  SELECT period_start_date, year_num, quarter_num, sector_clean, industry_anzsic, wage_nzd
+  FROM stg_wages WHERE wage_frequency = 'Hourly'"""
+
+_STEPS["sector_quarter"] = f"""
+  SELECT period_start_date, year_num, quarter_num, sector_clean, {_mean('wage_nzd')} AS mean_wage,
+    count(*) OVER (PARTITION BY sector_clean ORDER BY period_start_date NULLS LAST ROWS UNBOUNDED PRECEDING) AS number
+  FROM hourly_wage GROUP BY period_start_date, year_num, quarter_num, sector_clean"""
+
+_STEPS["hourly_by_sector"] = """
+  SELECT period_start_date, year_num, quarter_num, year_num || 'Q' || quarter_num AS year_quarter_label, sector_clean,
+    mean_wage AS avg_hourly_wage_nzd FROM sector_quarter"""
+
+_STEPS["recent_year"] = """
+  SELECT now.sector_clean, now.number, list_avg(list(near.mean_wage ORDER BY near.number)) AS recent_mean
+  FROM sector_quarter now JOIN sector_quarter near
+    ON now.sector_clean = near.sector_clean AND near.number <= now.number AND near.number > now.number - 4
+  GROUP BY now.sector_clean, now.number"""
 
 _STEPS["wage_growth_detail"] = f"""
-  SELECT period_start_date, year_num, quarter_num, year_quarter_label, sector_clean, avg_hourly_wage_nzd,
-    wage_1yr_ago, rolling_4q_avg_wage,
-    {_growth('avg_hourly_wage_nzd', 'wage_1yr_ago')} AS yoy_wage_growth_pct,
-    {_growth('avg_hourly_wage_nzd', 'wage_2yr_ago')} AS two_yr_wage_growth_pct
-  FROM wage_history"""
-
-
-def _by_sector(measure: str, suffix: str) -> str:
-    sectors = {"private": "Private", "public": "Public", "all_sectors": "All Sectors"}
-    return ", ".join(
-        _highest(f"{name}_{suffix}", measure, f"sector_clean = '{label}'")
-        for name, label in sectors.items()
-    )
-
-
-_STEPS["sector_pivot"] = f"""
-  SELECT period_start_date, year_num, quarter_num, year_quarter_label,
-    {_by_sector('avg_hourly_wage_nzd', 'hourly_wage')}, {_by_sector('yoy_wage_growth_pct', 'yoy_growth_pct')}
-  FROM wage_growth_detail GROUP BY 1, 2, 3, 4"""
+  SELECT now.period_start_date, now.year_num, now.quarter_num, now.year_num || 'Q' || now.quarter_num AS year_quarter_label,
+    now.sector_clean, now.mean_wage AS avg_hourly_wage_nzd, one.mean_wage AS wage_1yr_ago, recent_mean AS rolling_4q_avg_wage,
+    {_growth('now.mean_wage', 'one.mean_wage')} AS yoy_wage_growth_pct,
+    {_growth('now.mean_wage', 'two.mean_wage')} AS two_yr_wage_growth_pct
+  FROM sector_quarter now JOIN recent_year USING (sector_clean, number)
+    LEFT JOIN sector_quarter one ON one.sector_clean = now.sector_clean AND one.number = now.number - 4
+    LEFT JOIN sector_quarter two ON two.sector_clean = now.sector_clean AND two.number = now.number - 8"""
+
+
+def _of_sector(label: str) -> str:
+    return f"(SELECT * FROM wage_growth_detail WHERE sector_clean = '{label}')"
+
+
+# One row per quarter that any sector has, each sector joined to it by its date.
+_STEPS["sector_columns"] = f"""
+  SELECT q.period_start_date, q.year_num, q.quarter_num, q.year_quarter_label,
+    private.avg_hourly_wage_nzd AS private_hourly_wage, public.avg_hourly_wage_nzd AS public_hourly_wage,
+    everyone.avg_hourly_wage_nzd AS all_sectors_hourly_wage, private.yoy_wage_growth_pct AS private_yoy_growth_pct,
+    public.yoy_wage_growth_pct AS public_yoy_growth_pct, everyone.yoy_wage_growth_pct AS all_sectors_yoy_growth_pct
+  FROM (SELECT DISTINCT period_start_date, year_num, quarter_num, year_quarter_label FROM wage_growth_detail ) q
+    LEFT JOIN {_of_sector('Private')} private ON private.period_start_date IS NOT DISTINCT FROM q.period_start_date
+    LEFT JOIN {_of_sector('Public')} public ON public.period_start_date IS NOT DISTINCT FROM q.period_start_date
+    LEFT JOIN {_of_sector('All Sectors')} everyone ON everyone.period_start_date IS NOT DISTINCT FROM q.period_start_date"""
 
 _STEPS["int_wage_trends"] = f"""
   SELECT *, {_growth('public_hourly_wage', 'private_hourly_wage', 1)} AS public_vs_private_premium_pct,
     {_round('public_hourly_wage - private_hourly_wage', 2)} AS public_vs_private_gap_nzd,
     {_round('all_sectors_hourly_wage * 40 * 52', 0)} AS estimated_annual_salary_nzd
-  FROM sector_pivot"""
+  FROM sector_columns"""
 
 _STEPS["mart_wage"] = f"""
   SELECT period_start_date, year_num, quarter_num, year_quarter_label,
@@ -317,34 +347,43 @@ _STEPS["mart_wage"] = f"""
     {_by_limit('all_sectors_yoy_growth_pct', CATEGORY_LIMITS, "'Unknown'")} AS growth_category
   FROM int_wage_trends"""
 
-_RANKS = """CAST(rank() OVER (PARTITION BY period_start_date ORDER BY {0} DESC NULLS FIRST) AS INTEGER) AS wage_rank_highest,
-    CAST(rank() OVER (PARTITION BY period_start_date ORDER BY {0} ASC NULLS LAST) AS INTEGER) AS wage_rank_lowest,
-    percent_rank() OVER (PARTITION BY period_start_date ORDER BY {0} ASC NULLS LAST) AS wage_percentile"""
 
-_STEPS["industry_means"] = f"""
-  SELECT period_start_date, year_num, quarter_num, industry_anzsic, {_round(_mean('wage_nzd', 5), 2)} AS wage
-  FROM stg_wages
-  WHERE wage_frequency = 'Hourly' AND wage_nzd > 0 AND trim(industry_anzsic) NOT IN ('', 'All Industries', 'Total')
-  GROUP BY 1, 2, 3, 4"""
+def _counted_ranks(rows: str) -> str:
+    """Ranks of `wage` within its quarter by counting the others; the share below is over the others."""
+    return f"""SELECT mine.*,
+    CAST(1 + count(other.wage) FILTER (WHERE other.wage > mine.wage) AS INTEGER) AS wage_rank_highest,
+    CAST(1 + count(other.wage) FILTER (WHERE other.wage < mine.wage) AS INTEGER) AS wage_rank_lowest,
+    CASE WHEN count(other.wage) > 1 THEN CAST(count(other.wage) FILTER (WHERE other.wage < mine.wage) AS DOUBLE)
+      / (count(other.wage) - 1) ELSE 0.0 END AS share_below
+  FROM ({rows}) mine JOIN ({rows}) other ON other.period_start_date IS NOT DISTINCT FROM mine.period_start_date
+  GROUP BY ALL"""
+
+
+def _industry_means(trimmed: bool, wage: str) -> str:
+    label = "trim(industry_anzsic)" if trimmed else "industry_anzsic"
+    return f"""SELECT period_start_date, year_num, quarter_num, industry_anzsic, {wage} AS wage FROM hourly_wage
+      WHERE {label} NOT IN ({_names(schema.TOTAL_INDUSTRIES)}) GROUP BY period_start_date, year_num, quarter_num, industry_anzsic"""
+
 
-_STEPS["industry_ranked"] = f"""
-  SELECT *, {_RANKS.format('wage')},
-    lag(wage, 4) OVER (PARTITION BY industry_anzsic ORDER BY period_start_date ASC NULLS LAST) AS wage_1yr_ago_nzd
-  FROM industry_means"""
+_STEPS["industry_quarter"] = f"""
+  SELECT *, count(*) OVER (PARTITION BY industry_anzsic ORDER BY period_start_date NULLS LAST ROWS UNBOUNDED PRECEDING) AS number
+  FROM ({_industry_means(True, _round(_mean('wage_nzd'), 2))})"""
+
+_STEPS["industry_places"] = _counted_ranks("SELECT * FROM industry_quarter")
 
 _STEPS["mart_industry"] = f"""
-  SELECT period_start_date, year_num, quarter_num,
-    CAST(year_num AS VARCHAR) || 'Q' || CAST(quarter_num AS VARCHAR) AS year_quarter_label, industry_anzsic,
-    wage AS avg_hourly_wage_nzd, wage_rank_highest, wage_rank_lowest,
-    {_round('wage_percentile * 100', 0)} AS wage_percentile_pct,
-    {_band('round(wage_percentile * 100, 0)', 100)} AS wage_band, wage_1yr_ago_nzd,
-    {_growth('wage', 'wage_1yr_ago_nzd')} AS yoy_wage_growth_pct,
-    {_round('wage * 40 * 52', 0)} AS estimated_annual_salary_nzd
-  FROM industry_ranked"""
+  SELECT p.period_start_date, p.year_num, p.quarter_num, p.year_num || 'Q' || p.quarter_num AS year_quarter_label,
+    p.industry_anzsic, p.wage AS avg_hourly_wage_nzd, p.wage_rank_highest, p.wage_rank_lowest,
+    {_round('p.share_below * 100', 0)} AS wage_percentile_pct,
+    {_band('round(p.share_below * 100, 0)', 100)} AS wage_band, before.wage AS wage_1yr_ago_nzd,
+    {_growth('p.wage', 'before.wage')} AS yoy_wage_growth_pct,
+    {_round('p.wage * 40 * 52', 0)} AS estimated_annual_salary_nzd
+  FROM industry_places p LEFT JOIN industry_quarter before
+    ON before.industry_anzsic = p.industry_anzsic AND before.number = p.number - 4"""
 
 _STEPS["segment_quarters"] = f"""
   SELECT c_mktsegment, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS period_start_date,
-    {_sum('o_totalprice', 2)} AS order_value
+    {_sum('o_totalprice')} AS order_value
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
 
 _STEPS["labelled_orders"] = f"""
@@ -364,25 +403,15 @@ _SHORT_REGION = "replace(regexp_replace({0}, ' Region$', ''), 'ū', 'u')"
 _STEPS["dashboard_household"] = f"""
   SELECT * REPLACE ({_SHORT_REGION.format('series_title_3')} AS series_title_3) FROM raw_household"""
 
-_SHORT_NAMES = [
-    "Auckland", "Wellington", "Canterbury", "Waikato", "Bay of Plenty", "Otago", "Northland",
-    "Manawatu-Whanganui", "Southland", "Taranaki", "Hawke''s Bay",
-]
-
-
-def _names(labels: list[str]) -> str:
-    return ", ".join(f"'{label}'" for label in labels)
-
-
 _STEPS["dash_regional"] = f"""
   SELECT series_title_3 AS region, period, min(data_value) AS unemployment_rate FROM dashboard_household
   WHERE series_title_1 = 'Unemployment Rate' AND series_title_2 = 'Total Both Sexes' AND data_value IS NOT NULL
-    AND series_title_3 IN ({_names(_SHORT_NAMES + ["Gisborne", "Nelson"])})
+    AND series_title_3 IN ({_names(schema.DASHBOARD_REGIONS)})
   GROUP BY 1, 2"""
 
-_NATIONAL_ROWS = """FROM dashboard_household
+_NATIONAL_ROWS = f"""FROM dashboard_household
   WHERE series_title_1 IN ('Unemployment Rate', 'Labour Force Participation Rate') AND series_title_2 = 'Total Both Sexes'
-    AND series_title_3 IN ('New Zealand', 'Total All Regional Councils') AND data_value BETWEEN 0 AND 100
+    AND series_title_3 IN ({_names(schema.DASHBOARD_NATIONAL_REGIONS)}) AND data_value BETWEEN 0 AND 100
   GROUP BY period"""
 
 _STEPS["dash_national"] = f"""
@@ -457,10 +486,15 @@ def _columns(step: str) -> str:
 
 
 def _ranked_rows(table: str, key: str, value: str, columns: str) -> str:
-    return f"""SELECT {columns},
-  CAST(CASE WHEN {value} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {value} DESC NULLS LAST) END AS BIGINT) AS rank_highest,
-  CAST(CASE WHEN {value} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {value} ASC NULLS LAST) END AS BIGINT) AS rank_lowest,
-  percent_rank() OVER (PARTITION BY {key} ORDER BY {value}) AS percentile FROM {table}"""
+    """Ranks from the number of rows of each value: how many are below, and how many above."""
+    return f"""WITH tally AS (
+    SELECT {key} AS k, {value} AS v, count(*) AS n FROM {table} WHERE {value} IS NOT NULL GROUP BY ALL
+  ), below AS (
+    SELECT a.k, a.v, any_value(a.n) AS n, coalesce(sum(b.n) FILTER (WHERE b.v < a.v), 0) AS less, sum(b.n) AS everyone
+    FROM tally a JOIN tally b ON a.k = b.k GROUP BY a.k, a.v
+  ) SELECT {columns}, CAST(everyone - less - n + 1 AS BIGINT) AS rank_highest, CAST(less + 1 AS BIGINT) AS rank_lowest,
+    CASE WHEN everyone > 1 THEN CAST(less AS DOUBLE) / CAST(everyone - 1 AS DOUBLE) ELSE 0.0 END AS percentile
+  FROM {table} LEFT JOIN below ON k = {key} AND v = {value}"""
 
 
 def _verdicts(table: str, rules: list[tuple[str, str, str, str]]) -> str:
@@ -567,18 +601,19 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for step in (
         "stg_household", "stg_wages", "stg_monthly", "int_regional", "int_wage_trends",
-        "wage_growth_detail", "mart_regional", "mart_wage", "mart_industry", "dash_national",
-        "dash_regional", "dash_wage_rows",
+        "wage_growth_detail", "mart_regional", "mart_wage", "mart_industry",
     ):
         q[step] = _columns(step)
+    q["dash_national"] = f"{_columns('dash_national')} ORDER BY period"
+    q["dash_regional"] = f"{_columns('dash_regional')} ORDER BY period DESC, unemployment_rate DESC"
+    q["dash_wage_rows"] = f"{_columns('dash_wage_rows')} ORDER BY period DESC"
+    q["report_table"] = _columns("dash_regional")
 
     q["int_regional_strict"] = _int_regional("regional_rates_strict")
     q["industry_wages_unrounded"] = f"""SELECT period_start_date, year_num, quarter_num, industry_anzsic,
       {_round('wage', 2)} AS avg_hourly_wage_nzd, wage_rank_highest, wage_rank_lowest,
-      {_round('wage_percentile * 100', 0)} AS wage_percentile_pct, {_band('wage_percentile', 1)} AS wage_band
-    FROM (SELECT *, {_RANKS.format('wage')} FROM (
-      SELECT period_start_date, year_num, quarter_num, industry_anzsic, {_mean('wage_nzd', 5)} AS wage FROM stg_wages
-      WHERE wage_frequency = 'Hourly' AND industry_anzsic NOT IN ('', 'All Industries', 'Total') GROUP BY 1, 2, 3, 4))"""
+      {_round('share_below * 100', 0)} AS wage_percentile_pct, {_band('share_below', 1)} AS wage_band
+    FROM ({_counted_ranks(_industry_means(False, _mean('wage_nzd')))})"""
 
     # periods
     q["period_parse_quarterly"] = f"""SELECT period, TRY_CAST(left(period, 4) AS INTEGER) AS year_num,
@@ -609,8 +644,8 @@ def oracle_sql() -> dict[str, str]:
     FROM raw_wages WHERE CAST(left(period, 4) AS INTEGER) >= 1998 GROUP BY 1"""
     q["label_contains"] = """SELECT series_title_1, series_title_2, count(*) AS n, max(data_value) AS highest FROM raw_wages
     WHERE series_title_1 ILIKE '%ordinary time%hourly%' AND series_title_2 NOT ILIKE '%all%' AND units ILIKE 'dollars' GROUP BY 1, 2"""
-    q["not_in_trimmed"] = """SELECT series_title_3, count(*) AS n, trim(series_title_3) NOT IN ('', 'All Industries', 'Total') AS passes_trimmed
-    FROM raw_wages WHERE series_title_3 NOT IN ('', 'All Industries', 'Total') GROUP BY 1"""
+    q["not_in_trimmed"] = f"""SELECT series_title_3, count(*) AS n, trim(series_title_3) NOT IN ({_names(schema.TOTAL_INDUSTRIES)}) AS passes_trimmed
+    FROM raw_wages WHERE series_title_3 NOT IN ({_names(schema.TOTAL_INDUSTRIES)}) GROUP BY 1"""
     q["value_between"] = """SELECT series_title_2, count(*) AS n, min(data_value) AS lowest FROM raw_wages
     WHERE data_value BETWEEN 20 AND 150 GROUP BY 1"""
     q["in_dimension"] = """SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders
@@ -622,7 +657,7 @@ def oracle_sql() -> dict[str, str]:
       CASE series_title_2 WHEN 'Private Sector' THEN 'Private' WHEN 'Public Sector' THEN 'Public' ELSE 'All Sectors' END AS sector_clean,
       CASE WHEN series_title_1 LIKE '%Hourly%' THEN 'Hourly' ELSE 'Weekly' END AS wage_frequency, count(*) AS n
     FROM raw_wages GROUP BY 1, 2"""
-    q["classify_tier"] = f"""SELECT region, n, {_by_word('region', TIER_WORDS, "'Other'")} AS region_tier,
+    q["classify_tier"] = f"""SELECT region, n, {_tier('region')} AS region_tier,
       {_SHORT_REGION.format('region')} AS short_region
     FROM (SELECT n_nationkey, {_REGION_LABEL} AS region, count(*) AS n
       FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name)"""
@@ -646,9 +681,9 @@ def oracle_sql() -> dict[str, str]:
     q["growth_pct"] = f"""SELECT c_mktsegment, period_start_date, order_value, year_ago, {_growth('order_value', 'year_ago')} AS growth
     FROM (SELECT *, lag(order_value, 4) OVER (PARTITION BY c_mktsegment ORDER BY period_start_date) AS year_ago FROM segment_quarters)"""
     q["round_to_hundred"] = f"""SELECT o_custkey, {_round('v / 100.0', 0)} * 100 AS hundreds, {_round('v * 1000.0 / 1e9', 2)} AS billions,
-      {_round('v * 40 * 52', 0)} AS annual FROM (SELECT o_custkey, {_sum('o_totalprice', 2)} AS v FROM orders GROUP BY 1)"""
+      {_round('v * 40 * 52', 0)} AS annual FROM (SELECT o_custkey, {_sum('o_totalprice')} AS v FROM orders GROUP BY 1)"""
     q["pp_gap"] = f"""SELECT year_quarter_label, {_round('public_hourly_wage - private_hourly_wage', 1)} AS gap,
-      {_growth('public_hourly_wage', 'private_hourly_wage', 1)} AS premium FROM sector_pivot"""
+      {_growth('public_hourly_wage', 'private_hourly_wage', 1)} AS premium FROM sector_columns"""
 
     # aggregates
     q["pivot_by_pattern"] = """SELECT year_num, quarter_num, region, employment_rate_pct, unemployment_rate_pct, participation_rate_pct,
@@ -658,17 +693,21 @@ def oracle_sql() -> dict[str, str]:
       max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS highest_p FROM orders GROUP BY 1"""
     q["cond_avg_sum"] = _columns("quarterly_jobs")
     q["sector_mean"] = _columns("hourly_by_sector")
-    q["rounded_mean"] = f"""SELECT industry_anzsic, {_round(_mean('wage_nzd', 5), 2)} AS avg_wage, count(*) AS series_count
+    q["rounded_mean"] = f"""SELECT industry_anzsic, {_round(_mean('wage_nzd'), 2)} AS avg_wage, count(*) AS series_count
     FROM stg_wages GROUP BY 1"""
     q["global_summary"] = """SELECT count(*) AS row_count, CAST(max(_ingested_at) AS DATE) AS last_ingested,
       min(period) AS earliest_period, max(period) AS latest_period FROM raw_household"""
     q["min_max_trend"] = """SELECT period, series_title_2, min(data_value) AS lowest, max(data_value) AS highest FROM raw_wages GROUP BY 1, 2"""
     q["distinct_regions"] = """SELECT DISTINCT series_title_3 FROM raw_household WHERE series_title_3 IS NOT NULL ORDER BY 1"""
-    q["mean_at_latest"] = f"""SELECT c_mktsegment, day AS latest_date, {_mean('o_totalprice', 2)} AS mean_value
+    q["mean_at_latest"] = f"""SELECT c_mktsegment, day AS latest_date, {_mean('o_totalprice')} AS mean_value
     FROM (SELECT c_mktsegment, CAST(o_orderdate AS DATE) AS day, o_totalprice,
         max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY c_mktsegment) AS latest
       FROM orders JOIN customer ON o_custkey = c_custkey) WHERE day = latest GROUP BY 1, 2"""
 
+    q["exact_sums"] = f"""SELECT l_returnflag, l_linestatus, {_sum('l_extendedprice * 1e12')} AS large_total,
+      {_mean('l_extendedprice * l_discount / 1e6')} AS small_mean, {_sum('l_extendedprice / 7.0')} AS long_total
+    FROM lineitem GROUP BY 1, 2"""
+
     # joins
     q["left_join_quarter_region"] = """SELECT r.year_num, r.quarter_num, r.region, employment_rate_pct, unemployment_rate_pct,
       participation_rate_pct, underutilisation_rate_pct, avg_monthly_filled_jobs, total_quarterly_gross_earnings_nzd
@@ -680,21 +719,20 @@ def oracle_sql() -> dict[str, str]:
     q["year_ago_join"] = """SELECT a.c_mktsegment, a.period_start_date, a.order_value, b.order_value AS by_shift, b.order_value AS by_window
     FROM segment_quarters a LEFT JOIN segment_quarters b
       ON a.c_mktsegment = b.c_mktsegment AND b.period_start_date = a.period_start_date - INTERVAL 12 MONTH"""
-    regions = ", ".join(
-        f"('{name}')"
-        for name in (
-            "Auckland Region", "Wellington Region", "Canterbury Region", "Waikato Region",
-            "Bay of Plenty Region", "Otago Region", "Hawke''s Bay Region", "Manawatū-Whanganui Region",
-            "Northland Region", "Taranaki Region", "Gisborne Region", "Tasman Region", "Nelson Region",
-            "Marlborough Region", "West Coast Region", "Southland Region",
-        )
-    )
+    regions = ", ".join(f"({_names([name])})" for name in schema.REGIONS)
     q["completeness_gaps"] = f"""SELECT year_num, quarter_num, region
     FROM (SELECT DISTINCT year_num, quarter_num FROM int_regional WHERE missing_employment_rate = 0) t
       CROSS JOIN (VALUES {regions}) v(region)
     WHERE (year_num, quarter_num, region) NOT IN (SELECT (year_num, quarter_num, region) FROM int_regional WHERE missing_employment_rate = 0)"""
-    q["latest_period_semi"] = """SELECT series_reference, period, data_value, series_title_1, series_title_2 FROM raw_wages
-    WHERE period = (SELECT max(period) FROM raw_wages)"""
+    q["latest_period_semi"] = f"""SELECT series_reference, period, data_value, series_title_1, series_title_2 FROM raw_wages
+    WHERE period = (SELECT arg_max(period, start) FROM (SELECT period, {_quarter_start()} AS start FROM raw_wages ))"""
+    month_start = "make_date(CAST(left(period, 4) AS BIGINT), CAST(substring(period, 6, 2) AS BIGINT), 1)"
+    q["latest_period_monthly"] = f"""SELECT series_reference, period, data_value FROM raw_monthly
+    WHERE {month_start} = (SELECT max({month_start}) FROM raw_monthly )"""
+    q["year_ago_daily"] = """WITH days AS (
+      SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1, 2)
+    SELECT a.o_orderpriority, a.day, a.orders, b.orders AS year_ago FROM days a LEFT JOIN days b
+      ON b.o_orderpriority = a.o_orderpriority AND b.day = CAST(a.day - INTERVAL 12 MONTH AS DATE)"""
     q["date_star_join"] = """SELECT period_start_date, region, unemployment_rate_pct, all_sectors_hourly_wage_nzd, growth_category
     FROM mart_regional r LEFT JOIN mart_wage w USING (period_start_date)"""
 
@@ -704,15 +742,15 @@ def oracle_sql() -> dict[str, str]:
     q["rolling_mean_4"] = f"""SELECT *, {_round('avg(order_value) OVER (PARTITION BY c_mktsegment ORDER BY period_start_date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)', 4)} AS rolling
     FROM segment_quarters"""
     q["rank_both"] = _ranked_rows("part", "p_brand", "p_retailprice", "p_partkey, p_brand, p_retailprice")
-    q["percent_band"] = f"""SELECT s_suppkey, {_round('p * 100', 0)} AS percentile_pct, {_band('round(p * 100, 0)', 100)} AS band_rounded,
-      {_band('p', 1)} AS band_exact
-    FROM (SELECT s_suppkey, percent_rank() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal) AS p FROM supplier)"""
+    q["percent_band"] = f"""SELECT s_suppkey, {_round('percentile * 100', 0)} AS percentile_pct, {_band('round(percentile * 100, 0)', 100)} AS band_rounded,
+      {_band('percentile', 1)} AS band_exact
+    FROM ({_ranked_rows('supplier', 's_nationkey', 's_acctbal', 's_suppkey')})"""
     q["latest_vs_previous"] = """SELECT c_mktsegment, period_start_date, order_value AS latest_value, coalesce(before, order_value) AS previous_value
     FROM (SELECT *, lag(order_value) OVER w AS before, lead(period_start_date) OVER w AS later FROM segment_quarters
       WINDOW w AS (PARTITION BY c_mktsegment ORDER BY period_start_date)) WHERE later IS NULL"""
     q["extremes"] = f"""SELECT *, CASE WHEN order_value = max(order_value) OVER () THEN 'max'
       WHEN order_value = min(order_value) OVER () THEN 'min' ELSE 'other' END AS highlight
-    FROM (SELECT o_custkey, {_sum('o_totalprice', 2)} AS order_value FROM orders GROUP BY 1)"""
+    FROM (SELECT o_custkey, {_sum('o_totalprice')} AS order_value FROM orders GROUP BY 1)"""
 
     # sort and limit
     q["topk_preview"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5"
@@ -722,11 +760,12 @@ def oracle_sql() -> dict[str, str]:
     # dashboards
     q["dash_national_by_measure"] = f"""SELECT period, min(CASE WHEN series_title_1 = 'Unemployment Rate' THEN data_value END) AS unemployment_rate,
       max(CASE WHEN series_title_1 <> 'Unemployment Rate' THEN data_value END) AS participation_rate {_NATIONAL_ROWS}"""
-    q["dash_wage"] = f"""SELECT sector, period, {_mean('wage', 5)} AS wage FROM dash_wage_rows
+    q["dash_wage"] = f"""SELECT sector, period, {_mean('wage')} AS wage FROM dash_wage_rows
     WHERE sector IN ('Public Sector', 'Private Sector') AND sex = 'Total Both Sexes' GROUP BY 1, 2"""
     q["dash_latest_rank"] = f"""SELECT *, CASE WHEN unemployment_rate = max(unemployment_rate) OVER () THEN 'max'
       WHEN unemployment_rate = min(unemployment_rate) OVER () THEN 'min' ELSE 'other' END AS highlight
-    FROM (SELECT region, unemployment_rate FROM dash_regional WHERE period = '2001Q2' AND region IN ({_names(_SHORT_NAMES)}))"""
+    FROM (SELECT region, unemployment_rate FROM dash_regional WHERE period = '2001Q2' AND region IN ({_names(schema.LATEST_RANK_REGIONS)}))
+    ORDER BY unemployment_rate DESC"""
     q["dash_story"] = f"""SELECT region, period, latest_rate, change_pp, vs_national_pp,
       {_by_limit('change_pp', DIRECTION_LIMITS, "'remained stable'")} AS direction,
       CASE WHEN vs_national_pp > 0 THEN 'above' ELSE 'below' END AS side,
@@ -743,12 +782,12 @@ def oracle_sql() -> dict[str, str]:
 
     # measures
     latest = "(SELECT max(period_start_date) FROM {0} )"
-    q["kpi_latest"] = f"""SELECT max(period_start_date) AS latest_date, {_mean('unemployment_rate_pct', 1)} AS latest_unemployment_rate,
-      {_mean('employment_rate_pct', 1)} AS latest_employment_rate
+    q["kpi_latest"] = f"""SELECT max(period_start_date) AS latest_date, {_mean('unemployment_rate_pct')} AS latest_unemployment_rate,
+      {_mean('employment_rate_pct')} AS latest_employment_rate
     FROM mart_regional WHERE period_start_date = {latest.format('mart_regional')}"""
-    q["kpi_salary"] = f"""SELECT max(period_start_date) AS latest_date, {_mean('estimated_annual_salary_nzd', 0)} AS estimated_annual_salary_nzd
+    q["kpi_salary"] = f"""SELECT max(period_start_date) AS latest_date, {_mean('estimated_annual_salary_nzd')} AS estimated_annual_salary_nzd
     FROM mart_wage WHERE period_start_date = {latest.format('mart_wage')}"""
-    per_date = f"SELECT region_tier, period_start_date, {_mean('unemployment_rate_pct', 1)} AS rate FROM mart_regional GROUP BY 1, 2"
+    per_date = f"SELECT region_tier, period_start_date, {_mean('unemployment_rate_pct')} AS rate FROM mart_regional GROUP BY 1, 2"
     q["kpi_yoy"] = f"""SELECT a.region_tier, a.period_start_date AS latest_date, a.rate AS current_rate, b.rate AS prior_rate,
       {_round('a.rate - b.rate', 6)} AS yoy_change_pp
     FROM ({per_date}) a LEFT JOIN ({per_date}) b
@@ -758,17 +797,34 @@ def oracle_sql() -> dict[str, str]:
       {_round('a.unemployment_rate_pct - b.unemployment_rate_pct', 3)} AS yoy_change_pp
     FROM mart_regional a LEFT JOIN mart_regional b
       ON a.region = b.region AND b.period_start_date = a.period_start_date - INTERVAL 12 MONTH"""
-    q["kpi_average"] = f"""SELECT region, {_mean('unemployment_rate_vs_nz_pp', 1)} AS regional_vs_national_gap FROM mart_regional GROUP BY 1"""
-    q["kpi_wage_average"] = f"""SELECT {_mean('public_premium_pct', 2)} AS public_sector_premium_pct,
-      {_mean('public_vs_private_gap_nzd', 2)} AS wage_gap_nzd FROM mart_wage"""
+    q["kpi_average"] = f"""SELECT region, {_mean('unemployment_rate_vs_nz_pp')} AS regional_vs_national_gap FROM mart_regional GROUP BY 1"""
+    q["kpi_wage_average"] = f"""SELECT {_mean('public_premium_pct')} AS public_sector_premium_pct,
+      {_mean('public_vs_private_gap_nzd')} AS wage_gap_nzd FROM mart_wage"""
     q["kpi_status"] = f"""SELECT *, {_by_limit('avg_growth_pct', STATUS_LIMITS)} AS growth_status, {_by_limit('avg_growth_pct', LIGHT_LIMITS)} AS growth_light
-    FROM (SELECT CAST(year(period_start_date) AS INTEGER) AS year, {_mean('all_sectors_wage_yoy_growth_pct', 2)} AS avg_growth_pct FROM mart_wage GROUP BY 1)"""
+    FROM (SELECT CAST(year(period_start_date) AS INTEGER) AS year, {_mean('all_sectors_wage_yoy_growth_pct')} AS avg_growth_pct FROM mart_wage GROUP BY 1)"""
     q["kpi_gap_lights"] = f"""SELECT period_start_date, region, unemployment_rate_vs_nz_pp,
       {_by_limit('unemployment_rate_vs_nz_pp', GAP_LIMITS)} AS gap_light FROM mart_regional"""
-    q["kpi_by_year"] = f"""SELECT year_num, {_mean('unemployment_rate_vs_nz_pp', 1)} AS regional_vs_national_gap FROM mart_regional
+    q["kpi_by_year"] = f"""SELECT year_num, {_mean('unemployment_rate_vs_nz_pp')} AS regional_vs_national_gap FROM mart_regional
     WHERE (region IN ('Auckland Region', 'Otago Region') AND period_start_date BETWEEN DATE '1999-01-01' AND DATE '2000-12-31')
       OR year(period_start_date) = 1998 GROUP BY 1"""
 
+    q["kpi_status_card"] = f"""SELECT CAST(year(period_start_date) AS INTEGER) AS year,
+      CASE WHEN coalesce({_mean('all_sectors_wage_yoy_growth_pct')}, 0) >= 5 THEN '🟢 Strong'
+        WHEN coalesce({_mean('all_sectors_wage_yoy_growth_pct')}, 0) >= 2.5 THEN '🟡 Moderate'
+        WHEN coalesce({_mean('all_sectors_wage_yoy_growth_pct')}, 0) >= 0 THEN '🟠 Slow' ELSE '🔴 Declining' END AS growth_status
+    FROM mart_wage GROUP BY 1"""
+    q["dash_headline"] = f"""SELECT now.period_start_date AS latest_date,
+      {_round('now.unemployment_rate_pct', 1)} AS unemployment_rate_pct,
+      {_round('now.unemployment_rate_pct - old.unemployment_rate_pct', 1)} AS unemployment_change_pp,
+      {_round('now.employment_rate_pct', 1)} AS employment_rate_pct,
+      {_round('now.employment_rate_pct - old.employment_rate_pct', 1)} AS employment_change_pp,
+      {_round('all_sectors_hourly_wage', 2)} AS hourly_wage_nzd, {_round('all_sectors_yoy_growth_pct', 1)} AS wage_growth_pct,
+      now.employed_count AS employed_count, now.employed_count - old.employed_count AS employed_change
+    FROM (SELECT * FROM int_regional WHERE region = 'New Zealand' ORDER BY period_start_date DESC LIMIT 1) now
+      LEFT JOIN (SELECT * FROM int_regional WHERE region = 'New Zealand') old
+        ON old.period_start_date = now.period_start_date - INTERVAL 3 MONTH
+      CROSS JOIN (SELECT * FROM int_wage_trends WHERE all_sectors_hourly_wage IS NOT NULL ORDER BY period_start_date DESC LIMIT 1) w"""
+
     # data checks
     q["dq_sources"] = _check_tables("raw_household", "raw_wages", "raw_monthly")
     q["dq_staging"] = _check_tables("stg_household", "stg_wages", "stg_monthly")
@@ -833,6 +889,13 @@ def oracle_sql() -> dict[str, str]:
     JOIN (VALUES ('ENGINEER_ROLE', 'raw'), ('ENGINEER_ROLE', 'staging'), ('ENGINEER_ROLE', 'mart'), ('ANALYST_ROLE', 'staging'),
       ('ANALYST_ROLE', 'mart'), ('REPORTER_ROLE', 'mart')) r(role, readable) ON layer = readable"""
 
+    q["read_as_role"] = """SELECT 'raw_wages' AS table_name, 'ENGINEER_ROLE' AS role, count(*) AS n, max(data_value) AS highest FROM raw_wages
+    UNION ALL SELECT 'raw_household', 'ENGINEER_ROLE', count(*), max(data_value) FROM raw_household
+    UNION ALL SELECT 'mart_wage', r.role, count(*), max(all_sectors_hourly_wage_nzd) FROM mart_wage
+      CROSS JOIN (VALUES ('ENGINEER_ROLE'), ('ANALYST_ROLE'), ('REPORTER_ROLE')) r(role) GROUP BY r.role"""
+    q["expired_versions"] = """SELECT DATE '2001-12-31' AS version, count(*) AS n FROM version_day
+    UNION ALL SELECT DATE '2002-01-01', count(*) FROM version_now"""
+
     # snapshots
     q["as_of_read"] = "SELECT series_reference, period, data_value FROM version_week"
     q["snapshot_summary"] = "\nUNION ALL ".join(
@@ -851,6 +914,10 @@ def oracle_sql() -> dict[str, str]:
     q["normalise_raw"] = _cleaned("NULL")
     q["ingest_archives"] = _cleaned()
     q["ingest_csv_folder"] = _cleaned()
+    q["archive_members"] = """SELECT 'part.csv' AS member, 'series' AS status, count(*) AS n_rows FROM raw_household
+    UNION ALL SELECT 'no period.csv', 'no period column', 0 UNION ALL SELECT 'broken.csv', 'unreadable', 0"""
+    q["load_metadata"] = """SELECT series_reference, period, true AS has_file, 'household' AS source_name, DATE '2002-01-01' AS loaded_on
+    FROM raw_household"""
     q["ingest_report"] = """SELECT source_name, target_table, status, CASE WHEN target_table IS NULL THEN 0 ELSE n END AS rows_loaded, message
     FROM (SELECT count(*) AS n FROM raw_household ) t CROSS JOIN (VALUES ('household', 'raw_household', 'SUCCESS', CAST(NULL AS VARCHAR)),
       ('wages', 'raw_wages', 'SUCCESS', NULL), ('spare', NULL, 'SKIPPED', 'no target table')) v(source_name, target_table, status, message)"""

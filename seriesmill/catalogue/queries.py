@@ -25,9 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 START = 1996  # first year of the test data that the models keep
 AS_OF = dt.datetime(2002, 1, 1)
-WAGE_SCALE = 5  # decimal places of the test wages
-MONEY_SCALE = 2
-RATE_SCALE = 1
 
 _QUERIES: dict[str, Query] = {}
 
@@ -49,8 +46,8 @@ def _household(spark, folder):
     return staging.stage_household(testdata.household(spark, folder, START), START)
 
 
-def _wages(spark, folder, industries=True):
-    return staging.stage_wages(testdata.wages(spark, folder, START, industries), START)
+def _wages(spark, folder):
+    return staging.stage_wages(testdata.wages(spark, folder, START), START)
 
 
 def _monthly(spark, folder):
@@ -59,7 +56,7 @@ def _monthly(spark, folder):
 
 def _regional(spark, folder):
     return marts.regional_employment(
-        _household(spark, folder), _monthly(spark, folder), value_scale=MONEY_SCALE
+        _household(spark, folder), _monthly(spark, folder)
     )
 
 
@@ -68,12 +65,12 @@ def _region_mart(spark, folder):
 
 
 def _wage_mart(spark, folder):
-    trends = marts.wage_trends(_wages(spark, folder, industries=False), WAGE_SCALE)
+    trends = marts.wage_trends(_wages(spark, folder))
     return marts.wage_mart(trends, F.lit(AS_OF))
 
 
 def _industry_mart(spark, folder):
-    return marts.industry_mart(_wages(spark, folder), F.lit(AS_OF), WAGE_SCALE)
+    return marts.industry_mart(_wages(spark, folder), F.lit(AS_OF))
 
 
 def _dashboard_household(spark, folder):
@@ -89,7 +86,7 @@ def _segment_quarters(spark, folder):
     quarter = F.trunc("o_orderdate", "quarter")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return joined.groupBy("c_mktsegment", quarter.alias("period_start_date")).agg(
-        numbers.total(F.col("o_totalprice"), MONEY_SCALE).alias("order_value")
+        numbers.total(F.col("o_totalprice")).alias("order_value")
     )
 
 
@@ -128,20 +125,19 @@ def int_regional_strict(spark, folder):
         _monthly(spark, folder),
         age_group="All ages",
         strict_labels=True,
-        value_scale=MONEY_SCALE,
     )
 
 
 @query
 def int_wage_trends(spark, folder):
     """M5."""
-    return marts.wage_trends(_wages(spark, folder, industries=False), WAGE_SCALE)
+    return marts.wage_trends(_wages(spark, folder))
 
 
 @query
 def wage_growth_detail(spark, folder):
     """W1, W3 and two-year growth per sector."""
-    return marts.wage_growth_detail(_wages(spark, folder, industries=False), WAGE_SCALE)
+    return marts.wage_growth_detail(_wages(spark, folder))
 
 
 @query
@@ -165,7 +161,7 @@ def mart_industry(spark, folder):
 @query
 def industry_wages_unrounded(spark, folder):
     """Second industry ranking."""
-    return marts.industry_wages_unrounded(_wages(spark, folder), WAGE_SCALE)
+    return marts.industry_wages_unrounded(_wages(spark, folder))
 
 
 # --- periods ----------------------------------------------------------------
@@ -269,7 +265,7 @@ def suppressed_or_valued(spark, folder):
 @query
 def valued_rows(spark, folder):
     """P5 and P14."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     return raw.groupBy("series_title_2").agg(
         F.count_if(filters.valued()).alias("n_valued"),
         F.count_if(filters.valued(positive=True)).alias("n_positive"),
@@ -279,7 +275,7 @@ def valued_rows(spark, folder):
 @query
 def year_floor(spark, folder):
     """P3."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     year = periods.year_of(F.col("period"))
     return raw.filter(filters.year_floor(year, 1998)).groupBy(year.alias("year_num")).agg(
         F.count("*").alias("n")
@@ -289,7 +285,7 @@ def year_floor(spark, folder):
 @query
 def label_contains(spark, folder):
     """P9, P10, P12."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     kept = raw.filter(
         text.has(F.col("series_title_1"), "ordinary time", "HOURLY")
         & ~text.has(F.col("series_title_2"), "all")
@@ -313,7 +309,7 @@ def not_in_trimmed(spark, folder):
 @query
 def value_between(spark, folder):
     """P11."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     return raw.filter(F.col("data_value").between(20, 150)).groupBy("series_title_2").agg(
         F.count("*").alias("n"), F.min("data_value").alias("lowest")
     )
@@ -335,7 +331,7 @@ def in_dimension(spark, folder):
 @query
 def classify_sector(spark, folder):
     """C6, C7."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     counted = raw.groupBy("series_title_1", "series_title_2").agg(F.count("*").alias("n"))
     return counted.select(
         "series_title_1",
@@ -434,7 +430,7 @@ def round_to_hundred(spark, folder):
     orders = testdata.table(spark, folder, "orders")
     value = F.col("order_value")
     return orders.groupBy("o_custkey").agg(
-        numbers.total(F.col("o_totalprice"), MONEY_SCALE).alias("order_value")
+        numbers.total(F.col("o_totalprice")).alias("order_value")
     ).select(
         "o_custkey",
         numbers.round_to(value, 100).alias("hundreds"),
@@ -479,20 +475,20 @@ def pivot_by_value(spark, folder):
 @query
 def cond_avg_sum(spark, folder):
     """A4."""
-    return marts.quarterly_jobs(_monthly(spark, folder), MONEY_SCALE)
+    return marts.quarterly_jobs(_monthly(spark, folder))
 
 
 @query
 def sector_mean(spark, folder):
     """A1, A5."""
-    return marts.hourly_by_sector(_wages(spark, folder, industries=False), WAGE_SCALE)
+    return marts.hourly_by_sector(_wages(spark, folder))
 
 
 @query
 def rounded_mean(spark, folder):
     """A6."""
     return aggregates.rounded_mean_by(
-        _wages(spark, folder), ["industry_anzsic"], "wage_nzd", "avg_wage", 2, WAGE_SCALE
+        _wages(spark, folder), ["industry_anzsic"], "wage_nzd", "avg_wage", 2
     )
 
 
@@ -508,7 +504,7 @@ def global_summary(spark, folder):
 @query
 def min_max_trend(spark, folder):
     """A7, A8 on all wage rows."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     return aggregates.spread_by(
         raw, ["period", "series_title_2"], "data_value", "lowest", "highest"
     )
@@ -532,7 +528,18 @@ def mean_at_latest(spark, folder):
         "day", F.to_date("o_orderdate")
     )
     return aggregates.mean_at_latest(
-        rows, "o_totalprice", "mean_value", ["c_mktsegment"], "day", MONEY_SCALE
+        rows, "o_totalprice", "mean_value", ["c_mktsegment"], "day"
+    )
+
+
+@query
+def exact_sums(spark, folder):
+    """A4 to A6 on values with more digits than money has and on sums beyond 64 bits."""
+    price = F.col("l_extendedprice")
+    return testdata.table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        numbers.total(price * F.lit(1e12)).alias("large_total"),
+        numbers.mean(price * F.col("l_discount") / F.lit(1e6)).alias("small_mean"),
+        numbers.total(price / F.lit(7.0)).alias("long_total"),
     )
 
 
@@ -543,7 +550,7 @@ def mean_at_latest(spark, folder):
 def left_join_quarter_region(spark, folder):
     """J1."""
     rates = marts.regional_rates(_household(spark, folder)).drop("employed_count", "unemployed_count")
-    jobs = marts.quarterly_jobs(_monthly(spark, folder), MONEY_SCALE)
+    jobs = marts.quarterly_jobs(_monthly(spark, folder))
     return joins.left_on_quarter_region(rates, jobs)
 
 
@@ -621,6 +628,16 @@ def year_ago_join(spark, folder):
     )
 
 
+@query
+def year_ago_daily(spark, folder):
+    """J4 on days, where the 28th and 29th of February meet."""
+    orders = testdata.table(spark, folder, "orders")
+    days = orders.groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(
+        F.count("*").alias("orders")
+    )
+    return joins.year_ago_by_shift(days, ["o_orderpriority"], "orders", "year_ago", "day")
+
+
 @query
 def completeness_gaps(spark, folder):
     """Regions without an employment rate in a quarter."""
@@ -631,11 +648,18 @@ def completeness_gaps(spark, folder):
 @query
 def latest_period_semi(spark, folder):
     """J6."""
-    lines = testdata.wages(spark, folder, industries=False)
+    lines = testdata.wages(spark, folder)
     latest = joins.at_latest_period(lines)
     return latest.select("series_reference", "period", "data_value", "series_title_1", "series_title_2")
 
 
+@query
+def latest_period_monthly(spark, folder):
+    """J6 on monthly labels, where month 12 follows month 9."""
+    latest = joins.at_latest_period(testdata.monthly(spark, folder))
+    return latest.select("series_reference", "period", "data_value")
+
+
 @query
 def date_star_join(spark, folder):
     """J7."""
@@ -673,7 +697,7 @@ def rolling_mean_4(spark, folder):
 def rank_both(spark, folder):
     """W4, W5 on unreduced rows: parts ranked by price inside their brand."""
     parts = testdata.table(spark, folder, "part").select("p_partkey", "p_brand", "p_retailprice")
-    return windows.rank_rows(parts, "p_brand", "p_retailprice", cell_width=1.0)
+    return windows.rank_rows(parts, "p_brand", "p_retailprice")
 
 
 @query
@@ -682,7 +706,7 @@ def percent_band(spark, folder):
     suppliers = testdata.table(spark, folder, "supplier").select(
         "s_suppkey", "s_nationkey", "s_acctbal"
     )
-    ranked = windows.rank_rows(suppliers, "s_nationkey", "s_acctbal", cell_width=50.0)
+    ranked = windows.rank_rows(suppliers, "s_nationkey", "s_acctbal")
     percent = F.round(F.col("percentile") * 100, 0)
     return ranked.select(
         "s_suppkey",
@@ -705,7 +729,7 @@ def extremes(spark, folder):
     """W7, C16 on order value per customer."""
     orders = testdata.table(spark, folder, "orders")
     totals = orders.groupBy("o_custkey").agg(
-        numbers.total(F.col("o_totalprice"), MONEY_SCALE).alias("order_value")
+        numbers.total(F.col("o_totalprice")).alias("order_value")
     )
     return windows.mark_extremes(totals, "order_value")
 
@@ -756,7 +780,7 @@ def dash_national_by_measure(spark, folder):
 def dash_wage(spark, folder):
     """Sector means."""
     rows = dashboards.wage_rows(testdata.dashboard_wages(spark, folder))
-    return dashboards.sector_wages(rows, WAGE_SCALE)
+    return dashboards.sector_wages(rows)
 
 
 @query
@@ -795,26 +819,40 @@ def dash_multi(spark, folder):
     return dashboards.regions_over_time(regional, chosen).orderBy("region", "period")
 
 
+@query
+def dash_headline(spark, folder):
+    """The four figures of the first page."""
+    return measures.headline(_regional(spark, folder), int_wage_trends(spark, folder))
+
+
+@query
+def report_table(spark, folder):
+    """A report, stored and read back."""
+    store = TableStore(spark, scratch_path(spark, "reports"))
+    report = dashboards.regional_unemployment(_dashboard_household(spark, folder))
+    return dashboards.stored_report(report, store, "report_regional").drop("period_year")
+
+
 # --- measures ---------------------------------------------------------------
 
 
 @query
 def kpi_latest(spark, folder):
     """Overall rates at the newest date."""
-    return measures.latest_rates(_region_mart(spark, folder), scale=RATE_SCALE)
+    return measures.latest_rates(_region_mart(spark, folder))
 
 
 @query
 def kpi_salary(spark, folder):
     """Salary at the newest date."""
-    return measures.latest_salary(_wage_mart(spark, folder), scale=0)
+    return measures.latest_salary(_wage_mart(spark, folder))
 
 
 @query
 def kpi_yoy(spark, folder):
     """B9 per region tier."""
     return measures.unemployment_change(
-        _region_mart(spark, folder), ["region_tier"], scale=RATE_SCALE
+        _region_mart(spark, folder), ["region_tier"]
     ).withColumn("yoy_change_pp", F.round("yoy_change_pp", 6))
 
 
@@ -829,20 +867,27 @@ def kpi_yoy_series(spark, folder):
 @query
 def kpi_average(spark, folder):
     """A14, B10 per region."""
-    return measures.average_gap(_region_mart(spark, folder), ["region"], RATE_SCALE)
+    return measures.average_gap(_region_mart(spark, folder), ["region"])
 
 
 @query
 def kpi_wage_average(spark, folder):
     """A14, B10 for wages."""
-    return measures.wage_averages(_wage_mart(spark, folder), scale=MONEY_SCALE)
+    return measures.wage_averages(_wage_mart(spark, folder))
 
 
 @query
 def kpi_status(spark, folder):
     """B11 per year."""
     mart = _wage_mart(spark, folder).withColumn("year", F.year("period_start_date"))
-    return measures.wage_status(mart, ["year"], MONEY_SCALE)
+    return measures.wage_status(mart, ["year"])
+
+
+@query
+def kpi_status_card(spark, folder):
+    """B11 per year with the text of the card."""
+    mart = _wage_mart(spark, folder).withColumn("year", F.year("period_start_date"))
+    return measures.wage_status(mart, ["year"], card_labels=True).select("year", "growth_status")
 
 
 @query
@@ -857,7 +902,7 @@ def kpi_by_year(spark, folder):
     regions = ["Auckland Region", "Otago Region"]
     chosen = filters.slicer(regions, "1999-01-01", "2000-12-31") | filters.slicer(year=1998)
     mart = _region_mart(spark, folder).filter(chosen)
-    return measures.average_gap(mart, ["year_num"], RATE_SCALE)
+    return measures.average_gap(mart, ["year_num"])
 
 
 # --- data checks ------------------------------------------------------------
@@ -866,10 +911,10 @@ def kpi_by_year(spark, folder):
 def _check_tables(spark, folder, names):
     builders = {
         "raw_household": lambda: testdata.household(spark, folder),
-        "raw_wages": lambda: testdata.wages(spark, folder, industries=False),
+        "raw_wages": lambda: testdata.wages(spark, folder),
         "raw_monthly": lambda: testdata.monthly(spark, folder),
         "stg_household": lambda: _household(spark, folder),
-        "stg_wages": lambda: _wages(spark, folder, industries=False),
+        "stg_wages": lambda: _wages(spark, folder),
         "stg_monthly": lambda: _monthly(spark, folder),
         "int_regional": lambda: _regional(spark, folder),
         "int_wage_trends": lambda: int_wage_trends(spark, folder),
@@ -932,7 +977,7 @@ def dq_future_periods(spark, folder):
 @query
 def dq_duplicates(spark, folder):
     """Series and periods that the wage table holds more than once."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     return quality.duplicate_keys(raw, ["series_reference", "period"])
 
 
@@ -952,7 +997,7 @@ def dq_singular(spark, folder):
 def dq_freshness(spark, folder):
     """D10 for three tables at a fixed moment."""
     results = [
-        quality.freshness(testdata.wages(spark, folder, industries=False), "raw_wages", AS_OF),
+        quality.freshness(testdata.wages(spark, folder), "raw_wages", AS_OF),
         quality.freshness(testdata.household(spark, folder), "raw_household", AS_OF),
         quality.freshness(
             testdata.table(spark, folder, "events"), "events", dt.datetime(2024, 9, 1), "ts"
@@ -996,7 +1041,7 @@ def build_and_check(spark, folder):
     }
     for name, raw in inputs.items():
         store.write(raw, name, AS_OF)
-    tables = build.build_models(store, START, AS_OF, WAGE_SCALE, MONEY_SCALE)
+    tables = build.build_models(store, START, AS_OF)
     return build.check_models(tables, START, 2000)
 
 
@@ -1008,7 +1053,7 @@ ROLES = [policies.ENGINEER, policies.ANALYST, policies.REPORTER, "ADMIN_ROLE"]
 @query
 def mask_values(spark, folder):
     """R1 for every role: what remains readable."""
-    raw = testdata.wages(spark, folder, industries=False)
+    raw = testdata.wages(spark, folder)
     per_role = [
         F.struct(
             F.lit(role).alias("role"),
@@ -1036,12 +1081,51 @@ def rows_for_role(spark, folder):
     return counted.select(region, "n", F.inline(F.array(*per_role))).filter("visible").drop("visible")
 
 
+@query
+def read_as_role(spark, folder):
+    """R1 to R3 as the store applies them: what each role reads of three stored tables."""
+    store = TableStore(spark, scratch_path(spark, "policies"))
+    store.write(testdata.wages(spark, folder), "raw_wages", AS_OF)
+    store.write(testdata.household(spark, folder), "raw_household", AS_OF)
+    store.write(_wage_mart(spark, folder), "mart_wage", AS_OF)
+    lines = []
+    for name, value in (("raw_wages", "data_value"), ("raw_household", "data_value"), ("mart_wage", "all_sectors_hourly_wage_nzd")):
+        for role in ROLES:
+            try:
+                rows = store.read(name, role=role)
+            except PermissionError:
+                continue
+            lines.append(
+                rows.agg(F.count("*").alias("n"), F.max(value).alias("highest")).select(
+                    F.lit(name).alias("table_name"), F.lit(role).alias("role"), "n", "highest"
+                )
+            )
+    return normalise.union_files(lines)
+
+
+@query
+def expired_versions(spark, folder):
+    """Versions beyond the retention window are gone, the newest always stays."""
+    store = TableStore(spark, scratch_path(spark, "retention"))
+    versions = _order_versions(spark, folder)
+    for at in VERSIONS:
+        wave = versions.filter(F.col("snapshot_ts") == F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
+        store.write(wave.drop("snapshot_ts", "_ingested_at"), "orders", at)
+    store.expire("orders", days=3, now=AS_OF)
+    left = [
+        store.read("orders", at).agg(F.count("*").alias("n")).select(F.lit(at.date()).alias("version"), "n")
+        for at in VERSIONS
+        if store.has("orders", at)
+    ]
+    return normalise.union_files(left)
+
+
 @query
 def layers_for_role(spark, folder):
     """Rows of each layer that a role may read."""
     layers = {
-        "raw": testdata.wages(spark, folder, industries=False),
-        "staging": _wages(spark, folder, industries=False),
+        "raw": testdata.wages(spark, folder),
+        "staging": _wages(spark, folder),
         "mart": _wage_mart(spark, folder),
     }
 
@@ -1150,6 +1234,28 @@ def ingest_archives(spark, folder):
     return rows.drop("_source_file")
 
 
+@query
+def archive_members(spark, folder):
+    """Status and rows of members of every kind."""
+    target = scratch_path(spark, "mixed")
+    rows = _text_rows(spark, folder).withColumnRenamed("period", "Period")
+    testdata.write_mixed_archives(rows, target).write.format("noop").mode("overwrite").save()
+    manifest = archives.member_manifest(spark, target)
+    return manifest.groupBy("member", "status").agg(F.sum("rows").alias("n_rows"))
+
+
+@query
+def load_metadata(spark, folder):
+    """Source file, source name and load time of every row of a load."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows = normalise.typed_rows(archives.read_archives(spark, _written_archives(spark, folder)))
+    store.load(rows, "raw_household", "household", AS_OF)
+    return store.read("raw_household").select(
+        "series_reference", "period", F.col("_source_file").rlike("^part-[0-9]+[.]csv$").alias("has_file"),
+        F.col("_source_name").alias("source_name"), F.to_date("_ingested_at").alias("loaded_on"),
+    )
+
+
 @query
 def ingest_csv_folder(spark, folder):
     """S3 to S7 through unpacked CSV files with two header spellings."""
@@ -1205,14 +1311,18 @@ def stored_table(spark, folder):
 
 @query
 def incremental_latest(spark, folder):
-    """Three waves of order files, the newest row per key wins."""
+    """Three waves of files with late and repeated keys, the newest row per key wins.
+
+    The newest wave arrives first, so the others change only what they know better.
+    """
     incoming, target = scratch_path(spark, "incoming"), scratch_path(spark, "landed")
     state = scratch_path(spark, "state")
-    waves = _order_versions(spark, folder).select(
-        "series_reference", "period", "data_value", "_ingested_at"
-    )
-    waves.write.parquet(incoming)
-    incremental.land_new_files(spark, incoming, target, state, waves.schema)
+    versions = _order_versions(spark, folder)
+    for at in reversed(VERSIONS):
+        wave = versions.filter(F.col("snapshot_ts") == F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
+        wave = wave.select("series_reference", "period", "data_value", "_ingested_at")
+        wave.write.mode("append").parquet(incoming)
+        incremental.land_new_files(spark, incoming, target, state, wave.schema)
     return incremental.current_rows(spark, target).withColumn(
         "_ingested_at", F.to_date("_ingested_at")
     )

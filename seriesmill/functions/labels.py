@@ -171,6 +171,14 @@ def wage_growth_status(growth: Column) -> Column:
     )
 
 
+def wage_growth_card(growth: Column) -> Column:
+    """C18, the text on the card: a missing growth counts as zero."""
+    known = F.coalesce(growth, F.lit(0.0))
+    return ladder(
+        [(known >= 5, "🟢 Strong"), (known >= 2.5, "🟡 Moderate"), (known >= 0, "🟠 Slow")], "🔴 Declining"
+    )
+
+
 def growth_light(growth: Column) -> Column:
     """NULL growth gives NULL."""
     return ladder([(growth >= 5, "Green"), (growth >= 0, "Amber"), (growth < 0, "Red")])

@@ -60,29 +60,35 @@ def annualise(hourly: Column) -> Column:
     return F.round(hourly * F.lit(40) * F.lit(52), 0)
 
 
-def _minor_units(value: Column, scale: int) -> Column:
-    return F.rint(value * F.lit(10.0**scale)).cast("bigint")
+# Sums keep ten digits behind the point. Values up to this size are added exactly.
+_EXACT, _LARGEST = "decimal(38,10)", 1e18
 
 
-def total(value: Column, scale: int | None = None) -> Column:
-    """Sum of a double column.
+def total(value: Column) -> Column:
+    """Sum of a double column, the same in whatever order its rows arrive.
 
-    With `scale` the values are added as whole units of 10**-scale, so the result
-    does not depend on the order in which partitions or retried tasks arrive, and
-    the addition stays in 64-bit integers inside generated code. An overflow
-    raises under ANSI mode.
+    The values are added as decimals with ten digits behind the point, so partitions,
+    retried tasks and the ANSI setting make no difference. Only a group with a value
+    beyond 1e18, with one that is not finite, or with a sum beyond 1e28 gets the plain
+    sum of doubles.
     """
-    if scale is None:
-        return F.sum(value)
-    return F.sum(_minor_units(value, scale)).cast("double") / F.lit(10.0**scale)
+    fits = F.abs(value) < F.lit(_LARGEST)
+    exact = F.try_sum(F.when(fits, value.cast(_EXACT)))
+    inexact = (F.count_if(~fits) > 0) | (exact.isNull() & (F.count(value) > 0))
+    return F.when(inexact, F.sum(value)).otherwise(exact.cast("double"))
 
 
-def mean(value: Column, scale: int | None = None) -> Column:
-    """Mean of a double column, NULL for no values; `scale` as in `total`."""
-    if scale is None:
-        return F.avg(value)
+def exact_total(value: Column) -> Column:
+    """Sum as a decimal, to be added up further; values beyond 1e18 raise."""
+    fits = F.abs(value) < F.lit(_LARGEST)
+    refused = F.raise_error(F.lit("value too large for an exact sum")).cast(_EXACT)
+    return F.sum(F.when(value.isNull() | fits, value.cast(_EXACT)).otherwise(refused))
+
+
+def mean(value: Column) -> Column:
+    """Mean of a double column, NULL for no values; the sum is that of `total`."""
     n = F.count(value)
-    return F.when(n > 0, total(value, scale) / n)
+    return F.when(n > 0, total(value) / n)
 
 
 def signed_text(value: Column, digits: int = 1) -> Column:

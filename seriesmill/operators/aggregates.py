@@ -31,24 +31,17 @@ def pivot_by_value(
     )
 
 
-def mean_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
-) -> DataFrame:
+def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """A1/A5/A10: unweighted mean per group, NULLs skipped."""
-    return df.groupBy(*keys).agg(numbers.mean(F.col(value), scale).alias(name))
+    return df.groupBy(*keys).agg(numbers.mean(F.col(value)).alias(name))
 
 
 def rounded_mean_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    digits: int = 2,
-    scale: int | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, name: str, digits: int = 2
 ) -> DataFrame:
     """Rounded mean and row count per group."""
     return df.groupBy(*keys).agg(
-        F.round(numbers.mean(F.col(value), scale), digits).alias(name),
+        F.round(numbers.mean(F.col(value)), digits).alias(name),
         F.count("*").alias("series_count"),
     )
 
@@ -86,14 +79,13 @@ def mean_at_latest(
     name: str,
     keys: Sequence[str] = (),
     date: str = "period_start_date",
-    scale: int | None = None,
 ) -> DataFrame:
     """Mean of the rows at the latest date, per `keys` or overall.
 
     Aggregates to one row per date first and then keeps the newest, so the table
     is scanned once. The latest date is that of the rows given.
     """
-    per_date = mean_by(df, [*keys, date], value, "_mean", scale)
+    per_date = mean_by(df, [*keys, date], value, "_mean")
     return per_date.groupBy(*keys).agg(
         F.max(date).alias("latest_date"), F.max_by("_mean", date).alias(name)
     )

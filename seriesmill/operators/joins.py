@@ -32,6 +32,9 @@ def with_benchmark(
     region row doubles, with none the figures are NULL. The national rows travel
     as a short array (one entry per label) over a window per date, which reads
     the table once instead of twice. National rows leave the result.
+
+    The window holds all rows of a date, so `df` must be reduced to one row per date
+    and region, as M4 is.
     """
     national = F.col(region).isin(list(labels)) & F.col(date).isNotNull()
     figures = F.struct(*(F.col(m).alias(prefix + m) for m in measures))
@@ -101,8 +104,20 @@ def missing_combinations(
 
 
 def at_latest_period(df: DataFrame, period: str = "period") -> DataFrame:
-    """Rows of the newest period, by a scalar subquery."""
-    return df.filter(F.col(period) == df.agg(F.max(period)).scalar())
+    """Rows of the newest period, by a scalar subquery.
+
+    Periods are compared by the day on which they start, since `2025M9` is greater than
+    `2025M12` as text. A label without such a day is never the newest. A stored table
+    is partitioned by year, and only the partition of the newest year is read for the
+    rows.
+    """
+    label = F.col(period)
+    start = F.when(periods.is_quarterly(label), periods.period_to_date(label)).when(
+        periods.is_monthly(label), periods.period_to_date(label, "monthly")
+    )
+    newest = df.agg(F.max(start)).scalar()
+    rows = df.filter(start == newest)
+    return rows.filter(F.col("period_year") == F.year(newest)) if "period_year" in df.columns else rows
 
 
 def star_by_date(facts: DataFrame, wages: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,24 +132,26 @@ def year_ago_by_shift(
 ) -> DataFrame:
     """J4 for keys with more dates than one window partition should hold.
 
-    Needs one row per key and date. Every row is sent to its own date and, as the
-    earlier value, to the date a year later; both meet by aggregation. That equals
-    the left self join on the shifted date with one scan and one shuffle, and no
-    group holds more than two rows.
+    Needs one row per key and date. Every row answers for its own date and asks for the
+    date twelve months earlier, for which February may be cut to its 28th; answers and
+    questions meet by aggregation. That equals the left self join on the shifted date
+    with one scan and one shuffle. Two days can ask for the same earlier day, so a
+    group holds three rows at most.
     """
-    missing = F.lit(None).cast(df.schema[value].dataType)
-    here = F.struct(
-        F.col(date).alias("_at"), F.col(value).alias("_now"), missing.alias("_then"),
-        F.lit(True).alias("_own"),
-    )
-    later = F.struct(
-        F.add_months(date, 12).alias("_at"), missing.alias("_now"), F.col(value).alias("_then"),
-        F.lit(False).alias("_own"),
+    kind = df.schema[value].dataType
+    asking = F.struct(F.col(date).alias("day"), F.col(value).alias("now"))
+    nobody = F.lit(None).cast(f"struct<day:{df.schema[date].dataType.simpleString()},now:{kind.simpleString()}>")
+    answer = F.struct(F.col(date).alias("_at"), F.col(value).alias("_then"), nobody.alias("_ask"))
+    question = F.struct(
+        F.add_months(date, -12).alias("_at"), F.lit(None).cast(kind).alias("_then"), asking.alias("_ask")
     )
     met = (
-        df.select(*keys, F.inline(F.array(here, later)))
+        df.select(*keys, F.inline(F.array(answer, question)))
         .groupBy(*keys, "_at")
-        .agg(F.max("_now").alias(value), F.max("_then").alias(name), F.max("_own").alias("_own"))
+        .agg(F.max("_then").alias("_then"), F.collect_list("_ask").alias("_asks"))
+    )
+    each = met.select(*keys, "_at", "_then", F.explode("_asks").alias("_ask"))
+    earlier = F.when(F.col("_at").isNotNull(), F.col("_then"))
+    return each.select(
+        *keys, F.col("_ask.day").alias(date), F.col("_ask.now").alias(value), earlier.alias(name)
     )
-    earlier = F.when(F.col("_at").isNotNull(), F.col(name))
-    return met.filter("_own").select(*keys, F.col("_at").alias(date), value, earlier.alias(name))

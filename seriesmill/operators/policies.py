@@ -64,6 +64,20 @@ def layers_for(role: str) -> tuple[str, ...]:
     return READABLE_LAYERS.get(role, ())
 
 
+# Layer of a stored table by the start of its name, and the policies attached to tables.
+LAYER_OF = {"raw": "raw", "stg": "staging", "int": "intermediate", "mart": "mart"}
+MASKED_COLUMNS = {"raw_wages": "data_value"}
+REGION_COLUMNS = {"raw_household": "series_title_3"}
+
+
+def as_role(df: DataFrame, table: str, role: str) -> DataFrame:
+    """What a role gets of a stored table."""
+    seen = published(df, LAYER_OF.get(table.partition("_")[0], "raw"), role)
+    if table in REGION_COLUMNS:
+        seen = rows_for(seen, role, REGION_COLUMNS[table])
+    return mask(seen, MASKED_COLUMNS[table], role) if table in MASKED_COLUMNS else seen
+
+
 def published(df: DataFrame, layer: str, role: str) -> DataFrame:
     """Hand out a table of a layer, or refuse."""
     if layer not in layers_for(role):

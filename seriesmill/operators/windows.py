@@ -58,29 +58,26 @@ def rank_columns(value: str, keys: Sequence[str]) -> dict[str, Column]:
     }
 
 
-def rank_rows(df: DataFrame, key: str, value: str, cell_width: float) -> DataFrame:
+def rank_rows(df: DataFrame, key: str, value: str, cells: int = 256) -> DataFrame:
     """W4/W5 for an unreduced table: exact ranks even if one key holds most rows.
 
-    Rows are first counted per (key, value). The value axis is cut into cells of
-    `cell_width`; ranks inside a cell come from a window over that cell, and the
-    rows below a cell from a window over the cell totals. No window partition
-    holds more than the distinct values of one cell or the cells of one key. The
-    ranks then go back to the rows by an equi join. Rows without a value keep
-    NULL ranks.
+    Rows are first counted per (key, value). The value axis is cut at quantiles of these
+    values into `cells` cells of about equal size, wherever the values lie. Ranks inside
+    a cell come from a window over that cell, and the rows below a cell from a window
+    over the cell totals. So no window partition holds more than one cell's share of all
+    distinct values, or the cells of one key. The quantiles are approximate, which moves
+    the cuts but not the ranks. The ranks then go back to the rows by an equi join. Rows
+    without a value keep NULL ranks.
     """
-    # Spark orders NaN above all numbers; a cast beyond 64 bits stops at the last cell.
-    last_cell = F.lit(2**63 - 1)
-    cell = F.when(F.isnan(F.col(value).cast("double")), last_cell).otherwise(
-        F.floor(F.col(value) / F.lit(float(cell_width)))
-    )
-    values = (
-        df.filter(F.col(value).isNotNull() & cell.isNotNull())
-        .groupBy(F.col(key), F.col(value), cell.alias("_cell"))
-        .agg(F.count("*").alias("_n"))
-    )
+    values = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
+    shares = [i / cells for i in range(1, cells)]
+    cuts = values.agg(F.percentile_approx(value, shares, 20 * cells)).scalar()
+    # Spark orders NaN above all numbers, and so does the comparison.
+    cell = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    values = values.withColumn("_cuts", cuts).withColumn("_cell", cell).drop("_cuts")
     whole_key = Window.partitionBy(key)
     earlier_cells = whole_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (
+    totals = (
         values.groupBy(key, "_cell")
         .agg(F.sum("_n").alias("_cell_n"))
         .select(
@@ -95,7 +92,7 @@ def rank_rows(df: DataFrame, key: str, value: str, cell_width: float) -> DataFra
     )
     counted = values.withColumn("_below", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
     joined = counted.join(
-        cells, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_cell") == F.col("_cell_id"))
+        totals, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_cell") == F.col("_cell_id"))
     )
     below = F.col("_below_cell") + F.col("_below")
     rest = F.col("_total") - F.lit(1)
@@ -113,13 +110,12 @@ def rank_rows(df: DataFrame, key: str, value: str, cell_width: float) -> DataFra
 def latest_and_previous(
     df: DataFrame, key: str, period: str, value: str
 ) -> DataFrame:
-    """Newest row per key with the value before it."""
+    """Newest row per key with the value before it, in one order of the rows."""
     ordered = Window.partitionBy(key).orderBy(F.col(period).asc_nulls_first())
-    newest = Window.partitionBy(key).orderBy(F.col(period).desc_nulls_last())
     return (
         df.withColumn("previous_value", F.lag(value, 1).over(ordered))
-        .withColumn("_place", F.row_number().over(newest))
-        .filter(F.col("_place") == 1)
+        .withColumn("_later", F.lead(F.lit(1), 1).over(ordered))
+        .filter(F.col("_later").isNull())
         .select(
             key,
             period,

@@ -22,10 +22,11 @@ def build_models(
     store: TableStore,
     start_year: int = schema.DEFAULT_START_YEAR,
     at: dt.datetime | None = None,
-    wage_scale: int | None = None,
-    money_scale: int | None = None,
 ) -> dict[str, DataFrame]:
-    """All eleven tables by name."""
+    """All tables by name. Each raw table is scanned once for the models.
+
+    The wages are reduced to their cells first, which both wage models read.
+    """
     at = at or utc_now()
     refreshed = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     raw = {name: store.read(name) for name in schema.RAW_TABLES}
@@ -41,31 +42,26 @@ def build_models(
     staged = {name: kept(name, "staging", df) for name, df in staged.items()}
 
     def regional() -> dict[str, DataFrame]:
-        model = marts.regional_employment(
-            staged["stg_household"], staged["stg_monthly"], value_scale=money_scale
-        )
+        model = marts.regional_employment(staged["stg_household"], staged["stg_monthly"])
         stored = kept("int_regional", "intermediate", model)
         mart = kept("mart_regional", "mart", marts.regional_mart(stored, refreshed))
         return {"int_regional": stored, "mart_regional": mart}
 
     def wages() -> dict[str, DataFrame]:
-        model = marts.wage_trends(staged["stg_wages"], wage_scale)
-        stored = kept("int_wage_trends", "intermediate", model)
+        cells = kept("int_wage_cells", "intermediate", marts.wage_cells(staged["stg_wages"]))
+        stored = kept("int_wage_trends", "intermediate", marts.wage_trends(cells))
         return {
             "int_wage_trends": stored,
             "mart_wage": kept("mart_wage", "mart", marts.wage_mart(stored, refreshed)),
+            "mart_industry": kept("mart_industry", "mart", marts.industry_mart(cells, refreshed)),
         }
 
-    def industries() -> dict[str, DataFrame]:
-        mart = marts.industry_mart(staged["stg_wages"], refreshed, wage_scale)
-        return {"mart_industry": kept("mart_industry", "mart", mart)}
-
-    # The three chains do not need each other; run together they fill the executors
+    # The two chains do not need each other; run together they fill the executors
     # that the last tasks of one chain leave idle.
     with ThreadPoolExecutor() as pool:
-        chains = [pool.submit(chain) for chain in (regional, wages, industries)]
+        chains = [pool.submit(chain) for chain in (regional, wages)]
         built = [chain.result() for chain in chains]
-    return {**raw, **staged, **built[0], **built[1], **built[2]}
+    return {**raw, **staged, **built[0], **built[1]}
 
 
 def check_models(

@@ -11,14 +11,13 @@ from seriesmill import schema
 from seriesmill.functions import labels, numbers
 from seriesmill.functions.text import has
 from seriesmill.operators import aggregates, joins, windows
+from seriesmill.sources.tables import TableStore
 
 
-def small_result(df: DataFrame, most: int = 100_000):
-    """A finished report as a pandas frame; refuses anything larger than a report."""
-    rows = df.limit(most + 1).toPandas()
-    if len(rows) > most:
-        raise ValueError(f"result has more than {most} rows, aggregate it first")
-    return rows
+def stored_report(df: DataFrame, store: TableStore, name: str) -> DataFrame:
+    """A finished report as a stored table, of whatever size."""
+    store.write(df, name)
+    return store.read(name)
 
 
 def _unemployment(household_raw: DataFrame, regions: Sequence[str]) -> DataFrame:
@@ -67,7 +66,7 @@ def national_trend(household_raw: DataFrame, by_measure: bool = False) -> DataFr
 def wage_rows(
     wages_raw: DataFrame, layout: dict[str, str] = schema.WAGE_DASHBOARD_LAYOUT
 ) -> DataFrame:
-    """B3, first part: hourly ordinary-time wages in a plausible range."""
+    """B3, first part: hourly ordinary-time wages in a plausible range, newest period first."""
     rows = wages_raw.filter(
         (F.col("units") == "Dollars")
         & F.col("data_value").between(20, 150)
@@ -77,16 +76,19 @@ def wage_rows(
         *(F.col(title).alias(name) for title, name in layout.items()),
         "period",
         F.col("data_value").alias("wage"),
-    )
+    ).orderBy(F.col("period").desc())
+
 
+def sector_wages(rows: DataFrame) -> DataFrame:
+    """B3, second part: mean wage of the two sectors, both sexes.
 
-def sector_wages(rows: DataFrame, value_scale: int | None = None) -> DataFrame:
-    """B3, second part: mean wage of the two sectors, both sexes."""
+    Spark drops the order of the rows before it aggregates.
+    """
     kept = rows.filter(
         F.col("sector").isin("Public Sector", "Private Sector")
         & (F.col("sex") == "Total Both Sexes")
     )
-    return aggregates.mean_by(kept, ["sector", "period"], "wage", "wage", value_scale)
+    return aggregates.mean_by(kept, ["sector", "period"], "wage", "wage")
 
 
 def latest_ranking(

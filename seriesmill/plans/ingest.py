@@ -33,9 +33,11 @@ class RunReport:
         return spark.createDataFrame(self.lines, REPORT)
 
 
-def read_source(spark: SparkSession, source: Source) -> DataFrame:
-    """Typed rows of one source."""
-    return normalise.typed_rows(archives.read_archives(spark, source.path))
+def read_source(spark: SparkSession, source: Source) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of one source, and the status of its archive members."""
+    parsed = archives.parse_archives(spark, source.path)
+    archives.require_series(parsed, source.path)
+    return normalise.typed_rows(parsed.rows), parsed.manifest
 
 
 def run_sources(
@@ -45,26 +47,30 @@ def run_sources(
 
     Trouble while reading stops the run with status 2. Trouble while loading
     counts against that source only: 0 when all loaded, 1 when some, 2 when none.
-    A source without a target table is reported and skipped.
+    A source without a target table is reported and skipped. Members that were left out
+    are counted in the report and in the audit log, and the status of every member is
+    kept in the table `members_<source>`.
     """
     frames = {}
     for source in sources:
         try:
             frames[source] = read_source(spark, source)
         except Exception as error:  # noqa: BLE001
-            line = (source.name, source.target_table, "EXTRACT FAILED", 0, str(error)[:2000])
+            line = (source.name, source.target_table, "EXTRACT FAILED", 0, str(error))
             return RunReport([line], 2)
 
     lines, loaded, failed = [], 0, 0
-    for source, rows in frames.items():
+    for source, (rows, manifest) in frames.items():
         if source.target_table is None:
             lines.append((source.name, None, "SKIPPED", 0, "no target table"))
             continue
         try:
-            n = store.load(rows, source.target_table, source.name, at)
-            lines.append((source.name, source.target_table, "SUCCESS", n, None))
+            note = archives.left_out(manifest)
+            store.write(manifest, f"members_{source.name}", at)
+            n = store.load(rows, source.target_table, source.name, at, note)
+            lines.append((source.name, source.target_table, "SUCCESS", n, note))
             loaded += 1
         except Exception as error:  # noqa: BLE001
-            lines.append((source.name, source.target_table, "FAILED", 0, str(error)[:2000]))
+            lines.append((source.name, source.target_table, "FAILED", 0, str(error)))
             failed += 1
     return RunReport(lines, 0 if failed == 0 else 1 if loaded else 2)

@@ -2,8 +2,7 @@
 
 Each survey table is scanned once and reduced by a partial aggregate straight to
 the grain of the model. Everything after that aggregate works on period-grain
-rows. `value_scale` (decimal places of the published values) makes sums and means
-independent of the order of addition; without it they are plain double sums.
+rows. The wage models share one such aggregate (`wage_cells`).
 """
 
 from __future__ import annotations
@@ -72,7 +71,7 @@ def regional_rates(
     )
 
 
-def quarterly_jobs(monthly: DataFrame, value_scale: int | None = None) -> DataFrame:
+def quarterly_jobs(monthly: DataFrame) -> DataFrame:
     """A4: mean filled jobs and total gross earnings per quarter and region.
 
     Total-industry rows count beside the industries and partial quarters are kept.
@@ -84,8 +83,8 @@ def quarterly_jobs(monthly: DataFrame, value_scale: int | None = None) -> DataFr
         monthly.filter(~F.col("is_seasonally_adjusted"))
         .groupBy(*joins.QUARTER_REGION)
         .agg(
-            numbers.mean(jobs, value_scale).alias("avg_monthly_filled_jobs"),
-            numbers.total(earnings, value_scale).alias("total_quarterly_gross_earnings_nzd"),
+            numbers.mean(jobs).alias("avg_monthly_filled_jobs"),
+            numbers.total(earnings).alias("total_quarterly_gross_earnings_nzd"),
         )
     )
 
@@ -95,14 +94,13 @@ def regional_employment(
     monthly: DataFrame,
     age_group: str | None = None,
     strict_labels: bool = False,
-    value_scale: int | None = None,
 ) -> DataFrame:
     """M4: region and quarter."""
     year, quarter, region = (F.col(c) for c in joins.QUARTER_REGION)
     rates = regional_rates(
         household.filter(F.col("region").isNotNull()), age_group, strict_labels
     )
-    jobs = quarterly_jobs(monthly.filter(F.col("region").isNotNull()), value_scale)
+    jobs = quarterly_jobs(monthly.filter(F.col("region").isNotNull()))
     return joins.left_on_quarter_region(rates, jobs).select(
         periods.quarter_start(year, quarter).alias("period_start_date"),
         "year_num",
@@ -153,23 +151,40 @@ def regional_mart(regional: DataFrame, refreshed_at: Column | None = None) -> Da
 # --- wages ------------------------------------------------------------------
 
 
-def hourly_by_sector(wages: DataFrame, value_scale: int | None = None) -> DataFrame:
-    """A5: unweighted mean hourly wage per quarter and sector."""
-    hourly = wages.filter(
-        (F.col("wage_frequency") == "Hourly") & F.col("wage_nzd").isNotNull()
-    )
-    means = aggregates.mean_by(
-        hourly, [*QUARTER, "sector_clean"], "wage_nzd", "avg_hourly_wage_nzd", value_scale
+def wage_cells(wages: DataFrame) -> DataFrame:
+    """Sum and number of staged wages per quarter, sector, industry and frequency.
+
+    All wage models are sums over these cells, so one scan of the wages serves them.
+    """
+    if "wage_total" in wages.columns:
+        return wages
+    keys = [*QUARTER, "sector_clean", "industry_anzsic", "wage_frequency"]
+    return wages.groupBy(*keys).agg(
+        numbers.exact_total(F.col("wage_nzd")).alias("wage_total"),
+        F.count("wage_nzd").alias("wage_count"),
+        F.count("*").alias("row_count"),
     )
+
+
+def _mean_of_cells(cells: DataFrame, keys: list[str], name: str) -> DataFrame:
+    n = F.sum("wage_count")
+    mean = F.when(n > 0, F.sum("wage_total").cast("double") / n)
+    return cells.groupBy(*keys).agg(mean.alias(name), F.sum("row_count").alias("series_count"))
+
+
+def hourly_by_sector(wages: DataFrame) -> DataFrame:
+    """A5: unweighted mean hourly wage per quarter and sector, from staged wages or their cells."""
+    hourly = wage_cells(wages).filter((F.col("wage_frequency") == "Hourly") & (F.col("wage_count") > 0))
+    means = _mean_of_cells(hourly, [*QUARTER, "sector_clean"], "avg_hourly_wage_nzd").drop("series_count")
     return means.withColumn(
         "year_quarter_label", periods.quarter_label(F.col("year_num"), F.col("quarter_num"))
     )
 
 
-def wage_growth_detail(wages: DataFrame, value_scale: int | None = None) -> DataFrame:
+def wage_growth_detail(wages: DataFrame) -> DataFrame:
     """Sector and quarter: growth over one and two years and the four-quarter mean."""
     wage, key = "avg_hourly_wage_nzd", ["sector_clean"]
-    compared = hourly_by_sector(wages, value_scale).withColumns(
+    compared = hourly_by_sector(wages).withColumns(
         {
             "wage_1yr_ago": windows.rows_back(wage, 4, key),
             "wage_2yr_ago": windows.rows_back(wage, 8, key),
@@ -188,11 +203,11 @@ def wage_growth_detail(wages: DataFrame, value_scale: int | None = None) -> Data
     )
 
 
-def wage_trends(wages: DataFrame, value_scale: int | None = None) -> DataFrame:
+def wage_trends(wages: DataFrame) -> DataFrame:
     """M5: one row per quarter, sectors side by side."""
     wage, growth = "avg_hourly_wage_nzd", "yoy_wage_growth_pct"
     wide = aggregates.pivot_by_value(
-        wage_growth_detail(wages, value_scale),
+        wage_growth_detail(wages),
         [*QUARTER, "year_quarter_label"],
         "sector_clean",
         {
@@ -232,19 +247,18 @@ def wage_mart(trends: DataFrame, refreshed_at: Column | None = None) -> DataFram
     )
 
 
-def industry_mart(
-    wages: DataFrame, refreshed_at: Column | None = None, value_scale: int | None = None
-) -> DataFrame:
-    """M8: industry and quarter; ranks, bands and growth run on the rounded mean."""
+def industry_mart(wages: DataFrame, refreshed_at: Column | None = None) -> DataFrame:
+    """M8: industry and quarter; ranks, bands and growth run on the rounded mean.
+
+    Staged wages are positive, so that rule needs no test here.
+    """
     industry, wage = F.col("industry_anzsic"), "avg_hourly_wage_nzd"
-    rows = wages.filter(
+    rows = wage_cells(wages).filter(
         (F.col("wage_frequency") == "Hourly")
-        & (F.col("wage_nzd") > 0)
         & none_of(industry, schema.TOTAL_INDUSTRIES, trimmed=True)
     )
-    means = aggregates.rounded_mean_by(
-        rows, [*QUARTER, "industry_anzsic"], "wage_nzd", wage, 2, value_scale
-    )
+    means = _mean_of_cells(rows, [*QUARTER, "industry_anzsic"], wage)
+    means = means.withColumn(wage, F.round(wage, 2))
     ranked = means.withColumns(windows.rank_columns(wage, ["period_start_date"])).withColumn(
         "wage_1yr_ago_nzd", windows.rows_back(wage, 4, ["industry_anzsic"])
     )
@@ -269,16 +283,14 @@ def industry_mart(
     )
 
 
-def industry_wages_unrounded(wages: DataFrame, value_scale: int | None = None) -> DataFrame:
+def industry_wages_unrounded(wages: DataFrame) -> DataFrame:
     """The second ranking of the reference: unrounded means, labels not trimmed,
     bands on the unrounded position (C13)."""
-    rows = wages.filter(
+    rows = wage_cells(wages).filter(
         (F.col("wage_frequency") == "Hourly")
         & none_of(F.col("industry_anzsic"), schema.TOTAL_INDUSTRIES)
     )
-    means = aggregates.mean_by(
-        rows, [*QUARTER, "industry_anzsic"], "wage_nzd", "_wage", value_scale
-    )
+    means = _mean_of_cells(rows, [*QUARTER, "industry_anzsic"], "_wage")
     ranked = means.withColumns(windows.rank_columns("_wage", ["period_start_date"]))
     return ranked.select(
         *QUARTER,

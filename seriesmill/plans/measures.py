@@ -13,11 +13,11 @@ from seriesmill.operators import aggregates, windows
 DATE = "period_start_date"
 
 
-def latest_rates(region_mart: DataFrame, keys: Sequence[str] = (), scale: int | None = None) -> DataFrame:
+def latest_rates(region_mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean unemployment and employment rate at the newest date."""
     per_date = region_mart.groupBy(*keys, DATE).agg(
-        numbers.mean(F.col("unemployment_rate_pct"), scale).alias("_unemployment"),
-        numbers.mean(F.col("employment_rate_pct"), scale).alias("_employment"),
+        numbers.mean(F.col("unemployment_rate_pct")).alias("_unemployment"),
+        numbers.mean(F.col("employment_rate_pct")).alias("_employment"),
     )
     return per_date.groupBy(*keys).agg(
         F.max(DATE).alias("latest_date"),
@@ -26,22 +26,19 @@ def latest_rates(region_mart: DataFrame, keys: Sequence[str] = (), scale: int |
     )
 
 
-def latest_salary(wage_mart: DataFrame, scale: int | None = None) -> DataFrame:
+def latest_salary(wage_mart: DataFrame) -> DataFrame:
     """Estimated annual salary at the newest date."""
-    return aggregates.mean_at_latest(
-        wage_mart, "estimated_annual_salary_nzd", "estimated_annual_salary_nzd", scale=scale
-    )
+    salary = "estimated_annual_salary_nzd"
+    return aggregates.mean_at_latest(wage_mart, salary, salary)
 
 
-def unemployment_change(
-    region_mart: DataFrame, keys: Sequence[str] = (), scale: int | None = None
-) -> DataFrame:
+def unemployment_change(region_mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Newest mean rate against the mean of exactly twelve months earlier.
 
     NULL when there is no earlier rate. `keys` gives one row per slice.
     """
     per_date = aggregates.mean_by(
-        region_mart, [*keys, DATE], "unemployment_rate_pct", "_rate", scale
+        region_mart, [*keys, DATE], "unemployment_rate_pct", "_rate"
     )
     compared = per_date.withColumn("_prior", windows.months_back("_rate", 12, keys, DATE))
     newest = compared.groupBy(*keys).agg(
@@ -60,29 +57,36 @@ def unemployment_change_series(region_mart: DataFrame) -> DataFrame:
     ).withColumn("yoy_change_pp", F.col("unemployment_rate_pct") - F.col("rate_1yr_ago"))
 
 
-def average_gap(region_mart: DataFrame, keys: Sequence[str] = (), scale: int | None = None) -> DataFrame:
+def average_gap(region_mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean gap of the regions to the nation."""
     return aggregates.mean_by(
-        region_mart, keys, "unemployment_rate_vs_nz_pp", "regional_vs_national_gap", scale
+        region_mart, keys, "unemployment_rate_vs_nz_pp", "regional_vs_national_gap"
     )
 
 
-def wage_averages(wage_mart: DataFrame, keys: Sequence[str] = (), scale: int | None = None) -> DataFrame:
+def wage_averages(wage_mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean public premium and mean public-private gap."""
     return wage_mart.groupBy(*keys).agg(
-        numbers.mean(F.col("public_premium_pct"), scale).alias("public_sector_premium_pct"),
-        numbers.mean(F.col("public_vs_private_gap_nzd"), scale).alias("wage_gap_nzd"),
+        numbers.mean(F.col("public_premium_pct")).alias("public_sector_premium_pct"),
+        numbers.mean(F.col("public_vs_private_gap_nzd")).alias("wage_gap_nzd"),
     )
 
 
-def wage_status(wage_mart: DataFrame, keys: Sequence[str] = (), scale: int | None = None) -> DataFrame:
-    """Status and traffic light of the mean growth; NULL without growth."""
+def wage_status(
+    wage_mart: DataFrame, keys: Sequence[str] = (), card_labels: bool = False
+) -> DataFrame:
+    """Status and traffic light of the mean growth; NULL without growth.
+
+    `card_labels` gives the status its other text, in which a missing growth counts as
+    zero and therefore reads as slow.
+    """
+    status = labels.wage_growth_card if card_labels else labels.wage_growth_status
     growth = aggregates.mean_by(
-        wage_mart, keys, "all_sectors_wage_yoy_growth_pct", "avg_growth_pct", scale
+        wage_mart, keys, "all_sectors_wage_yoy_growth_pct", "avg_growth_pct"
     )
     return growth.withColumns(
         {
-            "growth_status": labels.wage_growth_status(F.col("avg_growth_pct")),
+            "growth_status": status(F.col("avg_growth_pct")),
             "growth_light": labels.growth_light(F.col("avg_growth_pct")),
         }
     )
@@ -94,3 +98,33 @@ def gap_lights(region_mart: DataFrame) -> DataFrame:
     return region_mart.select(
         DATE, "region", "unemployment_rate_vs_nz_pp", labels.gap_light(gap).alias("gap_light")
     )
+
+
+def headline(regional: DataFrame, trends: DataFrame) -> DataFrame:
+    """The four figures of the first page, from the national rows of M4 and from M5.
+
+    Unemployment and employment rate and people employed at the newest quarter, with
+    their change on the quarter before, and the mean hourly wage with its growth on a
+    year earlier. Both inputs have one row per quarter once they are national.
+    """
+    national = regional.filter(F.col("region") == "New Zealand")
+    figures = ["unemployment_rate_pct", "employment_rate_pct", "employed_count"]
+    compared = national.select(
+        DATE, *figures, *(windows.months_back(f, 3, ["region"]).alias(f"_{f}") for f in figures)
+    )
+    place = F.max_by(F.struct(*figures, *(f"_{f}" for f in figures)), DATE).alias("now")
+    people = compared.agg(F.max(DATE).alias("latest_date"), place)
+    wage = F.struct("all_sectors_hourly_wage", "all_sectors_yoy_growth_pct")
+    wages = trends.filter(F.col("all_sectors_hourly_wage").isNotNull())
+    newest_wage = wages.agg(F.max_by(wage, DATE)).scalar()
+    return people.withColumn("wage", newest_wage).select(
+        "latest_date",
+        F.round("now.unemployment_rate_pct", 1).alias("unemployment_rate_pct"),
+        numbers.point_gap(F.col("now.unemployment_rate_pct"), F.col("now._unemployment_rate_pct")).alias("unemployment_change_pp"),
+        F.round("now.employment_rate_pct", 1).alias("employment_rate_pct"),
+        numbers.point_gap(F.col("now.employment_rate_pct"), F.col("now._employment_rate_pct")).alias("employment_change_pp"),
+        F.round("wage.all_sectors_hourly_wage", 2).alias("hourly_wage_nzd"),
+        F.round("wage.all_sectors_yoy_growth_pct", 1).alias("wage_growth_pct"),
+        F.col("now.employed_count").alias("employed_count"),
+        (F.col("now.employed_count") - F.col("now._employed_count")).alias("employed_change"),
+    )

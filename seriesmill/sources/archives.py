@@ -4,12 +4,13 @@ Spark lists the archives and hands them out; tasks open them through the Arrow
 file-system layer, so any storage with random access works. Three steps:
 
 1. list members, one task item per archive (only the archive directory is read);
-2. check members, one item per member: is it a series file, and does it parse to
-   its end? A member that fails is left out as a whole and reported;
-3. read the good members, one item per member, in bounded chunks.
+2. parse members once, packed into tasks by their size: rows and one line with the
+   member's status go to a stored table. Is it a series file, and does it parse to
+   its end?
+3. leave out the rows of members that turned out bad; the statuses are the manifest.
 
 A compressed member cannot be split, so one member is one unit of work; its rows
-are streamed and never held together.
+are streamed in bounded chunks and never held together. The driver sees counts only.
 """
 
 from __future__ import annotations
@@ -17,31 +18,30 @@ from __future__ import annotations
 import csv
 import io
 import itertools
-import logging
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesmill import schema
 from seriesmill.functions import text
-from seriesmill.session import ship_package
+from seriesmill.session import scratch_path, ship_package
 from seriesmill.sources import normalise
 
-log = logging.getLogger(__name__)
-
 CHUNK_ROWS = 50_000
 TASK_BYTES = 32 * 1024**2  # unpacked bytes that are worth a task of their own
 PERIOD_HEADERS = ("Period", "period")
 
 _MEMBERS = "archive string, member string, bytes bigint"
-_MANIFEST = _MEMBERS + ", status string, rows bigint, detail string"
+# Columns beside those of a series row: where it comes from and what became of the member.
+_ORIGIN = ["_archive", "_member", "_verdict", "_rows", "_detail"]
 
 
 def is_series_member(name: str) -> bool:
@@ -50,7 +50,7 @@ def is_series_member(name: str) -> bool:
     return name.endswith(".csv") and not any(w in lowered for w in schema.SKIPPED_MEMBER_WORDS)
 
 
-def _locate(path: str) -> tuple[arrow_fs.FileSystem, str]:
+def locate(path: str) -> tuple[arrow_fs.FileSystem, str]:
     """Arrow file system and path for a path as Spark prints it."""
     if path.startswith("file:"):
         return arrow_fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
@@ -60,7 +60,7 @@ def _locate(path: str) -> tuple[arrow_fs.FileSystem, str]:
 
 @contextmanager
 def _archive(path: str):
-    file_system, inner = _locate(path)
+    file_system, inner = locate(path)
     with file_system.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
         yield archive
 
@@ -112,43 +112,45 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _check_member(path: str, member: str | None) -> tuple[str, int, str | None]:
-    if member is None:
-        return "no candidate", 0, None
-    rows = 0
-    try:
-        with _archive(path) as archive:
-            for chunk in _chunks(archive, member):
-                if not any(name in chunk.columns for name in PERIOD_HEADERS):
-                    return "no period column", 0, None
-                rows += len(chunk)
-    except (ValueError, zipfile.BadZipFile, zipfile.zlib.error) as error:
-        return "unreadable", 0, str(error)[:500]
-    return "series", rows, None
-
-
-def _check_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for item in batch.to_pylist():
-            status, rows, detail = _check_member(item["archive"], item["member"])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "archive": [item["archive"]],
-                    "member": pa.array([item["member"]], pa.string()),
-                    "bytes": pa.array([item["bytes"]], pa.int64()),
-                    "status": [status],
-                    "rows": pa.array([rows], pa.int64()),
-                    "detail": pa.array([detail], pa.string()),
-                }
-            )
-
-
-def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _status_line(archive: str, member: str | None, status: str, rows: int, detail: str | None) -> dict:
+    empty = {field.name: pa.nulls(1, pa.string()) for field in schema.TEXT_SCHEMA}
+    return empty | {
+        "_archive": pa.array([archive], pa.string()),
+        "_member": pa.array([member], pa.string()),
+        "_verdict": pa.array([status], pa.string()),
+        "_rows": pa.array([rows], pa.int64()),
+        "_detail": pa.array([detail], pa.string()),
+    }
+
+
+def _member_rows(path: str, member: str, count: list[int]) -> Iterator[pa.RecordBatch]:
+    """Rows of one member with their origin; nothing for a table without a period column."""
+    with _archive(path) as archive:
+        for chunk in _chunks(archive, member):
+            if not any(name in chunk.columns for name in PERIOD_HEADERS):
+                return
+            batch = _canonical(chunk, member)
+            n = len(chunk)
+            origin = [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string())]
+            unset = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
+            count[0] = (count[0] or 0) + n
+            yield pa.RecordBatch.from_arrays([*batch.columns, *origin, *unset], [*batch.schema.names, *_ORIGIN])
+
+
+def _parse_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each member, then a line with its status."""
     for batch in batches:
         for item in batch.to_pylist():
-            with _archive(item["archive"]) as archive:
-                for chunk in _chunks(archive, item["member"]):
-                    yield _canonical(chunk, item["member"])
+            path, member, count = item["archive"], item["member"], [None]
+            status, detail = "no candidate", None
+            if member is not None:
+                try:
+                    yield from _member_rows(path, member, count)
+                    status = "no period column" if count[0] is None else "series"
+                except (ValueError, zipfile.BadZipFile, zipfile.zlib.error) as error:
+                    status, detail = "unreadable", str(error)
+            rows = count[0] or 0 if status == "series" else 0
+            yield pa.RecordBatch.from_pydict(_status_line(path, member, status, rows, detail))
 
 
 def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -170,38 +172,102 @@ def _spread(spark: SparkSession, items: DataFrame) -> DataFrame:
     return items.repartition(max(wanted, spark.sparkContext.defaultParallelism))
 
 
+def _kept(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """Store an intermediate table in the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partitions).parquet(path) if partitions else df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _packed(spark: SparkSession, members: DataFrame) -> DataFrame:
+    """Deal members out so that a task gets about TASK_BYTES, or a single larger member.
+
+    Members are split into groups by a hash, and the bytes of earlier members of the
+    group give a member's bin. A window holds some ten thousand lines, whatever the
+    number of members.
+    """
+    members = _kept(members, "members")
+    size = members.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    groups = 1 + size.n // 10_000
+    share = (size.bytes or 0) // spark.sparkContext.defaultParallelism + 1
+    group = F.pmod(F.xxhash64("archive", "member"), F.lit(groups))
+    before = (
+        Window.partitionBy("_group").orderBy(F.desc("bytes"), "archive", "member")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    filled = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    binned = _kept(
+        members.withColumn("_group", group).withColumn("_bin", F.floor(filled / min(share, TASK_BYTES))), "bins"
+    )
+    bins = binned.groupBy("_group").agg((F.max("_bin") + 1).alias("_bins"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _kept(bins.withColumn("_offset", F.coalesce(F.sum("_bins").over(earlier), F.lit(0))), "bin-offsets")
+    tasks = offsets.agg(F.sum("_bins")).first()[0] or 1
+    placed = binned.join(offsets, "_group")
+    place = (F.col("_offset") + F.col("_bin")).cast("int")
+    return placed.repartitionById(int(tasks), place).select("archive", "member", "bytes")
+
+
+@dataclass(frozen=True)
+class ParsedArchives:
+    """Text rows of the good members, and (archive, member, status, rows, detail) of all candidates."""
+
+    rows: DataFrame
+    manifest: DataFrame
+
+
+def parse_archives(spark: SparkSession, path: str) -> ParsedArchives:
+    """Every member below `path`, unpacked and parsed once.
+
+    Rows and statuses are stored together. A member that fails at its last line has
+    rows there, too; they are left out by a join with the bad members, so no line of a
+    bad member is ever returned.
+    """
+    members = _files(spark, path, "*.zip").mapInArrow(_list_members, _MEMBERS)
+    shape = schema.TEXT_SCHEMA.simpleString()[len("struct<") : -1].replace(":", " ").replace(",", ", ")
+    shape += ", _archive string, _member string, _verdict string, _rows bigint, _detail string"
+    parsed = _packed(spark, members).mapInArrow(_parse_members, shape)
+    staged = _kept(parsed.withColumn("_is_verdict", F.col("_verdict").isNotNull()), "parsed-members", "_is_verdict")
+    names = {"_archive": "archive", "_member": "member", "_verdict": "status", "_rows": "rows", "_detail": "detail"}
+    manifest = staged.filter("_is_verdict").select(*(F.col(old).alias(new) for old, new in names.items()))
+    bad = manifest.filter("status <> 'series' and member is not null")
+    bad = bad.select(F.col("archive").alias("_archive"), F.col("member").alias("_member"))
+    rows = staged.filter("not _is_verdict").join(bad, ["_archive", "_member"], "left_anti")
+    return ParsedArchives(rows.select(*[field.name for field in schema.TEXT_SCHEMA]), manifest)
+
+
+def require_series(parsed: ParsedArchives, path: str) -> None:
+    """Raise when there is no archive, or one without a readable series member, as the source job does."""
+    verdicts = parsed.manifest.groupBy("archive").agg(F.max(F.col("status") == "series").alias("good"))
+    counts = verdicts.agg(F.count("*").alias("n"), F.count_if(~F.col("good")).alias("empty")).first()
+    if not counts.n or counts.empty:
+        some = [row.archive for row in verdicts.filter(~F.col("good")).orderBy("archive").limit(20).collect()]
+        raise ValueError(f"no time-series CSV found in {counts.empty or 'any'} archives: {some or path}")
+
+
 def member_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every candidate member with its status and row count."""
-    members = _files(spark, path, "*.zip").mapInArrow(_list_members, _MEMBERS)
-    return _spread(spark, members).mapInArrow(_check_members, _MANIFEST)
+    return parse_archives(spark, path).manifest
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Text rows of all series members below `path`.
+    """Text rows of all series members below `path`; see `require_series`."""
+    parsed = parse_archives(spark, path)
+    require_series(parsed, path)
+    return parsed.rows
 
-    Raises when an archive has no readable series member, as the source job does.
-    The manifest (one line per member, like Spark's own file listing) is the only
-    thing the driver sees.
-    """
-    manifest = member_manifest(spark, path).collect()
-    for row in manifest:
-        if row.status == "unreadable":
-            log.warning("could not read %s in %s: %s", row.member, row.archive, row.detail)
-    good = [row for row in manifest if row.status == "series"]
-    empty = {row.archive for row in manifest} - {row.archive for row in good}
-    if empty or not good:
-        raise ValueError(f"no time-series CSV found in {sorted(empty) or path}")
-    chosen = spark.createDataFrame([(r.archive, r.member, r.bytes) for r in good], _MEMBERS)
-    # One member per task, unless the members are many and small.
-    by_size = sum(r.bytes for r in good) // TASK_BYTES
-    tasks = min(len(good), max(by_size, spark.sparkContext.defaultParallelism))
-    return chosen.repartition(tasks).mapInArrow(_read_members, schema.TEXT_SCHEMA)
+
+def left_out(manifest: DataFrame) -> str | None:
+    """How many candidate members were left out and why; None if there are none."""
+    bad = manifest.filter("status <> 'series' and member is not null").groupBy("status").count()
+    counts = sorted((row.status, row["count"]) for row in bad.collect())
+    return "members left out: " + ", ".join(f"{n} {status}" for status, n in counts) if counts else None
 
 
 def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("archive").to_pylist():
-            file_system, inner = _locate(path)
+            file_system, inner = locate(path)
             with file_system.open_input_file(inner) as handle:
                 names = next(csv.reader(io.TextIOWrapper(handle, "utf-8-sig", newline="")), [])
             yield pa.RecordBatch.from_pydict(
@@ -215,8 +281,8 @@ def read_csv_folder(spark: SparkSession, path: str, multi_line: bool = False) ->
     Tasks read the header line of each file. Files with the same header (there is
     a handful of spellings) are read together, and the groups are united under
     canonical names. Set `multi_line` when quoted values hold line breaks; such
-    files cannot be split. A line with too many fields loses the surplus ones here,
-    while an archive member with such a line is left out.
+    files cannot be split. A file with a line of too many fields is left out as a
+    whole, as an archive member is; a first pass finds such files.
     """
     headers = _files(spark, path, "*.csv").mapInArrow(
         _read_headers, "file string, names array<string>"
@@ -228,16 +294,29 @@ def read_csv_folder(spark: SparkSession, path: str, multi_line: bool = False) ->
             groups.setdefault(tuple(row.names), []).append(row.file)
     if not groups:
         raise ValueError(f"no time-series CSV found in {path}")
-    frames = [_read_group(spark, files, multi_line) for _, files in sorted(groups.items())]
+    frames = [_read_group(spark, names, files, multi_line) for names, files in sorted(groups.items())]
     return normalise.union_files(frames)
 
 
-def _read_group(spark: SparkSession, files: list[str], multi_line: bool) -> DataFrame:
-    rows = spark.read.csv(
-        sorted(files), header=True, inferSchema=False, escape='"', multiLine=multi_line
-    )
-    named = rows.select("*", F.col("_metadata.file_name").alias("_source_file"))
-    table = normalise.canonical_columns(named)
+# A comma outside quotes.
+_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _read_group(spark: SparkSession, names: tuple, files: list[str], multi_line: bool) -> DataFrame:
+    fields = [f"c{place}" for place in range(len(names))]
+    # Without pruning Spark also counts the fields that nobody reads.
+    reader = spark.read.option("columnPruning", "false")
+    rows = reader.csv(
+        sorted(files), header=True, escape='"', multiLine=multi_line, mode="PERMISSIVE",
+        schema=", ".join(f"{field} string" for field in [*fields, "_misfit"]),
+        columnNameOfCorruptRecord="_misfit",
+    ).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_source_file"))
+    # A line with too few fields is a misfit as well, but a good one.
+    surplus = F.regexp_count("_misfit", F.lit(_SEPARATOR)) >= len(names)
+    # Spark refuses to read the misfits alone, so one more column comes along.
+    bad = rows.filter(surplus).groupBy("_path").agg(F.max(fields[0]).alias("_sample"))
+    good = rows.join(_kept(bad, "misfit-files").drop("_sample"), "_path", "left_anti")
+    table = normalise.canonical_columns(good.select(*fields, "_source_file").toDF(*names, "_source_file"))
     return table.select(
         *(
             text.null_if_token(F.col(name), schema.CSV_MISSING_TOKENS).alias(name)
@@ -252,7 +331,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
     first = next(filled, None)
     if first is None:
         return
-    file_system, inner = _locate(folder)
+    file_system, inner = locate(folder)
     file_system.create_dir(inner, recursive=True)
     rows, path = 0, f"{inner}/{name}.zip"
     with (

@@ -1,8 +1,8 @@
 """Stored tables: versions by load time, audit log, and how a layer is kept.
 
-A table is a folder of parquet versions `snapshot_ts=<time>`, each partitioned by
-the year of the period. A version counts as published once its line is in the
-commit log, so a failed load leaves the previous version in place.
+A table is a folder of parquet versions, each partitioned by the year of the period.
+A version counts as published once its line is in the commit log, so a failed load
+leaves the previous version in place. A line without rows marks a version as expired.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.functions import periods
+from seriesmill.operators import policies
 from seriesmill.sources import normalise
+from seriesmill.sources.archives import locate
 
 log = logging.getLogger(__name__)
 
@@ -83,19 +85,38 @@ class TableStore:
         line.coalesce(1).write.mode("append").parquet(self._commit_path(name))
         return n
 
+    def _commits(self, name: str, as_of: dt.datetime | None = None) -> DataFrame:
+        """Lines of the versions that still exist, up to a point in time."""
+        lines = self.spark.read.schema(_COMMITS).parquet(self._commit_path(name))
+        expired = lines.filter("rows < 0").select("version")
+        known = lines.filter("rows >= 0").join(expired, "version", "left_anti")
+        return known if as_of is None else known.filter(F.col("snapshot_ts") <= F.lit(as_of))
+
     def versions(self, name: str) -> list:
         """Published versions, oldest first (one small line per load)."""
-        commits = self.spark.read.schema(_COMMITS).parquet(self._commit_path(name))
-        return commits.orderBy("snapshot_ts", "committed_at").collect()
+        return self._commits(name).orderBy("snapshot_ts", "committed_at").collect()
+
+    def _newest(self, name: str, as_of: dt.datetime | None = None):
+        order = F.struct("snapshot_ts", "committed_at", "version", "columns")
+        return self._commits(name, as_of).agg(F.max(order).alias("line")).first().line
+
+    def has(self, name: str, as_of: dt.datetime | None = None) -> bool:
+        """Whether there is a version to read."""
+        return self._newest(name, as_of) is not None
 
-    def read(self, name: str, as_of: dt.datetime | None = None) -> DataFrame:
-        """The newest version, or the newest one not after `as_of`."""
-        known = [v for v in self.versions(name) if as_of is None or v.snapshot_ts <= as_of]
-        if not known:
+    def read(self, name: str, as_of: dt.datetime | None = None, role: str | None = None) -> DataFrame:
+        """The newest version, or the newest one not after `as_of`.
+
+        With `role`, the policies of the table apply (R1 to R3): a role that may not read
+        the table's layer is refused, and so is an unknown one. Jobs of the store itself
+        read without a role.
+        """
+        newest = self._newest(name, as_of)
+        if newest is None:
             raise LookupError(f"table {name} has no version at {as_of}")
-        newest = known[-1]
         columns = T.StructType.fromJson(json.loads(newest.columns))
-        return self.spark.read.schema(columns).parquet(f"{self.root}/{newest.version}")
+        rows = self.spark.read.schema(columns).parquet(f"{self.root}/{newest.version}")
+        return rows if role is None else policies.as_role(rows, name, role)
 
     def read_offset(self, name: str, seconds: int, now: dt.datetime | None = None) -> DataFrame:
         """The table as it was `seconds` ago."""
@@ -107,6 +128,24 @@ class TableStore:
         known = self.versions(name)
         return [v for v in known if v.snapshot_ts >= floor] or known[-1:]
 
+    def expire(self, name: str, days: int, now: dt.datetime | None = None) -> int:
+        """drop the versions beyond the retention window; returns how many.
+
+        The log is written first, so a version that is being removed can no longer be
+        found. A run that stops in between leaves files behind that nobody reads, and
+        reads of a moment before the window are refused.
+        """
+        kept = {v.version for v in self.retained(name, days, now)}
+        gone = [v for v in self.versions(name) if v.version not in kept]
+        if gone:
+            lines = [(v.snapshot_ts, utc_now(), v.version, -1, v.columns) for v in gone]
+            marks = self.spark.createDataFrame(lines, _COMMITS).coalesce(1)
+            marks.write.mode("append").parquet(self._commit_path(name))
+        for version in gone:
+            storage, folder = locate(f"{self.root}/{version.version}")
+            storage.delete_dir(folder)
+        return len(gone)
+
     def log_run(
         self,
         table_name: str,
@@ -131,9 +170,17 @@ class TableStore:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(f"{self.root}/ingestion_log")
 
     def load(
-        self, rows: DataFrame, table_name: str, source_name: str, at: dt.datetime | None = None
+        self,
+        rows: DataFrame,
+        table_name: str,
+        source_name: str,
+        at: dt.datetime | None = None,
+        note: str | None = None,
     ) -> int:
-        """Full refresh of one raw table from typed rows, with audit."""
+        """Full refresh of one raw table from typed rows, with audit.
+
+        `note` says in the audit line what the rows lack.
+        """
         started = time.monotonic()
         try:
             stamped = normalise.with_load_metadata(rows, source_name, at)
@@ -142,7 +189,7 @@ class TableStore:
             self.log_run(table_name, 0, source_name, "FAILED", str(error), 0)
             raise
         self.log_run(
-            table_name, n, source_name, "SUCCESS", None, time.monotonic() - started
+            table_name, n, source_name, "SUCCESS", note, time.monotonic() - started
         )
         return n
 

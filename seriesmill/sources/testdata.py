@@ -7,6 +7,11 @@ date filter.
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,8 @@ from seriesmill import schema
 from seriesmill.functions import periods
 from seriesmill.functions.labels import ladder
 from seriesmill.schema import SERIES_COLUMNS
+from seriesmill.session import ship_package
+from seriesmill.sources.archives import locate
 
 
 # Column types of the supplied tables. Stating them saves the job
@@ -68,27 +75,18 @@ def region_label(nation_key: Column, nation_name: Column) -> Column:
     )
 
 
-def wages(
-    spark: SparkSession, folder: str, since: int | None = None, industries: bool = True
-) -> DataFrame:
-    """Wage series, one row per line item; the value is a thousandth of the price.
-
-    The industry label needs the part table. A query that does not read it sets
-    `industries=False` and saves that join: the part key is unique and the join
-    is a left join, so the rows are the same.
-    """
+def wages(spark: SparkSession, folder: str, since: int | None = None) -> DataFrame:
+    """Wage series, one row per line item; the value is a thousandth of the price."""
     lines = _from_year(table(spark, folder, "lineitem"), "l_shipdate", since)
-    industry = F.lit(None)
-    if industries:
-        parts = table(spark, folder, "part").select("p_partkey", "p_brand")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        industry = ladder(
-            [
-                (F.col("p_brand") == "Brand#1", "All Industries"),
-                (F.col("p_brand") == "Brand#2", " Total "),
-                (F.col("p_brand") != "Brand#3", F.col("p_brand")),
-            ]
-        )
+    parts = table(spark, folder, "part").select("p_partkey", "p_brand")
+    lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    industry = ladder(
+        [
+            (F.col("p_brand") == "Brand#1", "All Industries"),
+            (F.col("p_brand") == "Brand#2", " Total "),
+            (F.col("p_brand") != "Brand#3", F.col("p_brand")),
+        ]
+    )
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
     return _raw(
         lines,
@@ -113,7 +111,7 @@ def wages(
 
 def dashboard_wages(spark: SparkSession, folder: str, since: int | None = None) -> DataFrame:
     """Wage series with the titles in the order that the dashboard reads."""
-    raw = wages(spark, folder, since, industries=False)
+    raw = wages(spark, folder, since)
     line = F.element_at(F.split("series_reference", "[.]"), -1).cast("int")
     return raw.withColumns(
         {
@@ -227,3 +225,35 @@ def monthly(spark: SparkSession, folder: str, since: int | None = None) -> DataF
             F.col("c_mktsegment") == "MACHINERY", F.lit("Seasonally adjusted")
         ).otherwise(F.lit("Actual")),
     )
+
+
+def _write_mixed(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """One archive per partition: the rows as a good member, and again as members of other kinds."""
+    tables = [batch.to_pandas() for batch in batches if batch.num_rows]
+    if not tables:
+        return
+    storage, inner = locate(folder)
+    storage.create_dir(inner, recursive=True)
+    path = f"{inner}/mixed-{TaskContext.get().partitionId():05d}.zip"
+    lines = [table.to_csv(index=False, header=n == 0) for n, table in enumerate(tables)]
+    whole = "".join(lines)
+    members = {
+        "part.csv": whole,
+        "no period.csv": whole.replace("Period", "Time", 1),
+        "broken.csv": whole + "," * 40 + "x\n",
+        "PART.CSV": whole,
+        "footnotes.csv": whole,
+        "Metadata 2001.csv": whole,
+        "my notes.csv": whole,
+        "readme.txt": "no table",
+    }
+    with storage.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in members.items():
+            archive.writestr(name, content)
+    yield pa.RecordBatch.from_pydict({"archive": [path]})
+
+
+def write_mixed_archives(df: DataFrame, folder: str) -> DataFrame:
+    """Archives with members that the reader must take, skip or refuse; returns their paths."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(lambda batches: _write_mixed(batches, folder), "archive string")

@@ -235,7 +235,7 @@ def test_unrounded_ranking_does_not_trim(raw):
 def test_exact_and_plain_means_agree(raw):
     rows = [wage_row(p, v + d) for p, v in growth_rows() for d in (0.01, 0.02, 0.04)]
     staged = staging.stage_wages(raw(rows))
-    exact = dict(rows_of(marts.hourly_by_sector(staged, 2), "year_quarter_label", "avg_hourly_wage_nzd"))
+    exact = dict(rows_of(marts.hourly_by_sector(marts.wage_cells(staged)), "year_quarter_label", "avg_hourly_wage_nzd"))
     plain = dict(rows_of(marts.hourly_by_sector(staged), "year_quarter_label", "avg_hourly_wage_nzd"))
     assert exact == pytest.approx(plain)
 

@@ -28,9 +28,9 @@ def brute_ranks(rows):
     return sorted(result)
 
 
-def ranked(spark, rows, width):
+def ranked(spark, rows, cells):
     df = spark.createDataFrame(rows, "id int, k string, v double")
-    out = windows.rank_rows(df, "k", "v", width)
+    out = windows.rank_rows(df, "k", "v", cells)
     return sorted(rows_of(out, "id", "rank_highest", "rank_lowest", "percentile"))
 
 
@@ -38,13 +38,19 @@ def test_rank_rows_with_a_hot_key(spark):
     random.seed(3)
     rows = [(i, "hot" if i % 3 else f"k{i % 7}", float(random.randint(-40, 40)) / 4) for i in range(600)]
     rows += [(600, "hot", None), (601, None, 1.0), (602, "alone", 2.0)]
-    assert ranked(spark, rows, 2.5) == brute_ranks(rows)
+    assert ranked(spark, rows, 16) == brute_ranks(rows)
+
+
+def test_rank_rows_with_one_dense_place(spark):
+    """Nearly all values within a hair of each other: cells follow the values."""
+    rows = [(i, "hot", 1.0 + i * 1e-9) for i in range(900)] + [(900 + i, "hot", 1e6 * i) for i in range(20)]
+    assert ranked(spark, rows, 32) == brute_ranks(rows)
 
 
 def test_rank_rows_with_extreme_values(spark):
     inf = float("inf")
     values = [-inf, -1e300, -1.0, 0.0, 1e300, inf, float("nan")]
-    found = ranked(spark, [(i, "k", v) for i, v in enumerate(values)], 0.5)
+    found = ranked(spark, [(i, "k", v) for i, v in enumerate(values)], 4)
     assert [row[2] for row in found] == [1, 2, 3, 4, 5, 6, 7]
 
 
@@ -52,7 +58,7 @@ def test_rank_rows_with_extreme_values(spark):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(-9, 9)), min_size=1, max_size=30))
 def test_rank_rows_matches_counting(spark, pairs):
     rows = [(i, k, v / 2) for i, (k, v) in enumerate(pairs)]
-    assert ranked(spark, rows, 1.5) == brute_ranks(rows)
+    assert ranked(spark, rows, 5) == brute_ranks(rows)
 
 
 def test_latest_and_previous(spark):
@@ -89,6 +95,21 @@ def test_year_ago_by_shift(spark):
     )
 
 
+def test_year_ago_of_leap_days(spark):
+    values = {dt.date(1999, 2, 28): 1.0, dt.date(2000, 2, 28): 2.0, dt.date(2000, 2, 29): 9.0, dt.date(2001, 2, 28): 3.0}
+    df = spark.createDataFrame([("k", d, v) for d, v in values.items()], "k string, period_start_date date, v double")
+    found = rows_of(joins.year_ago_by_shift(df, ["k"], "v", "before"), "period_start_date", "v", "before")
+    assert sorted(found) == [
+        (dt.date(1999, 2, 28), 1.0, None), (dt.date(2000, 2, 28), 2.0, 1.0), (dt.date(2000, 2, 29), 9.0, 1.0),
+        (dt.date(2001, 2, 28), 3.0, 2.0),
+    ]
+
+
+def test_latest_period_is_not_the_latest_text(spark):
+    df = spark.createDataFrame([("2025M9",), ("2025M12",), ("2024Q4",), ("unknown",)], "period string")
+    assert rows_of(joins.at_latest_period(df)) == [("2025M12",)]
+
+
 def test_pivot_keeps_maxima(spark):
     df = spark.createDataFrame([(1, "x", 2.0), (1, "x", 5.0), (1, "y", 3.0), (2, "y", 4.0)], "k int, l string, v double")
     wide = aggregates.pivot_by_value(df, ["k"], "l", {"x": ("x", "v"), "y": ("y", "v")})

@@ -249,9 +249,71 @@ def test_command_line(spark, tmp_path, capsys):
     assert main([str(tmp_path / "nothing"), str(tmp_path / "store")]) == 2
 
 
-def test_small_result_refuses_large_frames(spark):
-    from seriesmill.plans.dashboards import small_result
+def test_line_with_surplus_fields_leaves_the_file_out(spark, tmp_path):
+    """The same bytes give the same rows, unpacked or in an archive."""
+    bad = SERIES + "S1,2025Q1,1,F,1,G,x\ntoo,many,fields,in,this,line,for,sure\n"
+    short = SERIES + 'S2,2025Q1\nS3,2025Q1,"1,5",F,1,G,x\n'
+    for folder, write in (("plain", None), ("packed", make_archive)):
+        (tmp_path / folder).mkdir()
+        if write:
+            write(tmp_path / folder / "a.zip", {"bad.csv": bad, "short.csv": short})
+        else:
+            (tmp_path / folder / "bad.csv").write_text(bad)
+            (tmp_path / folder / "short.csv").write_text(short)
+    names = ("series_reference", "period", "data_value", "_source_file")
+    plain = sorted(rows_of(archives.read_csv_folder(spark, str(tmp_path / "plain")), *names))
+    packed = sorted(rows_of(archives.read_archives(spark, str(tmp_path / "packed")), *names))
+    assert plain == packed == [("S2", "2025Q1", None, "short.csv"), ("S3", "2025Q1", "1,5", "short.csv")]
+
+
+def test_left_out_members_are_reported(spark, folder, tmp_path):
+    make_archive(folder / "b.zip", {"broken.csv": SERIES + "S8,2025Q1,1,F,1,G,x\n" + "," * 60 + "\n", "fine.csv": SERIES + "S9,2025Q1,1,F,1,G,x\n"})
+    store = TableStore(spark, str(tmp_path / "store"))
+    report = ingest.run_sources(spark, [ingest.Source("wages", str(folder), "raw_wages")], store)
+    note = "members left out: 1 no period column, 1 unreadable"
+    assert report.exit_code == 0 and report.lines[0][3:] == (4, note)
+    assert rows_of(store.audit_log(), "status", "error_message") == [("SUCCESS", note)]
+    kept = dict(rows_of(store.read("members_wages"), "member", "status"))
+    assert kept["broken.csv"] == "unreadable" and len(kept) == 5
+
+
+def test_members_are_packed_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "TASK_BYTES", 1000)
+    sizes = [5000, 5000, 900, 300, 300, 300, 50, 50]
+    members = spark.createDataFrame([("a", str(i), n) for i, n in enumerate(sizes)], archives._MEMBERS)
+    parts = archives._packed(spark, members).rdd.glom().collect()
+    loads = [[row.bytes for row in part] for part in parts if part]
+    assert sorted(b for part in loads for b in part) == sorted(sizes)
+    assert all(len(part) == 1 for part in loads if max(part) >= 1000)
 
-    assert len(small_result(spark.range(5), 5)) == 5
-    with pytest.raises(ValueError):
-        small_result(spark.range(6), 5)
+
+def test_roles_and_retention(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    days = [dt.datetime(2025, 1, d) for d in (1, 2, 9)]
+    for at in days:
+        store.load(text_rows(spark, ["S1", "S2"]), "raw_wages", "wages", at)
+    assert store.read("raw_wages", role="ENGINEER_ROLE").first().data_value == 1.5
+    for role in ("ANALYST_ROLE", "REPORTER_ROLE", "SOMEBODY"):
+        with pytest.raises(PermissionError):
+            store.read("raw_wages", role=role)
+    assert store.expire("raw_wages", 3, days[2]) == 2
+    assert [v.snapshot_ts for v in store.versions("raw_wages")] == [days[2]]
+    assert store.expire("raw_wages", 3, dt.datetime(2026, 1, 1)) == 0
+    with pytest.raises(LookupError):
+        store.read("raw_wages", days[1])
+    assert len(list((tmp_path / "raw_wages" / "versions").iterdir())) == 1
+
+
+def test_landing_rewrites_touched_buckets_only(spark, tmp_path):
+    incoming, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    shape = "series_reference string, period string, data_value double, _ingested_at timestamp_ntz"
+    schema = spark.createDataFrame([], shape).schema
+    for wave in range(3):
+        keys = range(200) if wave == 0 else [3]
+        rows = [(f"S{k}", "2025Q1", float(wave), dt.datetime(2025, 1, 1 + wave)) for k in keys]
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(incoming)
+        incremental.land_new_files(spark, incoming, target, state, schema, buckets=8)
+    folders = {p.name: len(list(p.glob("_bucket=*"))) for p in (tmp_path / "out" / "rows").iterdir()}
+    assert folders == {"batch_id=0": 8, "batch_id=1": 1, "batch_id=2": 1}
+    current = dict(rows_of(incremental.current_rows(spark, target), "series_reference", "data_value"))
+    assert len(current) == 200 and current["S3"] == 2.0 and current["S4"] == 0.0
