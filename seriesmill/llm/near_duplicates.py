@@ -178,7 +178,8 @@ def _components_of(classes: DataFrame, texts: DataFrame, width: int, percent: in
     sets = stored(map_batches(involved, _sets(width), "doc_id long, shingles array<long>"), "shingle-sets")
 
     near = groups.where((F.col("bits") <= LINK_BITS) & _alike_in_size("n_shingles", "hub_n", percent))
-    compared = stored(_compared(near.select(*_pair("rep", "hub")).distinct(), sets), "compared")
+    pairs = stored(near.select(*_pair("rep", "hub")).distinct(), "hub-pairs")
+    compared = stored(_compared(pairs, sets), "compared")
     links = compared.where(_linked(percent)).select("a", "b")
     components = connected_components(links)
 
@@ -242,11 +243,17 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _with_sets(pairs: DataFrame, a: str, b: str, sets: DataFrame) -> DataFrame:
-    """Add the full sets of both ends. The joins deal out pairs, so a document with many
-    partners is split by adaptive execution."""
+    """Add the full sets of both ends to stored pairs.
+
+    Few pairs are sent to where the sets are, so only sets of documents in a pair are
+    shuffled, once. Otherwise both joins deal out pairs, and adaptive execution splits a
+    document with many partners.
+    """
+    ends = stored(pairs.select(F.col(b).alias("doc_id")).distinct(), "second-ends")
     left = sets.select(F.col("doc_id").alias(a), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias(b), F.col("shingles").alias("of_b"))
-    return pairs.join(left, a).join(right, b)
+    right = sets.join(sent_if_small(ends), "doc_id", "left_semi")
+    right = right.select(F.col("doc_id").alias(b), F.col("shingles").alias("of_b"))
+    return sent_if_small(pairs).join(left, a).join(right, b)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
