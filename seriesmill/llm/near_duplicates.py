@@ -319,7 +319,9 @@ def _by_differences(differences: DataFrame, components: DataFrame, percent: int)
     q (|x| + |m|), so the two must share more than (|D(y)| + q (|m| - |y|)) / 2 of y's
     differences. Independent edits do not share that many. y therefore only offers as
     many of its rarest differences as must contain a shared one, and x looks up all of
-    its own. Pairs that are in one component already are left out.
+    its own. Two that meet are a pair only if enough differences of both are shared with
+    anybody at all, which rules out most texts with edits of their own. Pairs that are in
+    one component already are left out.
     """
     q = (100 - percent) / (100 + percent)
     labelled = _labelled(differences, components)
@@ -328,7 +330,7 @@ def _by_differences(differences: DataFrame, components: DataFrame, percent: int)
     n = F.size("apart")
     least = F.greatest(F.lit(1), F.floor((n + q * (F.col("n_middle") - F.col("n_rep"))) / 2 + 1 - 1e-6))
     each = labelled.join(open_, "middle").select(
-        "middle", "rep", "component", _near_middle(percent).alias("near"), n.alias("n"), (n - least + 1).alias("offers"),
+        "middle", "rep", "component", "n_rep", _near_middle(percent).alias("near"), n.alias("n"), (n - least + 1).alias("offers"),
         F.explode("apart").alias("shingle"),
     )
     each = stored(each, "each-difference")
@@ -337,11 +339,17 @@ def _by_differences(differences: DataFrame, components: DataFrame, percent: int)
     own = W.partitionBy("middle", "rep")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("holders", "shingle")))
     # Differences that nobody shares come first in the order and need no row.
-    ranked = ranked.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
-    ranked = stored(ranked.select("middle", "shingle", "rep", "component", "near", (F.col("alone") + F.col("rank") <= F.col("offers")).alias("offered")), "ranked-differences")
-    asking = ranked.where("not near").select("middle", "shingle", F.col("rep").alias("x"), F.col("component").alias("of_x"))
-    offered = ranked.where("offered").select("middle", "shingle", F.col("rep").alias("y"), F.col("component").alias("of_y"))
-    found = asking.join(offered, ["middle", "shingle"]).where("x <> y and of_x <> of_y")
+    ranked = ranked.withColumn("shared", F.count(F.lit(1)).over(own))
+    offered = (F.col("n") - F.col("shared") + F.col("rank") <= F.col("offers")).alias("offered")
+    ranked = stored(ranked.select("middle", "shingle", "rep", "component", "near", "n", "n_rep", "shared", offered), "ranked-differences")
+    names = {"rep": "x", "component": "of_x", "n": "n_x", "n_rep": "size_x", "shared": "shared_x"}
+    asking = ranked.where("not near").drop("near", "offered").withColumnsRenamed(names)
+    offers = ranked.where("offered").drop("near", "offered")
+    offers = offers.withColumnsRenamed({old: new[:-1] + "y" for old, new in names.items()})
+    # Twice the differences that a linked pair shares at least, times 100 + percent.
+    needed = (F.col("n_x") + F.col("n_y")) * (100 + percent) - (F.col("size_x") + F.col("size_y")) * (100 - percent)
+    possible = needed <= 2 * (100 + percent) * F.least("shared_x", "shared_y")
+    found = asking.join(offers, ["middle", "shingle"]).where((F.col("x") != F.col("y")) & (F.col("of_x") != F.col("of_y")) & possible)
     return found.select(*_pair("x", "y")).distinct()
 
 
