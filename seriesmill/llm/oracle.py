@@ -7,8 +7,6 @@ from seriesmill.llm.mixing import MOST_EPOCHS, SEED, SHARE_PERCENT, WEIGHTS
 from seriesmill.llm.url_filter import LISTED_WORDS, RULES
 from seriesmill.llm.words import WORD
 
-_SPACES = r"[\x20\x09-\x0D]"
-
 DECONTAMINATION = f"""
 WITH item AS (
   SELECT item_id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM benchmark
