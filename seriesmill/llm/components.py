@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from seriesmill.llm.scratch import map_batches, stored
 
 _EDGES = "node long, parent long"
+#: Links that one task finishes by itself: 8 MB of numbers. More of them take rounds.
+LOCAL_LINKS = 500_000
 
 
 def local_forest(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,11 +44,18 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(parent)], ["node", "parent"])
 
 
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over all that is left, which is at most LOCAL_LINKS links."""
+    parts = [np.column_stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    node, parent = local_forest(np.concatenate([np.zeros((0, 2), np.int64), *parts]))
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(parent)], ["node", "parent"])
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): every node with a link and the smallest node it reaches.
 
-    Links are compressed by union-find batch by batch. The remaining forest is
-    contracted in rounds: all parents of a node are linked to its smallest parent, and
+    Links are compressed by union-find batch by batch, and once more in one task if the
+    remaining forest is small enough for it. A larger one is contracted in rounds: all parents of a node are linked to its smallest parent, and
     each node moves to its parent's parent, until nothing changes. A round shuffles at
     most as many rows as the forest has links, sums are formed before the shuffle, and
     only two numbers reach the driver. Links with a null end and self links add nothing;
@@ -54,7 +63,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     forest = links.select(F.col(a).cast("long").alias("node"), F.col(b).cast("long").alias("parent"))
     forest = map_batches(forest.where("node <> parent"), _compress, _EDGES)
-    forest = stored(forest.distinct(), "forest")
+    forest = stored(forest, "forest")
+    if forest.count() <= LOCAL_LINKS:
+        done = stored(map_batches(forest.coalesce(1), _finish, _EDGES), "components")
+        return done.select("node", F.col("parent").alias("component"))
     while True:
         smallest = stored(forest.groupBy("node").agg(F.min("parent").alias("least")), "forest-least")
         # The other parents of a node are in the same component as its least one.

@@ -229,7 +229,7 @@ def _groups(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         hubs = stored(hubs.select("bucket", "hub.*").withColumnsRenamed(names), "hubs")
         tested = pool.join(hubs, "bucket").where("rep <> hub").withColumn("bits", _bits_apart("hub_"))
         tested = stored(tested.drop(*[f"hub_{k}" for k in _SKETCH]), "hub-distances")
-        own = tested.where(F.col("bits") <= GROUP_BITS).select("hub", "rep", "hub_n", "n_shingles", "bits").distinct()
+        own = tested.where(F.col("bits") <= GROUP_BITS).select("hub", "rep", "hub_n", "n_shingles", "bits")
         groups = own if groups is None else groups.unionByName(own)
         seen = F.col("seen") + F.when(F.col("bits") <= GROUP_BITS, 1 << turn).otherwise(0)
         pool = tested.where(F.col("bits") > CORE_BITS).withColumn("seen", seen).select(members.columns + ["seen"])
@@ -268,7 +268,7 @@ def _linked(percent: int) -> Column:
 
 def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
     """Add the component of each `rep`."""
-    found = components.withColumnRenamed("node", "rep")
+    found = sent_if_small(components.withColumnRenamed("node", "rep"))
     return rows.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 

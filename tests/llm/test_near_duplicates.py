@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from conftest import SMALL, prose, rows_of
 
-from seriesmill.llm import words
+from seriesmill.llm import components, words
 from seriesmill.llm.components import connected_components, local_forest
 from seriesmill.llm.near_duplicates import SLOTS, near_duplicates, superminhash, without_copies
 
@@ -117,7 +117,10 @@ def test_early_stop_changes_nothing():
     assert (superminhash(elements) == single.min(axis=0)).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [500_000, 0])
+def test_components(spark, monkeypatch, local):
+    """In one task and in rounds."""
+    monkeypatch.setattr(components, "LOCAL_LINKS", local)
     rng = random.Random(3)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     links += [(1000 + k, 1001 + k) for k in range(60)] + [(5000, 6000 + k) for k in range(300)]
