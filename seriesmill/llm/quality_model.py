@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import words
 from seriesmill.llm.prefix import KEY_BITS, random_key
-from seriesmill.llm.scratch import map_batches, stored
+from seriesmill.llm.scratch import map_batches, sent_if_small, stored
 
 #: Hash buckets of the shared weights, and grades (0 toxic, 1 poor, 2 good).
 BUCKETS, GRADES = 1 << 18, 3
@@ -158,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel | None:
     for grade, n in sizes.items():
         most = min(1 << KEY_BITS, (1 << KEY_BITS) * SAMPLE // n)
         chosen = chosen | ((F.col("grade") == grade) & (random_key(F.lit("sample"), F.col("doc_id")) < most))
-    ids = ratings.where(chosen)
+    ids = sent_if_small(stored(ratings.where(chosen), "sample-ids"))  # some GRADES * SAMPLE rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(ids, "doc_id").select("doc_id", "grade", "text")
     sample = stored(map_batches(sample, _feature_batches, "doc_id long, grade int, buckets array<int>"), "sample")
