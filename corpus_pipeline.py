@@ -14,7 +14,7 @@ from seriesmill.llm.scratch import stored
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or are depleted by boilerplate lines."""
-    return line_rules.keep_good(docs)
+    return line_rules.keep_good(docs, near_copies_once=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

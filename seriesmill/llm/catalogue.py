@@ -71,8 +71,8 @@ def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    """Base measures and verdict of each document; a document's host is its source."""
-    return line_rules.judge(_table(spark, folder, "documents"))
+    """Base measures, verdict and text without boilerplate of each document; a document's host is its source."""
+    return line_rules.judge(_table(spark, folder, "documents"), near_copies_once=False)
 
 
 _QUERIES = [

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,9 @@ LEAST_DOCUMENTS, LEAST_PERCENT = 20, 10
 #: less than this percentage of its words.
 LEAST_KEPT_PERCENT = 20
 
+#: Hashes of boilerplate lines that are sent to the tasks; longer lists are joined by a shuffle.
+MOST_SENT = 500_000
+
 _SYMBOLS = "#*$%&|<>"
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 _STRIP = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -45,53 +50,83 @@ def repeated_words(window_hashes: np.ndarray, n: int, width: int = WINDOW) -> in
     return int((np.cumsum(change[:n]) > 0).sum())
 
 
-def measure(text: str | None) -> dict:
-    """Base measures of one text, its sketch, and hash and words of each line with a word.
+_NEWLINE = np.zeros(256, bool)
+_NEWLINE[10] = True
+_PLAIN = bytes(48 if 48 <= b < 58 else 32 if b in (9, 11, 12, 13) else b for b in range(256))
 
-    The sketch is the smallest hash of a lower-cased five-word window. Copies of a text
-    share it, and near copies do as often as they share windows, so they count as one
-    document or few.
-    """
+
+def line_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the normalised form, and words, of each line with a word."""
+    raw = (text or "").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+    raw = np.frombuffer(re.sub(rb" ?\n ?", b"\n", re.sub(rb" +", b" ", raw)).strip(b" "), np.uint8)
+    starts, ends = words.bounds(raw, _NEWLINE)
+    spaces = np.concatenate([[0], np.cumsum(raw == 32)])
+    return words.signed(words.run_hashes(raw, starts, ends)), spaces[ends] - spaces[starts] + 1
+
+
+def whole_text(text: str) -> int:
+    """Digest of a text: copies share it, and no other text does."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def least_window(text: str) -> int:
+    """Smallest hash of a lower-cased five-word window, which near copies mostly share, but so do texts of one long notice."""
+    return int(words.signed(words.windows(words.hashes(text), WINDOW).min(keepdims=True))[0])
+
+
+def measure(text: str | None) -> dict:
+    """Base measures of one text."""
     text = text or ""
     cased = words.hashes(text, lower=False)
     n = len(cased)
     lines = [line for line in text.split("\n") if line.strip(_STRIP)]
-    low = words.windows(words.hashes(text), WINDOW)
     return {
         "n_words": n,
         "word_chars": len(text) - sum(map(text.count, _STRIP)),
         "n_symbols": sum(map(text.count, _SYMBOLS)),
         "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": repeated_words(words.windows(cased, WINDOW), n),
-        "sketch": int(words.signed(low.min(keepdims=True))[0]) if n else None,
-        "lines": [line_hash(line) for line in lines],
-        "line_words": [len(_SPACES.split(line.strip(_STRIP))) for line in lines],
     }
 
 
-def line_hash(line: str) -> int:
-    raw = np.frombuffer(normalised(line).encode("utf-8", "surrogatepass"), np.uint8)
-    return int(words.signed(words.run_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)])))[0])
+def without_lines(text: str | None, boilerplate: list[int] | None) -> tuple[str | None, int]:
+    """A text less its lines of these hashes, and the words of these lines."""
+    if not text or not boilerplate:
+        return text, 0
+    hashes, counts = line_hashes(text)
+    drop = np.isin(hashes, boilerplate)
+    if not drop.any():
+        return text, 0
+    flags = iter(drop)
+    left = [line for line in text.split("\n") if not line.strip(_STRIP) or not next(flags)]
+    return "\n".join(left), int(counts[drop].sum())
+
+
+_NUMBERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_HOLDERS = "host string, document long, lines array<long>"
+_MEASURED = "doc_id long, " + ", ".join(f"{n} long" for n in _NUMBERS) + ", removed long, text string"
 
 
-_NUMBERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch"]
-_MEASURED = (
-    "row long, doc_id long, host string, "
-    + ", ".join(f"{n} long" for n in _NUMBERS)
-    + ", lines array<long>, line_words array<int>"
-)
+def _holder_batches(batches: Iterator[pa.RecordBatch], identity: Callable[[str], int]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[list] = [[], [], []]
+        for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            lines = np.unique(line_hashes(text)[0])
+            if len(lines):
+                for column, value in zip(out, (host, identity(text), lines)):
+                    column.append(value)
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["host", "document", "lines"])
 
 
 def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [measure(text) for text in batch.column(3).to_pylist()]
+        texts = batch.column(1).to_pylist()
+        found = [measure(text) for text in texts]
         columns = [pa.array([f[n] for f in found], pa.int64()) for n in _NUMBERS]
-        lines = pa.array([f["lines"] for f in found], pa.list_(pa.int64()))
-        counts = pa.array([f["line_words"] for f in found], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], *columns, lines, counts],
-            ["row", "doc_id", "host", *_NUMBERS, "lines", "line_words"],
-        )
+        left = [without_lines(*pair) for pair in zip(texts, batch.column(2).to_pylist())]
+        columns += [pa.array([n for _, n in left], pa.int64()), pa.array([t for t, _ in left], pa.string())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *_NUMBERS, "removed", "text"])
 
 
 def base_failed() -> Column:
@@ -100,60 +135,82 @@ def base_failed() -> Column:
     )
 
 
-def judge(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per row of `docs` (doc_id, text and the host's column): measures and verdict.
+def _host_key(host: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
 
-    Lines are normalised and hashed. For each host, the distinct documents that hold a
-    line are counted, where copies count once (see `measure`). A line of at least
-    LEAST_DOCUMENTS documents and LEAST_PERCENT of the host's documents is removed from
-    all documents of the host. `line_words_removed` counts the words so removed; a
-    document that is depleted by it is rejected, as is one that fails the base rules.
-
-    Counting takes (host, line, sketch) without repeats first and then counts per line,
-    so a line of a third of all documents is spread over its sketches. The join of
-    documents with boilerplate lines deals out stored tables, which adaptive execution
-    splits at hot lines.
-
-    A null or empty text has no words and fails the base rules. A null host is a host of
-    its own. Repeated rows are judged alike. Empty tables give no rows; other columns
-    are ignored.
+
+def boilerplate(docs: DataFrame, host: str, near_copies_once: bool) -> DataFrame:
+    """(host_key, lines): hashes of the boilerplate lines of each host that has any.
+
+    For each host, the distinct texts that hold a line are counted: (host, line, text)
+    without repeats first, then per line, so a line of a third of all documents is
+    spread over its texts. A host's list holds ten times the lines of its average
+    document at most, as each line is in LEAST_PERCENT of them.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("host"),
-        F.col("text").cast("string").alias("text"),
-    )
-    measured = stored(map_batches(rows, _measure_batches, _MEASURED), "line-measures", "zstd")
-    documents = measured.where("sketch is not null").groupBy("host", "sketch").agg(F.lit(1).alias("one"))
-    documents = documents.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
-    lines = measured.select("host", "sketch", F.explode("lines").alias("line"))
-    counts = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
+    rows = docs.select(_host_key(host).alias("host"), F.col("text").cast("string").alias("text"))
+    batches = partial(_holder_batches, identity=least_window if near_copies_once else whole_text)
+    held = stored(map_batches(rows, batches, _HOLDERS), "line-holders", "zstd")
+    documents = held.select("host", "document").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    lines = held.select("host", "document", F.explode("lines").alias("line")).distinct()
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
     frequent = counts.where(F.col("holders") >= LEAST_DOCUMENTS).join(documents, "host")
     frequent = frequent.where(F.col("holders") * 100 >= F.col("documents") * LEAST_PERCENT)
-    frequent = stored(frequent.select("host", "line"), "boilerplate")
-    each = measured.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-    each = each.select("row", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    removed = each.join(frequent, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed"))
-    removed = stored(removed, "removed-words")
-    judged = measured.drop("lines", "line_words", "sketch", "host").join(removed, "row", "left")
-    left = F.col("n_words") - F.coalesce("removed", F.lit(0))
-    depleted = (F.coalesce("removed", F.lit(0)) > 0) & (
+    return stored(frequent.groupBy(F.col("host").alias("host_key")).agg(F.collect_list("line").alias("lines")), "boilerplate")
+
+
+def _with_boilerplate(rows: DataFrame, listed: DataFrame, key: Column) -> DataFrame:
+    """Each row with the boilerplate lines of its host; texts stay where they are if the lists are small."""
+    most = listed.agg(F.sum(F.size("lines") + F.lit(2))).first()[0] or 0
+    listed = listed.withColumnsRenamed({"host_key": "_host_key", "lines": "_lines"})
+    return rows.join(F.broadcast(listed) if most <= MOST_SENT else listed, key == F.col("_host_key"), "left")
+
+
+def _judged(docs: DataFrame, listed: DataFrame, host: str) -> DataFrame:
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _host_key(host).alias("host")
+    )
+    rows = _with_boilerplate(rows, listed, F.col("host")).select("doc_id", "text", "_lines")
+    measured = map_batches(rows, _measure_batches, _MEASURED)
+    left = F.col("n_words") - F.col("removed")
+    depleted = (F.col("removed") > 0) & (
         (left < LEAST_WORDS) | (left * 100 < F.col("n_words") * LEAST_KEPT_PERCENT)
     )
-    return judged.select(
-        "doc_id", *_NUMBERS[:-1], base_failed().alias("base_failed"),
-        (~(base_failed() | depleted)).alias("kept"),
-        F.coalesce("removed", F.lit(0)).cast("long").alias("line_words_removed"),
+    return measured.select(
+        "doc_id", *_NUMBERS, base_failed().alias("base_failed"), (~(base_failed() | depleted)).alias("kept"),
+        F.col("removed").alias("line_words_removed"),
     )
 
 
-def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with their columns and whole texts; rows of one doc_id stay if any of them passes.
+def judge(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
+    """One row per row of `docs` (doc_id, text and the host's column): measures and verdict.
+
+    Lines are normalised and hashed. For each host, the distinct documents that hold a
+    line are counted. A line of at least LEAST_DOCUMENTS documents and LEAST_PERCENT of
+    the host's documents is removed from all documents of the host. `line_words_removed` counts the words so removed.
+    A document that is depleted by it is rejected, as is one that fails the base rules. The measures are
+    those of the whole text.
+
+    Exact copies count as one document. With `near_copies_once=False`, as the registered
+    query and the pipeline have it, every other text counts, near copies too. With True,
+    texts that share their smallest window hash count as one; that spares large groups of
+    near copies, but misses lines, above all those of documents that are mostly boilerplate.
+
+    A null or empty text has no words, fails the base rules and holds no line. A null
+    host is a host of its own. Repeated rows are judged alike. Empty tables give no
+    rows; other columns are ignored.
+    """
+    return _judged(docs, boilerplate(docs, host, near_copies_once), host)
+
+
+def keep_good(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
+    """The documents that pass, with their columns and whole texts (see `judge`).
+
+    Rows of one doc_id stay if any of them passes.
 
     The rejected ids are the smaller side of the join, so texts stay where they are
     wherever Spark finds them small enough to send to the tasks.
     """
-    ids = judge(docs, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    listed = boilerplate(docs, host, near_copies_once)
+    ids = _judged(docs, listed, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     bad = stored(ids.where("not kept").select(F.col("doc_id").alias("_bad")), "rejected")
     return docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti")

@@ -92,6 +92,47 @@ def test_rules_edges(documents):
     assert line_rules.keep_good(documents([(None, prose(random.Random(1), 20)), (None, "x")])).count() == 2
 
 
+def brute_cleaned(rows):
+    """Kept documents without boilerplate, counting texts by plain loops."""
+    holders, texts = defaultdict(set), defaultdict(set)
+    for _, text, host in rows:
+        if WORD.search(text or ""):
+            texts[host].add(text)
+            for line in text.split("\n"):
+                holders[host, line_rules.normalised(line)].add(text)
+    out = []
+    for doc_id, text, host in rows:
+        often = [
+            line for line in (text or "").split("\n") if WORD.search(line)
+            and len(holders[host, line_rules.normalised(line)]) >= max(20, len(texts[host]) / 10)
+        ]
+        n, _, _, _, repeated = base(text)
+        left = n - sum(len(WORD.findall(line)) for line in often)
+        kept = not (n < 10 or 100 * repeated > 20 * n or (often and (left < 10 or 100 * left < 20 * n)))
+        clean = "\n".join(line for line in (text or "").split("\n") if line not in often) if often else text
+        out.append((doc_id, kept, n - left, clean))
+    return out
+
+
+def noticed(rng):
+    """300 documents of a host, 40 of which are mostly one notice, and 60 with a short line in it."""
+    notice = prose(rng, 100)
+    rows = [(k, f"{notice}\n{prose(rng, 22)}", "a") for k in range(40)]
+    line = prose(rng, 9)
+    rows += [(100 + k, f"{prose(rng, 40)}\n\n{line.upper()} \n{prose(rng, 12)}", "a") for k in range(60)]
+    rows += [(200 + k, prose(rng, 50), "a") for k in range(200)]
+    return rows + [(500 + k, f"{line}\n{prose(rng, 30)}", None) for k in range(15)]
+
+
+def test_depleted_documents_count_one_by_one(documents):
+    """Documents that are mostly one notice share its smallest window hash, and still are distinct texts."""
+    rows = noticed(random.Random(5))
+    found = rows_of(line_rules.judge(documents(rows), near_copies_once=False), "doc_id", "kept", "line_words_removed")
+    assert found == [r[:3] for r in brute_cleaned(rows)]
+    assert not any(kept for doc_id, kept, _ in found if doc_id < 40)
+    assert {r.doc_id for r in line_rules.keep_good(documents(rows), near_copies_once=False).collect()} == {r[0] for r in rows if r[0] >= 40}
+
+
 def test_base_measures_in_sql(spark):
     sql = r"""
     WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
