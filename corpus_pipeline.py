@@ -13,7 +13,7 @@ from seriesmill.llm.scratch import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that fail the base rules or are depleted by boilerplate lines."""
+    """Drop documents that fail the base rules or are depleted; take boilerplate lines out of the others."""
     return line_rules.keep_good(docs, near_copies_once=False)
 
 

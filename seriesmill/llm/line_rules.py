@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from seriesmill.llm import words
 from seriesmill.llm.scratch import map_batches, stored
@@ -129,6 +130,11 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *_NUMBERS, "removed", "text"])
 
 
+@F.arrow_udf(StringType())
+def _cleaned(texts: pa.Array, lines: pa.Array) -> pa.Array:
+    return pa.array([without_lines(*pair)[0] for pair in zip(texts.to_pylist(), lines.to_pylist())], pa.string())
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT
@@ -177,17 +183,18 @@ def _judged(docs: DataFrame, listed: DataFrame, host: str) -> DataFrame:
     )
     return measured.select(
         "doc_id", *_NUMBERS, base_failed().alias("base_failed"), (~(base_failed() | depleted)).alias("kept"),
-        F.col("removed").alias("line_words_removed"),
+        F.col("removed").alias("line_words_removed"), "text",
     )
 
 
 def judge(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
-    """One row per row of `docs` (doc_id, text and the host's column): measures and verdict.
+    """One row per row of `docs` (doc_id, text and the host's column): measures, verdict and cleaned text.
 
     Lines are normalised and hashed. For each host, the distinct documents that hold a
     line are counted. A line of at least LEAST_DOCUMENTS documents and LEAST_PERCENT of
-    the host's documents is removed from all documents of the host. `line_words_removed` counts the words so removed.
-    A document that is depleted by it is rejected, as is one that fails the base rules. The measures are
+    the host's documents is removed from all documents of the host: `text` is without
+    it, and `line_words_removed` counts the words so removed. A document that is
+    depleted by it is rejected, as is one that fails the base rules. The measures are
     those of the whole text.
 
     Exact copies count as one document. With `near_copies_once=False`, as the registered
@@ -203,9 +210,10 @@ def judge(docs: DataFrame, host: str = "source", near_copies_once: bool = True)
 
 
 def keep_good(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
-    """The documents that pass, with their columns and whole texts (see `judge`).
+    """The documents that pass, with their columns and `text` without boilerplate lines (see `judge`).
 
-    Rows of one doc_id stay if any of them passes.
+    Rows of one doc_id stay if any of them passes. A column `n_chars` is set to the
+    length of a text that lost lines.
 
     The rejected ids are the smaller side of the join, so texts stay where they are
     wherever Spark finds them small enough to send to the tasks.
@@ -213,4 +221,11 @@ def keep_good(docs: DataFrame, host: str = "source", near_copies_once: bool = Tr
     listed = boilerplate(docs, host, near_copies_once)
     ids = _judged(docs, listed, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     bad = stored(ids.where("not kept").select(F.col("doc_id").alias("_bad")), "rejected")
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti")
+    good = docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti")
+    rows = _with_boilerplate(good, listed, _host_key(host))
+    clean = _cleaned(F.col("text").cast("string"), F.col("_lines"))
+    rows = rows.withColumn("_clean", F.when(F.col("_lines").isNull(), F.col("text")).otherwise(clean))
+    changed = ~F.col("_clean").eqNullSafe(F.col("text"))
+    length = F.when(changed, F.length("_clean")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    now = {"text": F.col("_clean"), "n_chars": length}
+    return rows.select(*[now[c].cast(docs.schema[c].dataType).alias(c) if c in now else F.col(f"`{c}`") for c in docs.columns])

@@ -133,6 +133,20 @@ def test_depleted_documents_count_one_by_one(documents):
     assert {r.doc_id for r in line_rules.keep_good(documents(rows), near_copies_once=False).collect()} == {r[0] for r in rows if r[0] >= 40}
 
 
+def test_boilerplate_leaves_the_texts(documents):
+    """Lines that are judged removed are not in the texts of the judged or of the kept documents."""
+    rows = noticed(random.Random(5)) + [(900, None, "a"), (901, "", None)]
+    expected = brute_cleaned(rows)
+    table = documents(rows, "_x lines")
+    judged = rows_of(line_rules.judge(table, near_copies_once=False), "doc_id", "text")
+    assert judged == [(i, text) for i, _, _, text in expected]
+    good = line_rules.keep_good(table, near_copies_once=False)
+    assert good.columns == table.columns
+    clean = [(i, text, len(text)) for i, kept, _, text in expected if kept]
+    assert rows_of(good, "doc_id", "text", "n_chars") == clean
+    assert sum(removed for _, kept, removed, _ in expected if kept) == 60 * 9
+
+
 def test_base_measures_in_sql(spark):
     sql = r"""
     WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
