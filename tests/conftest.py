@@ -36,9 +36,3 @@ def raw(spark):
         )
 
     return build
-
-
-def rows_of(df, *columns):
-    """Rows as plain tuples in the order of the given columns."""
-    chosen = df.select(*columns) if columns else df
-    return [tuple(row) for row in chosen.collect()]

@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import datetime as dt
 import zipfile
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from seriesmill.plans import ingest
 from seriesmill.sources import archives, normalise
