@@ -7,8 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SMALL = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+from llm_helpers import DOCS  # noqa: E402
 
 
 @pytest.fixture
@@ -23,12 +22,3 @@ def documents(spark):
         return table
 
     return build
-
-
-def rows_of(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda r: tuple((v is None, v) for v in r))
-
-
-def prose(rng, n, vocabulary=5000):
-    """Words that hardly ever repeat in the same order."""
-    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))

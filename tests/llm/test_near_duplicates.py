@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import SMALL, prose, rows_of
+from llm_helpers import SMALL, prose, rows_of
 
 from seriesmill.llm import components, words
 from seriesmill.llm.components import connected_components, local_forest

@@ -5,7 +5,7 @@ import random
 import compare
 import corpus_pipeline
 import pytest
-from conftest import SMALL, prose
+from llm_helpers import SMALL, prose
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

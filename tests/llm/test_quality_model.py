@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from conftest import prose, rows_of
+from llm_helpers import prose, rows_of
 
 from seriesmill.llm import quality_model
 

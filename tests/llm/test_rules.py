@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from conftest import SMALL, prose, rows_of
+from llm_helpers import SMALL, prose, rows_of
 from pyspark.sql import functions as F
 
 from seriesmill.llm import line_rules, mixing, words

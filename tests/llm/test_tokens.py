@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import SMALL, prose, rows_of
+from llm_helpers import SMALL, prose, rows_of
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 

@@ -8,7 +8,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
