@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm import (
     decontamination,
+    filter_audit,
     line_rules,
     mixing,
     near_duplicates,
@@ -75,9 +76,15 @@ def op10_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(_table(spark, folder, "documents"), near_copies_once=False)
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Effect of five filters in all their orders, for each source."""
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 _QUERIES = [
     op1_decontamination, op2_quality_classifier, op3_url_filter, op4_warc_index, op5_repeated_passages,
     op6_training_order, op7_token_counts, op8_minhash_dedup, op9_source_mixing, op10_line_frequency,
+    op11_filter_audit,
 ]
 
 

@@ -136,6 +136,44 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+AUDIT = f"""
+WITH word AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w
+  FROM documents
+), judged AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+    (len(w) < 200)::INTEGER + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INTEGER
+      + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INTEGER
+      + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+      + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INTEGER AS failed
+  FROM word LEFT JOIN labels USING (doc_id)
+), left_over AS (
+  SELECT part, s, count(*) FILTER (failed & s = 0) AS n, count(*) FILTER (failed & s = 0 AND good) AS n_good,
+    count(*) FILTER (failed & s = 0 AND toxic) AS n_toxic
+  FROM judged, range(32) AS subsets(s) GROUP BY part, s
+), filter_orders AS (
+  SELECT a || b || c || d || e AS filter_order
+  FROM (SELECT unnest(string_split('ABCDE', '')) AS a), (SELECT unnest(string_split('ABCDE', '')) AS b),
+    (SELECT unnest(string_split('ABCDE', '')) AS c), (SELECT unnest(string_split('ABCDE', '')) AS d),
+    (SELECT unnest(string_split('ABCDE', '')) AS e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5
+), steps AS (
+  SELECT filter_order, step, (1 << (instr('ABCDE', substr(filter_order, step, 1)) - 1))::BIGINT AS bit,
+    list_sum([1 << (instr('ABCDE', substr(filter_order, i, 1)) - 1) for i in range(1, step + 1)])::BIGINT AS after
+  FROM filter_orders, LATERAL (SELECT unnest(range(1, 6))::INTEGER AS step)
+), figures AS (
+  SELECT y.part, filter_order, step, bit, y.n AS kept, x.n - y.n AS removed,
+    every.n - one.n - (x.n - y.n) AS redundant, others.n - none.n AS unique_fails,
+    x.n_good - y.n_good AS good_lost, x.n_toxic - y.n_toxic AS toxic_lost
+  FROM steps JOIN left_over y ON y.s = after JOIN left_over x ON x.s = after - bit AND x.part = y.part
+    JOIN left_over every ON every.s = 0 AND every.part = y.part JOIN left_over one ON one.s = bit AND one.part = y.part
+    JOIN left_over others ON others.s = 31 - bit AND others.part = y.part JOIN left_over none ON none.s = 31 AND none.part = y.part
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM figures
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -144,4 +182,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_index": ARCHIVES,
         "op8_minhash_dedup": NEAR_DUPLICATES,
         "op9_source_mixing": MIXING,
+        "op11_filter_audit": AUDIT,
     }
