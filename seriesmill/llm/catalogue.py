@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm import (
+    cover_tree,
     decontamination,
     filter_audit,
     line_rules,
@@ -18,6 +19,7 @@ from seriesmill.llm import (
     token_counts,
     token_shards,
     url_filter,
+    voronoi_join,
     warc,
 )
 
@@ -81,10 +83,20 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Negatives of each anchor and positive whose scores lie in a window below the positive's."""
+    return cover_tree.hard_negatives(cover_tree.labelled(_table(spark, folder, "embeddings")))
+
+
+def op13_top_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others."""
+    return voronoi_join.top_scores(voronoi_join.integer_vectors(_table(spark, folder, "embeddings")))
+
+
 _QUERIES = [
     op1_decontamination, op2_quality_classifier, op3_url_filter, op4_warc_index, op5_repeated_passages,
     op6_training_order, op7_token_counts, op8_minhash_dedup, op9_source_mixing, op10_line_frequency,
-    op11_filter_audit,
+    op11_filter_audit, op12_hard_negatives, op13_top_scores,
 ]
 
 

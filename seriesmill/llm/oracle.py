@@ -175,6 +175,41 @@ FROM figures
 """
 
 
+def _whole_vectors(scale: int, label: str = "") -> str:
+    """Rows of `embeddings` that take part, components as whole numbers."""
+    return f"""SELECT vec_id, {label} [floor({scale} * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+HARD_NEGATIVES = f"""
+WITH vec AS (
+  {_whole_vectors(256, "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,")} AND label IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vec a JOIN vec b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+TOP_SCORES = f"""
+WITH vec AS (
+  {_whole_vectors(64)}
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vec q JOIN vec c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
@@ -183,4 +218,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_minhash_dedup": NEAR_DUPLICATES,
         "op9_source_mixing": MIXING,
         "op11_filter_audit": AUDIT,
+        "op12_hard_negatives": HARD_NEGATIVES,
+        "op13_top_scores": TOP_SCORES,
     }
