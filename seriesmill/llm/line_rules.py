@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from seriesmill.llm import words
-from seriesmill.llm.scratch import map_batches, stored
+from seriesmill.llm.scratch import map_batches, stored, wrapped
 
 #: Rules within a text: fewest words, words of a repeated window, and the percentage of
 #: the text that such windows may cover.
@@ -70,11 +69,6 @@ def whole_text(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def least_window(text: str) -> int:
-    """Smallest hash of a lower-cased five-word window, which near copies mostly share, but so do texts of one long notice."""
-    return int(words.signed(words.windows(words.hashes(text), WINDOW).min(keepdims=True))[0])
-
-
 def measure(text: str | None) -> dict:
     """Base measures of one text."""
     text = text or ""
@@ -108,13 +102,13 @@ _HOLDERS = "host string, document long, lines array<long>"
 _MEASURED = "doc_id long, " + ", ".join(f"{n} long" for n in _NUMBERS) + ", removed long, text string"
 
 
-def _holder_batches(batches: Iterator[pa.RecordBatch], identity: Callable[[str], int]) -> Iterator[pa.RecordBatch]:
+def _holder_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], []]
         for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             lines = np.unique(line_hashes(text)[0])
             if len(lines):
-                for column, value in zip(out, (host, identity(text), lines)):
+                for column, value in zip(out, (host, whole_text(text), lines)):
                     column.append(value)
         kinds = [pa.string(), pa.int64(), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["host", "document", "lines"])
@@ -141,11 +135,11 @@ def base_failed() -> Column:
     )
 
 
-def _host_key(host: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
+def _host_key(host: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit(""))
 
 
-def boilerplate(docs: DataFrame, host: str, near_copies_once: bool) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str) -> DataFrame:
     """(host_key, lines): hashes of the boilerplate lines of each host that has any.
 
     For each host, the distinct texts that hold a line are counted: (host, line, text)
@@ -153,9 +147,8 @@ def boilerplate(docs: DataFrame, host: str, near_copies_once: bool) -> DataFrame
     spread over its texts. A host's list holds ten times the lines of its average
     document at most, as each line is in LEAST_PERCENT of them.
     """
-    rows = docs.select(_host_key(host).alias("host"), F.col("text").cast("string").alias("text"))
-    batches = partial(_holder_batches, identity=least_window if near_copies_once else whole_text)
-    held = stored(map_batches(rows, batches, _HOLDERS), "line-holders", "zstd")
+    rows = docs.select(_host_key(F.col(host)).alias("host"), F.col("text").cast("string").alias("text"))
+    held = stored(map_batches(rows, _holder_batches, _HOLDERS), "line-holders", "zstd")
     documents = held.select("host", "document").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     lines = held.select("host", "document", F.explode("lines").alias("line")).distinct()
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
@@ -173,7 +166,7 @@ def _with_boilerplate(rows: DataFrame, listed: DataFrame, key: Column) -> DataFr
 
 def _judged(docs: DataFrame, listed: DataFrame, host: str) -> DataFrame:
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _host_key(host).alias("host")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _host_key(F.col(host)).alias("host")
     )
     rows = _with_boilerplate(rows, listed, F.col("host")).select("doc_id", "text", "_lines")
     measured = map_batches(rows, _measure_batches, _MEASURED)
@@ -187,45 +180,42 @@ def _judged(docs: DataFrame, listed: DataFrame, host: str) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """One row per row of `docs` (doc_id, text and the host's column): measures, verdict and cleaned text.
 
     Lines are normalised and hashed. For each host, the distinct documents that hold a
-    line are counted. A line of at least LEAST_DOCUMENTS documents and LEAST_PERCENT of
-    the host's documents is removed from all documents of the host: `text` is without
-    it, and `line_words_removed` counts the words so removed. A document that is
-    depleted by it is rejected, as is one that fails the base rules. The measures are
-    those of the whole text.
-
-    Exact copies count as one document. With `near_copies_once=False`, as the registered
-    query and the pipeline have it, every other text counts, near copies too. With True,
-    texts that share their smallest window hash count as one; that spares large groups of
-    near copies, but misses lines, above all those of documents that are mostly boilerplate.
+    line are counted; exact copies count as one document. A line of at least
+    LEAST_DOCUMENTS documents and LEAST_PERCENT of the host's documents is removed from
+    all documents of the host: `text` is without it, and `line_words_removed` counts the
+    words so removed. A document that is depleted by it is rejected, as is one that fails
+    the base rules. The measures are those of the whole text.
 
     A null or empty text has no words, fails the base rules and holds no line. A null
     host is a host of its own. Repeated rows are judged alike. Empty tables give no
     rows; other columns are ignored.
     """
-    return _judged(docs, boilerplate(docs, host, near_copies_once), host)
+    return _judged(docs, boilerplate(docs, host), host)
 
 
-def keep_good(docs: DataFrame, host: str = "source", near_copies_once: bool = True) -> DataFrame:
+def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that pass, with their columns and `text` without boilerplate lines (see `judge`).
 
     Rows of one doc_id stay if any of them passes. A column `n_chars` is set to the
-    length of a text that lost lines.
+    length of a text that lost lines. Columns of any other name are carried along. Null
+    texts and repeated rows are as in `judge`.
 
     The rejected ids are the smaller side of the join, so texts stay where they are
     wherever Spark finds them small enough to send to the tasks.
     """
-    listed = boilerplate(docs, host, near_copies_once)
+    listed = boilerplate(docs, host)
     ids = _judged(docs, listed, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     bad = stored(ids.where("not kept").select(F.col("doc_id").alias("_bad")), "rejected")
-    good = docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti")
-    rows = _with_boilerplate(good, listed, _host_key(host))
-    clean = _cleaned(F.col("text").cast("string"), F.col("_lines"))
-    rows = rows.withColumn("_clean", F.when(F.col("_lines").isNull(), F.col("text")).otherwise(clean))
-    changed = ~F.col("_clean").eqNullSafe(F.col("text"))
-    length = F.when(changed, F.length("_clean")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    good = wrapped(docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti"))
+    row = F.col("row")
+    rows = _with_boilerplate(good, listed, _host_key(row[host]))
+    clean = _cleaned(row["text"].cast("string"), F.col("_lines"))
+    rows = rows.withColumn("_clean", F.when(F.col("_lines").isNull(), row["text"]).otherwise(clean))
+    changed = ~F.col("_clean").eqNullSafe(row["text"])
+    length = F.when(changed, F.length("_clean")).otherwise(row["n_chars"]) if "n_chars" in docs.columns else None
     now = {"text": F.col("_clean"), "n_chars": length}
-    return rows.select(*[now[c].cast(docs.schema[c].dataType).alias(c) if c in now else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*[now.get(c, row[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])

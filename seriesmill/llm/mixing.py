@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesmill.llm.prefix import random_key, running_total
-from seriesmill.llm.scratch import stored
+from seriesmill.llm.scratch import stored, wrapped
 from seriesmill.llm.words import WORD
 
 #: Weights by rank of the source, repeating; share of all words that the mix has; epochs
@@ -49,18 +49,10 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source) for each row of `docs` (doc_id, text, source).
-
-    `size` is the number of words. Every document gets a random key; the documents of a
-    source stand in the order of keys, and running totals give the words before each of
-    them. A source gives whole epochs first. In the last epoch documents are taken from
-    the front, and the one that lies on the budget gives only the words up to it, so a
-    source's taken words are its target without the fraction.
+def _placed(docs: DataFrame, seed: str) -> DataFrame:
+    """(doc_id, source, size, key, source_size, target, epochs, last): whole epochs of a source, and words of the last one.
 
-    Null or empty texts have size 0 and give nothing. A null source is a source. Repeated
-    rows are documents of their own; equal ones share the key and are interchangeable.
-    An empty table gives no rows. Other columns are ignored.
+    `last` falls from `size` to 0 in the order of (key, doc_id, size) within a source.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -75,14 +67,27 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     placed = running_total(rows, ["source"], ["key", "doc_id", "size"], "size", n)
     targets = source_targets(sizes).withColumnRenamed("source", "of_source")
     placed = placed.join(F.broadcast(targets) if _few(sizes) else targets, placed.source.eqNullSafe(targets.of_source))
-    budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
-    rest = budget - epochs * F.col("source_size")
+    rest = F.floor("target") - F.col("epochs") * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return placed.select(
-        "doc_id", "size", "source_size", "target",
-        (epochs * F.col("size") + last).cast("long").alias("taken"), "source",
-    )
+    return placed.withColumn("epochs", epochs).withColumn("last", last)
+
+
+def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source) for each row of `docs` (doc_id, text, source).
+
+    `size` is the number of words. Every document gets a random key; the documents of a
+    source stand in the order of keys, and running totals give the words before each of
+    them. A source gives whole epochs first. In the last epoch documents are taken from
+    the front, and the one that lies on the budget gives only the words up to it, so a
+    source's taken words are its target without the fraction.
+
+    Null or empty texts have size 0 and give nothing. A null source is a source. Repeated
+    rows are documents of their own; equal ones share the key and are interchangeable.
+    An empty table gives no rows. Other columns are ignored.
+    """
+    taken = (F.col("epochs") * F.col("size") + F.col("last")).cast("long").alias("taken")
+    return _placed(docs, seed).select("doc_id", "size", "source_size", "target", taken, "source")
 
 
 def _few(sizes: DataFrame, most: int = 10_000) -> bool:
@@ -95,10 +100,22 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
     The words taken of a document are rounded to whole documents, half up, so a source
     differs from its target by half a document at most. Documents without words are in
-    no budget and are kept once. Rows with the same doc_id share the largest count.
+    no budget and are kept once. Rows of a source with the same doc_id are taken equally
+    often. Columns of any other name are carried along.
+
+    Within a source, documents are taken once more up to a point in the order of keys. One
+    line per source, with its epochs and that point, is all that the texts meet, and where
+    sources are few it is sent to them: no text is shuffled.
     """
-    copies = F.when(F.col("size") > 0, F.expr("(2 * taken + size) div (2 * size)")).otherwise(1)
-    plan = mix(docs, seed).groupBy("doc_id").agg(F.max(copies).cast("int").alias("_copies"))
-    plan = plan.where("_copies > 0").withColumnRenamed("doc_id", "_doc_id")
-    joined = docs.join(plan, docs.doc_id.eqNullSafe(plan["_doc_id"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    more = (F.col("size") > 0) & (2 * F.col("last") >= F.col("size"))
+    cuts = _placed(docs, seed).groupBy(F.col("source").alias("of_source")).agg(
+        F.max("epochs").cast("int").alias("epochs"), F.max(F.when(more, F.struct("key", "doc_id"))).alias("cut")
+    )
+    cuts = stored(cuts, "mix-cuts")
+    row = F.col("row")
+    at = F.struct(random_key(F.lit(seed), row["doc_id"]).alias("key"), row["doc_id"].cast("long").alias("doc_id"))
+    rows = wrapped(docs).join(F.broadcast(cuts) if _few(cuts) else cuts, row["source"].cast("string").eqNullSafe(F.col("of_source")))
+    words = F.coalesce(row["text"].cast("string").rlike(WORD), F.lit(False))
+    copies = F.when(words, F.col("epochs") + F.when(at <= F.col("cut"), 1).otherwise(0)).otherwise(1)
+    # An array of null marks, one for each copy.
+    return rows.select("row", F.explode(F.array_repeat(F.lit(None).cast("int"), copies))).select("row.*")

@@ -243,17 +243,18 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _with_sets(pairs: DataFrame, a: str, b: str, sets: DataFrame) -> DataFrame:
-    """Add the full sets of both ends to stored pairs.
+    """Add the full sets of both ends to stored pairs, of which `a` may have many partners.
 
-    Few pairs are sent to where the sets are, so only sets of documents in a pair are
-    shuffled, once. Otherwise both joins deal out pairs, and adaptive execution splits a
+    Few pairs are sent to where the sets are, so a set moves only once, as the one of
+    `b`, to where `a` is dealt to; the sets of `a`, one for all its partners, come last.
+    Many pairs are dealt out with the sets by `b` before. Adaptive execution splits a
     document with many partners.
     """
-    ends = stored(pairs.select(F.col(b).alias("doc_id")).distinct(), "second-ends")
-    left = sets.select(F.col("doc_id").alias(a), F.col("shingles").alias("of_a"))
-    right = sets.join(sent_if_small(ends), "doc_id", "left_semi")
-    right = right.select(F.col("doc_id").alias(b), F.col("shingles").alias("of_b"))
-    return sent_if_small(pairs).join(left, a).join(right, b)
+    hubs = stored(pairs.select(F.col(a).alias("doc_id")).distinct(), "first-ends")
+    hubs = sets.join(sent_if_small(hubs), "doc_id", "left_semi")
+    hubs = hubs.select(F.col("doc_id").alias(a), F.col("shingles").alias("of_a"))
+    members = sets.select(F.col("doc_id").alias(b), F.col("shingles").alias("of_b"))
+    return members.join(sent_if_small(pairs), b).join(hubs, a)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:

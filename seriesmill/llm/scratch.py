@@ -22,6 +22,11 @@ def stored(df: DataFrame, name: str, codec: str = "lz4") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wrapped(df: DataFrame) -> DataFrame:
+    """All columns as the fields of one column `row`, so that no helper column can clash with theirs."""
+    return df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("row"))
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -22,7 +22,7 @@ def test_query_against_sql(spark, name):
 def test_all_are_registered():
     names = set(entry.queries())
     assert set(catalogue.queries()) | {"pipeline"} <= names
-    assert sorted({int(n[2:].split("_")[0]) for n in catalogue.queries()}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in catalogue.queries()}) == list(range(1, 14))
 
 
 def planted(spark, documents, tmp_path):
