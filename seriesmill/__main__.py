@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill import schema
-from seriesmill.plans.build import build_models, check_models
+from seriesmill.plans.build import build_and_check
+from seriesmill.plans.checks import all_checks
 from seriesmill.plans.ingest import Source, run_sources
 from seriesmill.session import shuffle_settings
 from seriesmill.sources.tables import TableStore
@@ -39,13 +41,14 @@ def main(arguments: list[str]) -> int:
         spark.conf.set(name, value)
     store = TableStore(spark, options.store.rstrip("/"))
     sources = [Source(n, f"{options.landing}/{n}", table) for n, table in SURVEYS.items()]
-    report = run_sources(spark, sources, store)
+    report = run_sources(spark, sources, store, checks=all_checks())
     for line in report.lines:
         print(*line, sep="\t")
     if report.exit_code:
         return report.exit_code
 
-    verdicts = check_models(build_models(store, options.start_year)).collect()
+    _, models = build_and_check(store, options.start_year)
+    verdicts = reduce(DataFrame.unionByName, [*report.verdicts, models]).collect()
     for verdict in verdicts:
         print(*verdict, sep="\t")
     return 3 if any(verdict.status == "error" for verdict in verdicts) else 0

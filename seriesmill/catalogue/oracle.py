@@ -20,9 +20,12 @@ def _round(value: str, digits: int) -> str:
     return f"(round({value}, {digits}) + CAST(0 AS DOUBLE))"
 
 
-def _sum(value: str) -> str:
-    """Decimal sum of doubles, ten digits behind the point, back as the nearest double."""
-    decimal = f"CAST(CAST(({value}) AS VARCHAR) AS DECIMAL(38, 10))"
+def _sum(value: str, scale: int = 17) -> str:
+    """Sum of the printed values as decimals, back as the nearest double.
+
+    The scale is chosen by what the column holds, so that no digit of it is cut.
+    """
+    decimal = f"CAST(CAST(({value}) AS VARCHAR) AS DECIMAL(38, {scale}))"
     return f"CAST(CAST(sum({decimal}) AS VARCHAR) AS DOUBLE)"
 
 
@@ -704,8 +707,10 @@ def oracle_sql() -> dict[str, str]:
         max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY c_mktsegment) AS latest
       FROM orders JOIN customer ON o_custkey = c_custkey) WHERE day = latest GROUP BY 1, 2"""
 
-    q["exact_sums"] = f"""SELECT l_returnflag, l_linestatus, {_sum('l_extendedprice * 1e12')} AS large_total,
-      {_mean('l_extendedprice * l_discount / 1e6')} AS small_mean, {_sum('l_extendedprice / 7.0')} AS long_total
+    q["exact_sums"] = f"""SELECT l_returnflag, l_linestatus, {_sum('l_extendedprice * 1e12', 4)} AS large_total,
+      {_sum('l_extendedprice * l_discount / 1e6', 26)} / count(*) AS small_mean, {_sum('l_extendedprice / 7.0')} AS long_total,
+      {_sum('l_quantity * 1e-11', 30)} AS tiny_total, {_sum('l_quantity * 2e18', 0)} AS vast_total,
+      CAST(count(*) FILTER (l_linenumber <> 1) AS DOUBLE) * 2e18 AS mixed_total
     FROM lineitem GROUP BY 1, 2"""
 
     # joins
@@ -777,6 +782,11 @@ def oracle_sql() -> dict[str, str]:
         WINDOW w AS (PARTITION BY region ORDER BY period)) WHERE later IS NULL)"""
     q["dash_compare"] = """SELECT region, period, unemployment_rate, region = 'Auckland' AS is_selected FROM dash_regional
     WHERE period = (SELECT max(period) FROM dash_regional ) ORDER BY unemployment_rate"""
+    month = "3 * CAST(right(period, 1) AS INTEGER)"
+    q["dash_compare_dotted"] = f"""SELECT region, left(period, 4) || '.' || lpad(CAST({month} AS VARCHAR), 2, '0') AS period, unemployment_rate,
+      region = 'Auckland' AS is_selected
+    FROM dash_regional WHERE period = (SELECT max(period) FROM dash_regional )"""
+    q["dash_story_monthly"] = f"SELECT * REPLACE (left(period, 4) || 'M' || CAST({month} AS VARCHAR) AS period) FROM ({q['dash_story']})"
     q["dash_multi"] = """SELECT region, period, unemployment_rate FROM dash_regional
     WHERE region IN ('Auckland', 'Wellington', 'Canterbury', 'Otago') ORDER BY 1, 2"""
 
@@ -910,12 +920,30 @@ def oracle_sql() -> dict[str, str]:
       CASE WHEN NOT in_previous THEN 'NEW ROW' WHEN NOT in_current THEN 'ROW DELETED' ELSE 'VALUE CHANGED' END AS change_type
     FROM both_versions WHERE NOT in_previous OR NOT in_current OR current_value IS DISTINCT FROM previous_value"""
 
+    q["snapshot_summary_stored"] = q["snapshot_summary"]
+    q["snapshot_diff_bucketed"] = q["snapshot_diff"]
+    q["global_summary_stored"] = q["global_summary"]
+    q["dq_freshness_stored"] = f"SELECT * FROM ({q['dq_freshness']}) WHERE table_name <> 'events'"
+    q["sql_macros"] = """WITH m AS (SELECT * FROM mart_regional )
+    SELECT year_quarter_label, region, period_start_date AS starts, CAST(period_start_date + INTERVAL 2 MONTH AS DATE) AS last_month,
+      coalesce(unemployment_rate_pct / nullif(employment_rate_pct, 0),
+        CASE WHEN employment_rate_pct IS NULL OR employment_rate_pct = 0 THEN -1.0 END) AS share,
+      CASE WHEN employment_rate_pct < 2 OR employment_rate_pct > 4
+        THEN (SELECT count(*) FROM m o WHERE o.employment_rate_pct = m.employment_rate_pct) END AS failing_rows,
+      CASE WHEN period_start_date > DATE '1998-01-01'
+        THEN (SELECT count(*) FROM m o WHERE o.period_start_date = m.period_start_date) END AS future_rows
+    FROM m"""
+    q["rebuilt_year"] = """SELECT CAST(year(period_start_date) AS INTEGER) AS period_year, CAST(count(wage_nzd) AS BIGINT) AS wages
+    FROM stg_wages WHERE year(period_start_date) = 1997 OR series_reference LIKE '%.1' GROUP BY 1"""
+
     # ingest
     q["normalise_raw"] = _cleaned("NULL")
     q["ingest_archives"] = _cleaned()
     q["ingest_csv_folder"] = _cleaned()
     q["archive_members"] = """SELECT 'part.csv' AS member, 'series' AS status, count(*) AS n_rows FROM raw_household
     UNION ALL SELECT 'no period.csv', 'no period column', 0 UNION ALL SELECT 'broken.csv', 'unreadable', 0"""
+    q["archive_source"] = _cleaned()
+    q["archive_source_report"] = q["archive_members"]
     q["load_metadata"] = """SELECT series_reference, period, true AS has_file, 'household' AS source_name, DATE '2002-01-01' AS loaded_on
     FROM raw_household"""
     q["ingest_report"] = """SELECT source_name, target_table, status, CASE WHEN target_table IS NULL THEN 0 ELSE n END AS rows_loaded, message

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill import schema
-from seriesmill.functions import labels, numbers, periods, text
+from seriesmill.functions import labels, numbers, periods, sql, text
 from seriesmill.operators import aggregates, filters, joins, policies, quality, snapshots, windows
 from seriesmill.plans import build, checks, dashboards, ingest, marts, measures, staging
 from seriesmill.session import scratch_path
-from seriesmill.sources import archives, normalise, testdata
+from seriesmill.sources import archive_source as archive_source_format
+from seriesmill.sources import archives, footers, normalise, testdata
 from seriesmill.sources.tables import TableStore, materialise
 from seriesmill.streaming import incremental
 
@@ -510,6 +511,14 @@ def min_max_trend(spark, folder):
     )
 
 
+@query
+def global_summary_stored(spark, folder):
+    """A9 from the footers of stored files."""
+    path = scratch_path(spark, "summary")
+    footers.write(testdata.household(spark, folder), path)
+    return footers.summary(footers.reader(spark), path).withColumn("last_ingested", F.to_date("last_ingested"))
+
+
 @query
 def distinct_regions(spark, folder):
     """A11."""
@@ -534,12 +543,15 @@ def mean_at_latest(spark, folder):
 
 @query
 def exact_sums(spark, folder):
-    """A4 to A6 on values with more digits than money has and on sums beyond 64 bits."""
+    """A4 to A6 on values with more digits than money has, on tiny ones and on sums beyond 64 bits."""
     price = F.col("l_extendedprice")
     return testdata.table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         numbers.total(price * F.lit(1e12)).alias("large_total"),
         numbers.mean(price * F.col("l_discount") / F.lit(1e6)).alias("small_mean"),
         numbers.total(price / F.lit(7.0)).alias("long_total"),
+        numbers.total(F.col("l_quantity") * F.lit(1e-11)).alias("tiny_total"),
+        numbers.total(F.col("l_quantity") * F.lit(2e18)).alias("vast_total"),
+        numbers.total(F.when(F.col("l_linenumber") == 1, F.lit(1e-11)).otherwise(2e18)).alias("mixed_total"),
     )
 
 
@@ -811,6 +823,28 @@ def dash_compare(spark, folder):
     return dashboards.region_comparison(regional, "Auckland").orderBy("unemployment_rate")
 
 
+def _relabelled(spark, folder, label):
+    """Dashboard rows whose quarters are written as `label(year, last month of the quarter)`."""
+    raw = _dashboard_household(spark, folder)
+    year, quarter = F.left("period", F.lit(4)), F.right("period", F.lit(1)).cast("int")
+    return raw.withColumn("period", label(year, quarter * 3))
+
+
+@query
+def dash_compare_dotted(spark, folder):
+    """B6, A12 and J6 on labels such as `2026.03`."""
+    raw = _relabelled(spark, folder, lambda year, month: F.format_string("%s.%02d", year, month))
+    return dashboards.region_comparison(dashboards.regional_unemployment(raw), "Auckland")
+
+
+@query
+def dash_story_monthly(spark, folder):
+    """B5 and W6 on labels such as `2025M9`, which as text comes after `2025M12`."""
+    raw = _relabelled(spark, folder, lambda year, month: F.format_string("%sM%d", year, month))
+    regional = dashboards.regional_unemployment(raw)
+    return dashboards.region_story(regional, dashboards.latest_national_rate(raw))
+
+
 @query
 def dash_multi(spark, folder):
     """B7."""
@@ -1007,6 +1041,32 @@ def dq_freshness(spark, folder):
     return united.select("table_name", F.to_date("last_ingested").alias("last_day"), "status")
 
 
+@query
+def dq_freshness_stored(spark, folder):
+    """D10 from the footers of stored files."""
+    session, results = footers.reader(spark), []
+    for name, rows in (("raw_wages", testdata.wages(spark, folder)), ("raw_household", testdata.household(spark, folder))):
+        path = scratch_path(spark, name)
+        footers.write(rows, path)
+        results.append(quality.freshness(footers.newest_load(session, path), name, AS_OF))
+    return results[0].unionByName(results[1]).select("table_name", F.to_date("last_ingested").alias("last_day"), "status")
+
+
+@query
+def sql_macros(spark, folder):
+    """F23, F24, D6 and D7 called in SQL, on values and as tables."""
+    sql.register(spark)
+    mart_regional(spark, folder).createOrReplaceTempView("mart_regional_sql")
+    sql.register_checks(spark, "mart_regional_sql", "employment_rate_pct")
+    return spark.sql(
+        """SELECT m.year_quarter_label, m.region, period_to_date(m.year_quarter_label) AS starts,
+          period_to_date(concat(m.year_num, 'M', 3 * m.quarter_num), 'monthly') AS last_month,
+          safe_divide(m.unemployment_rate_pct, m.employment_rate_pct, -1) AS share, i.failing_rows, f.future_rows
+        FROM mart_regional_sql m LEFT JOIN invalid_rates(2, 4) i ON i.rate = m.employment_rate_pct
+          LEFT JOIN future_periods(DATE '1998-01-01') f ON f.day = m.period_start_date"""
+    )
+
+
 @query
 def dq_labels(spark, folder):
     """D1, D2, D4 on document labels and texts in one pass per table."""
@@ -1039,10 +1099,27 @@ def build_and_check(spark, folder):
         "raw_wages": testdata.wages(spark, folder),
         "raw_monthly": testdata.monthly(spark, folder),
     }
-    for name, raw in inputs.items():
-        store.write(raw, name, AS_OF)
-    tables = build.build_models(store, START, AS_OF)
-    return build.check_models(tables, START, 2000)
+    declared = checks.all_checks(START, 2000)
+    raw = [store.write_checked(rows, name, declared[name], AS_OF)[1] for name, rows in inputs.items()]
+    _, models = build.build_and_check(store, START, AS_OF, None, START, 2000)
+    for verdicts in raw:
+        models = models.unionByName(verdicts)
+    return models
+
+
+@query
+def rebuilt_year(spark, folder):
+    """A second build of one year from grown raw data leaves the other years as they were."""
+    store = TableStore(spark, scratch_path(spark, "rebuild"))
+    wages = testdata.wages(spark, folder)
+    rows = {"raw_household": testdata.household(spark, folder), "raw_monthly": testdata.monthly(spark, folder)}
+    for name, raw in {**rows, "raw_wages": wages.filter("series_reference like '%.1'")}.items():
+        store.write(raw, name, VERSIONS[0])
+    build.build_models(store, START, VERSIONS[0])
+    store.write(wages, "raw_wages", AS_OF)
+    build.build_models(store, START, AS_OF, [1997])
+    cells = spark.table(store.full_name("int_wage_cells"))
+    return cells.groupBy("period_year").agg(F.sum("wage_count").alias("wages"))
 
 
 # --- policies ---------------------------------------------------------------
@@ -1172,6 +1249,28 @@ def snapshot_diff(spark, folder):
     return snapshots.diff(_version(spark, folder, 0), _version(spark, folder, 604800))
 
 
+@query
+def snapshot_summary_stored(spark, folder):
+    """T2, U1 from the footers of the stored versions."""
+    session, lines = footers.reader(spark), []
+    for name, seconds in (("Current", 0), ("1 hour ago", 3600), ("24 hours ago", 86400)):
+        path = scratch_path(spark, "version")
+        footers.write(_version(spark, folder, seconds), path)
+        lines.append(footers.summary(session, path).select(F.lit(name).alias("snapshot"), "*"))
+    united = lines[0].unionByName(lines[1]).unionByName(lines[2])
+    return united.withColumn("last_ingested", F.to_date("last_ingested"))
+
+
+@query
+def snapshot_diff_bucketed(spark, folder):
+    """T3, J3, C14 on two versions that are stored in buckets of the keys."""
+    store = TableStore(spark, scratch_path(spark, "buckets"))
+    keys = ["series_reference", "period"]
+    for name, seconds in (("current", 0), ("previous", 604800)):
+        store.write_bucketed(_version(spark, folder, seconds), name, keys, 16)
+    return snapshots.diff_of_buckets(store.bucketed("current"), store.bucketed("previous"), keys)
+
+
 # --- ingest -----------------------------------------------------------------
 
 
@@ -1237,11 +1336,32 @@ def ingest_archives(spark, folder):
 @query
 def archive_members(spark, folder):
     """Status and rows of members of every kind."""
+    manifest = archives.member_manifest(spark, _mixed_archives(spark, folder))
+    return manifest.groupBy("member", "status").agg(F.sum("rows").alias("n_rows"))
+
+
+def _mixed_archives(spark, folder):
     target = scratch_path(spark, "mixed")
     rows = _text_rows(spark, folder).withColumnRenamed("period", "Period")
     testdata.write_mixed_archives(rows, target).write.format("noop").mode("overwrite").save()
-    manifest = archives.member_manifest(spark, target)
-    return manifest.groupBy("member", "status").agg(F.sum("rows").alias("n_rows"))
+    return target
+
+
+@query
+def archive_source(spark, folder):
+    """S1 to S12 through the data source; the condition leaves the faulty members closed."""
+    archive_source_format.register(spark)
+    rows = spark.read.format(archive_source_format.FORMAT).load(_mixed_archives(spark, folder))
+    return normalise.typed_rows(rows.filter("_source_file like 'part%'")).drop("_source_file")
+
+
+@query
+def archive_source_report(spark, folder):
+    """What the data source says of members of every kind."""
+    archive_source_format.register(spark)
+    reader = spark.read.format(archive_source_format.FORMAT).option("report", "true")
+    lines = reader.load(_mixed_archives(spark, folder))
+    return lines.groupBy("member", "status").agg(F.sum("rows").alias("n_rows"))
 
 
 @query

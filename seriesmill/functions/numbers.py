@@ -60,29 +60,70 @@ def annualise(hourly: Column) -> Column:
     return F.round(hourly * F.lit(40) * F.lit(52), 0)
 
 
-# Sums keep ten digits behind the point. Values up to this size are added exactly.
-_EXACT, _LARGEST = "decimal(38,10)", 1e18
+# Exact sums. Each value belongs to one slice of the number line by its size, and each slice is
+# added as decimals whose scale holds all digits of its values, with room for 10^12 rows.
+# Behind 17 digits a small value leaves a rest, which is added on its own, to 37 digits.
+_TO_MAIN, _TO_WIDE, _TO_LARGE, _TO_HUGE = 1e9, 1e18, 1e26, 1e35
+_HUGE_UNIT = 2.0**64
+
+
+def parts(value: Column) -> Column:
+    """Sum of a double column in parts that can be added up further, in whatever order (`add_parts`)."""
+    size = F.abs(value)
+    main = value.try_cast("decimal(38,17)")
+    rest = value.try_cast("decimal(38,38)") - main.cast("decimal(38,38)")
+    return F.struct(
+        F.try_sum(F.when((size < 0.1) & (rest != 0), rest)).alias("rest"),
+        F.try_sum(F.when(size < _TO_MAIN, main)).alias("main"),
+        F.try_sum(F.when((size >= _TO_MAIN) & (size < _TO_WIDE), value.try_cast("decimal(38,7)"))).alias("wide"),
+        F.try_sum(F.when((size >= _TO_WIDE) & (size < _TO_LARGE), value.try_cast("decimal(38,0)"))).alias("large"),
+        F.try_sum(
+            F.when((size >= _TO_LARGE) & (size < _TO_HUGE), (value / _HUGE_UNIT).try_cast("decimal(38,10)"))
+        ).alias("huge"),
+        F.sum(F.when(size >= _TO_HUGE, value)).alias("beyond"),
+    )
+
+
+def add_parts(column: Column) -> Column:
+    """Add up stored `parts`."""
+    names = ["rest", "main", "wide", "large", "huge"]
+    sums = [F.try_sum(column.getField(name)).alias(name) for name in names]
+    return F.struct(*sums, F.sum(column.getField("beyond")).alias("beyond"))
+
+
+def _plus(left: Column, right: Column, scale: int) -> Column:
+    """Exact sum of two decimals, one of them if the other is NULL; NULL if it has too many digits."""
+    a, b = (side.try_cast(f"decimal(37,{scale})") for side in (left, right))
+    return F.when(left.isNull(), b).when(right.isNull(), a).otherwise(a + b)
+
+
+def from_parts(summed: Column) -> Column:
+    """The double next to a sum in parts; NULL for no values.
+
+    Parts that may cancel each other are added as decimals as long as these have the digits.
+    """
+    names = ("rest", "main", "wide", "large", "huge", "beyond")
+    some = F.coalesce(*[summed.getField(name).cast("double") for name in names])
+    rest, main, wide, large, huge, beyond = (F.nullif(summed.getField(name), F.lit(0)) for name in names)
+    doubles = {name: F.coalesce(part.cast("double"), F.lit(0.0)) for name, part in zip(names, (rest, main, wide, large))}
+    high = _plus(wide, large, 7)
+    mid = _plus(main, high, 17)
+    fits = mid.isNotNull() & (large.isNull() | high.isNotNull())
+    low = F.when(fits, F.coalesce(_plus(mid, rest, 30).cast("double"), mid.cast("double") + doubles["rest"]))
+    rough = (doubles["rest"] + doubles["main"]) + (doubles["wide"] + doubles["large"])
+    outer = F.coalesce(huge.cast("double") * _HUGE_UNIT, F.lit(0.0)) + F.coalesce(beyond, F.lit(0.0))
+    return F.when(some.isNotNull(), F.coalesce(low, rough) + outer)
 
 
 def total(value: Column) -> Column:
     """Sum of a double column, the same in whatever order its rows arrive.
 
-    The values are added as decimals with ten digits behind the point, so partitions,
-    retried tasks and the ANSI setting make no difference. Only a group with a value
-    beyond 1e18, with one that is not finite, or with a sum beyond 1e28 gets the plain
-    sum of doubles.
+    Values are added as the decimals that they print as, without a limit of digits for
+    values of ordinary size: from 1e-21 to 1e35 every digit counts, below that those up to
+    the 37th behind the point. So partitions, retried tasks and the ANSI setting make no
+    difference. Values beyond 1e35, infinite ones and NaN are added as doubles.
     """
-    fits = F.abs(value) < F.lit(_LARGEST)
-    exact = F.try_sum(F.when(fits, value.cast(_EXACT)))
-    inexact = (F.count_if(~fits) > 0) | (exact.isNull() & (F.count(value) > 0))
-    return F.when(inexact, F.sum(value)).otherwise(exact.cast("double"))
-
-
-def exact_total(value: Column) -> Column:
-    """Sum as a decimal, to be added up further; values beyond 1e18 raise."""
-    fits = F.abs(value) < F.lit(_LARGEST)
-    refused = F.raise_error(F.lit("value too large for an exact sum")).cast(_EXACT)
-    return F.sum(F.when(value.isNull() | fits, value.cast(_EXACT)).otherwise(refused))
+    return from_parts(parts(value))
 
 
 def mean(value: Column) -> Column:

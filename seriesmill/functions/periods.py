@@ -103,6 +103,21 @@ def period_to_date(period: Column, kind: str = "quarterly") -> Column:
     raise ValueError(f"unknown period kind: {kind}")
 
 
+def sort_key(period: Column) -> Column:
+    """Labels of all three forms in the order of time, as a struct to sort and to compare by.
+
+    `2025M9` is before `2025M12`, and `2026.03` stands for its month. A label without such a
+    day comes before all others, and such labels are in the order of their text.
+    """
+    dotted = period.like(DOTTED_PATTERN) & _month_of(period).isNotNull()
+    start = (
+        F.when(is_quarterly(period), period_to_date(period))
+        .when(is_monthly(period), period_to_date(period, "monthly"))
+        .when(dotted, month_start(year_of(period), _month_of(period)))
+    )
+    return F.struct(start.alias("start"), F.when(start.isNull(), period).alias("label"))
+
+
 def quarter_label(year: Column, quarter: Column) -> Column:
     """`2025Q4`; NULL when a part is NULL."""
     return F.concat(year.cast("string"), F.lit("Q"), quarter.cast("string"))

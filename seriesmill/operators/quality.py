@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.operators import aggregates
@@ -73,9 +73,27 @@ def _status(failures: Column, severity: Column) -> Column:
     return F.when(failures == 0, "pass").when(severity == "warn", "warn").otherwise("error")
 
 
+def counters(checks: Sequence[Check]) -> list[Column]:
+    """Failing rows of each check as one aggregate each, `n0`, `n1` and so on."""
+    return [F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(checks)]
+
+
+_COUNTED = "check_name string, table_name string, column_name string, severity string, failures bigint"
+
+
+def verdicts(spark: SparkSession, table: str, checks: Sequence[Check], counted: dict) -> DataFrame:
+    """One row per check from `counters` that a write has measured."""
+    lines = [(c.name, table, c.column, c.severity, counted[f"n{i}"]) for i, c in enumerate(checks)]
+    return _judged(spark.createDataFrame(lines, _COUNTED))
+
+
+def _judged(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("status", _status(F.col("failures"), F.col("severity")))
+
+
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """All checks of a table as counters of one aggregate, one result row per check."""
-    counted = df.agg(*(F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(checks)))
+    counted = df.agg(*counters(checks))
     lines = F.array(
         *(
             F.struct(
@@ -88,9 +106,7 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
             for i, c in enumerate(checks)
         )
     )
-    return counted.select(F.inline(lines)).withColumn(
-        "status", _status(F.col("failures"), F.col("severity"))
-    )
+    return _judged(counted.select(F.inline(lines)))
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:

@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmill.functions import labels, periods
+from seriesmill.session import scratch_path
 
 DATE = "period_start_date"
 
@@ -58,43 +60,40 @@ def rank_columns(value: str, keys: Sequence[str]) -> dict[str, Column]:
     }
 
 
-def rank_rows(df: DataFrame, key: str, value: str, cells: int = 256) -> DataFrame:
+def rank_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     """W4/W5 for an unreduced table: exact ranks even if one key holds most rows.
 
-    Rows are first counted per (key, value). The value axis is cut at quantiles of these
-    values into `cells` cells of about equal size, wherever the values lie. Ranks inside
-    a cell come from a window over that cell, and the rows below a cell from a window
-    over the cell totals. So no window partition holds more than one cell's share of all
-    distinct values, or the cells of one key. The quantiles are approximate, which moves
-    the cuts but not the ranks. The ranks then go back to the rows by an equi join. Rows
-    without a value keep NULL ranks.
+    Rows are first counted per (key, value). These counts are dealt out in ranges of (key,
+    value), which Spark cuts from a sample so that the ranges are about equally large: the
+    more data, the more partitions the session gives the shuffle. Ranks inside a partition
+    come from a window over it, and the rows below it from a window over one total per
+    partition and key. So no task holds more than a partition, wherever the values lie.
+    The ranks then go back to the rows by an equi join. Rows without a value keep NULL
+    ranks. The ranges are stored, so that a task that is run again finds the same cuts.
     """
     values = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    shares = [i / cells for i in range(1, cells)]
-    cuts = values.agg(F.percentile_approx(value, shares, 20 * cells)).scalar()
-    # Spark orders NaN above all numbers, and so does the comparison.
-    cell = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    values = values.withColumn("_cuts", cuts).withColumn("_cell", cell).drop("_cuts")
+    dealt = values.repartitionByRange(F.col(key), F.col(value)).withColumn("_part", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    before = Window.unboundedPreceding, -1
     whole_key = Window.partitionBy(key)
-    earlier_cells = whole_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        values.groupBy(key, "_cell")
-        .agg(F.sum("_n").alias("_cell_n"))
+        dealt.groupBy(key, "_part")
+        .agg(F.sum("_n").alias("_part_n"))
         .select(
             F.col(key).alias("_key"),
-            F.col("_cell").alias("_cell_id"),
-            F.coalesce(F.sum("_cell_n").over(earlier_cells), F.lit(0)).alias("_below_cell"),
-            F.sum("_cell_n").over(whole_key).alias("_total"),
+            F.col("_part").alias("_part_id"),
+            F.coalesce(F.sum("_part_n").over(whole_key.orderBy("_part").rowsBetween(*before)), F.lit(0)).alias("_below_part"),
+            F.sum("_part_n").over(whole_key).alias("_total"),
         )
     )
-    in_cell = (
-        Window.partitionBy(key, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = values.withColumn("_below", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
+    in_part = Window.partitionBy(key, "_part").orderBy(value).rowsBetween(*before)
+    counted = dealt.withColumn("_below", F.coalesce(F.sum("_n").over(in_part), F.lit(0)))
     joined = counted.join(
-        totals, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_cell") == F.col("_cell_id"))
+        totals, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_part") == F.col("_part_id"))
     )
-    below = F.col("_below_cell") + F.col("_below")
+    below = F.col("_below_part") + F.col("_below")
     rest = F.col("_total") - F.lit(1)
     ranks = joined.select(
         F.col(key).alias("_key"),
@@ -110,8 +109,13 @@ def rank_rows(df: DataFrame, key: str, value: str, cells: int = 256) -> DataFram
 def latest_and_previous(
     df: DataFrame, key: str, period: str, value: str
 ) -> DataFrame:
-    """Newest row per key with the value before it, in one order of the rows."""
-    ordered = Window.partitionBy(key).orderBy(F.col(period).asc_nulls_first())
+    """Newest row per key with the value before it, in one order of the rows.
+
+    Labels are in the order of time, whatever their form; dates are in their own.
+    """
+    is_label = isinstance(df.schema[period].dataType, T.StringType)
+    order = periods.sort_key(F.col(period)) if is_label else F.col(period)
+    ordered = Window.partitionBy(key).orderBy(order.asc_nulls_first())
     return (
         df.withColumn("previous_value", F.lag(value, 1).over(ordered))
         .withColumn("_later", F.lead(F.lit(1), 1).over(ordered))

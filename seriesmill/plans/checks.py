@@ -95,6 +95,14 @@ def rule_checks() -> dict[str, list[Check]]:
     }
 
 
+def all_checks(first_year: int = 2000, last_year: int = 2030) -> dict[str, list[Check]]:
+    """Declared checks and rules of each table."""
+    declared = table_checks(first_year, last_year)
+    for name, rules in rule_checks().items():
+        declared[name] = [*declared[name], *rules]
+    return declared
+
+
 def check_tables(
     tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]
 ) -> DataFrame:

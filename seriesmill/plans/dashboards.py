@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill import schema
-from seriesmill.functions import labels, numbers
+from seriesmill.functions import labels, numbers, periods
 from seriesmill.functions.text import has
 from seriesmill.operators import aggregates, joins, windows
 from seriesmill.sources.tables import TableStore
@@ -104,7 +104,8 @@ def latest_ranking(
 
 def latest_national_rate(household_raw: DataFrame) -> Column:
     """National unemployment rate at its newest period, as a scalar subquery."""
-    return national_trend(household_raw).agg(F.max_by("unemployment_rate", "period")).scalar()
+    newest = periods.sort_key(F.col("period"))
+    return national_trend(household_raw).agg(F.max_by("unemployment_rate", newest)).scalar()
 
 
 def region_story(regional: DataFrame, national_rate: Column | float) -> DataFrame:

@@ -160,7 +160,7 @@ def wage_cells(wages: DataFrame) -> DataFrame:
         return wages
     keys = [*QUARTER, "sector_clean", "industry_anzsic", "wage_frequency"]
     return wages.groupBy(*keys).agg(
-        numbers.exact_total(F.col("wage_nzd")).alias("wage_total"),
+        numbers.parts(F.col("wage_nzd")).alias("wage_total"),
         F.count("wage_nzd").alias("wage_count"),
         F.count("*").alias("row_count"),
     )
@@ -168,7 +168,7 @@ def wage_cells(wages: DataFrame) -> DataFrame:
 
 def _mean_of_cells(cells: DataFrame, keys: list[str], name: str) -> DataFrame:
     n = F.sum("wage_count")
-    mean = F.when(n > 0, F.sum("wage_total").cast("double") / n)
+    mean = F.when(n > 0, numbers.from_parts(numbers.add_parts(F.col("wage_total"))) / n)
     return cells.groupBy(*keys).agg(mean.alias(name), F.sum("row_count").alias("series_count"))
 
 

@@ -27,13 +27,12 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesmill import schema
 from seriesmill.functions import text
 from seriesmill.session import scratch_path, ship_package
-from seriesmill.sources import normalise
 
 CHUNK_ROWS = 50_000
 TASK_BYTES = 32 * 1024**2  # unpacked bytes that are worth a task of their own
@@ -58,8 +57,12 @@ def locate(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+#: What reading a faulty member raises.
+UNREADABLE = (ValueError, zipfile.BadZipFile, zipfile.zlib.error)
+
+
 @contextmanager
-def _archive(path: str):
+def opened(path: str):
     file_system, inner = locate(path)
     with file_system.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
         yield archive
@@ -98,7 +101,7 @@ def _canonical(chunk: pd.DataFrame, member: str) -> pa.RecordBatch:
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("archive").to_pylist():
-            with _archive(path) as archive:
+            with opened(path) as archive:
                 found = [i for i in archive.infolist() if is_series_member(i.filename)]
             # An archive without candidates still gets a line, to be reported later.
             names = [i.filename for i in found] or [None]
@@ -123,18 +126,23 @@ def _status_line(archive: str, member: str | None, status: str, rows: int, detai
     }
 
 
-def _member_rows(path: str, member: str, count: list[int]) -> Iterator[pa.RecordBatch]:
-    """Rows of one member with their origin; nothing for a table without a period column."""
-    with _archive(path) as archive:
+def member_batches(path: str, member: str) -> Iterator[pa.RecordBatch]:
+    """Text rows of one member in bounded chunks; none at all for a table without a period column."""
+    with opened(path) as archive:
         for chunk in _chunks(archive, member):
             if not any(name in chunk.columns for name in PERIOD_HEADERS):
                 return
-            batch = _canonical(chunk, member)
-            n = len(chunk)
-            origin = [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string())]
-            unset = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
-            count[0] = (count[0] or 0) + n
-            yield pa.RecordBatch.from_arrays([*batch.columns, *origin, *unset], [*batch.schema.names, *_ORIGIN])
+            yield _canonical(chunk, member)
+
+
+def _member_rows(path: str, member: str, count: list[int]) -> Iterator[pa.RecordBatch]:
+    """Rows of one member with their origin."""
+    for batch in member_batches(path, member):
+        n = batch.num_rows
+        origin = [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string())]
+        unset = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
+        count[0] = (count[0] or 0) + n
+        yield pa.RecordBatch.from_arrays([*batch.columns, *origin, *unset], [*batch.schema.names, *_ORIGIN])
 
 
 def _parse_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +155,7 @@ def _parse_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 try:
                     yield from _member_rows(path, member, count)
                     status = "no period column" if count[0] is None else "series"
-                except (ValueError, zipfile.BadZipFile, zipfile.zlib.error) as error:
+                except UNREADABLE as error:
                     status, detail = "unreadable", str(error)
             rows = count[0] or 0 if status == "series" else 0
             yield pa.RecordBatch.from_pydict(_status_line(path, member, status, rows, detail))
@@ -161,7 +169,7 @@ def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.col("path").alias("archive"))
+        .select(F.col("path").alias("archive"), F.col("_metadata.file_path").alias("uri"))
     )
     return _spread(spark, listed)
 
@@ -265,66 +273,74 @@ def left_out(manifest: DataFrame) -> str | None:
 
 
 def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Header of each file that holds a series."""
     for batch in batches:
-        for path in batch.column("archive").to_pylist():
+        for path, uri in zip(batch.column("archive").to_pylist(), batch.column("uri").to_pylist()):
             file_system, inner = locate(path)
             with file_system.open_input_file(inner) as handle:
                 names = next(csv.reader(io.TextIOWrapper(handle, "utf-8-sig", newline="")), [])
-            yield pa.RecordBatch.from_pydict(
-                {"file": [path], "names": pa.array([names], pa.list_(pa.string()))}
-            )
+            if is_series_member(path.rsplit("/", 1)[-1]) and any(name in names for name in PERIOD_HEADERS):
+                yield pa.RecordBatch.from_pydict({"uri": [uri], "names": pa.array([names], pa.list_(pa.string()))})
+
+
+# A comma outside quotes.
+_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def read_csv_folder(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3 to S7 for unpacked CSV files, with Spark's own splittable reader.
 
-    Tasks read the header line of each file. Files with the same header (there is
-    a handful of spellings) are read together, and the groups are united under
-    canonical names. Set `multi_line` when quoted values hold line breaks; such
-    files cannot be split. A file with a line of too many fields is left out as a
-    whole, as an archive member is; a first pass finds such files.
+    Tasks read the header line of each file, and Spark groups the files by it; the driver
+    sees only the different headers, of which there is a handful. All files are then read at
+    once, by place, and each row meets the header of its file by a join with the file's
+    name. Set `multi_line` when quoted values hold line breaks; such files cannot be
+    split. A file with a line of too many fields is left out as a whole, as an archive
+    member is; a first pass finds such files.
     """
-    headers = _files(spark, path, "*.csv").mapInArrow(
-        _read_headers, "file string, names array<string>"
-    )
-    groups: dict[tuple, list[str]] = {}
-    for row in headers.collect():
-        is_series = any(name in row.names for name in PERIOD_HEADERS)
-        if is_series and is_series_member(row.file.rsplit("/", 1)[-1]):
-            groups.setdefault(tuple(row.names), []).append(row.file)
-    if not groups:
+    headers = _files(spark, path, "*.csv").mapInArrow(_read_headers, "uri string, names array<string>")
+    headers = _kept(headers, "headers")
+    spellings = sorted(row.names for row in headers.select("names").distinct().collect())
+    if not spellings:
         raise ValueError(f"no time-series CSV found in {path}")
-    frames = [_read_group(spark, names, files, multi_line) for names, files in sorted(groups.items())]
-    return normalise.union_files(frames)
-
-
-# A comma outside quotes.
-_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
+    numbered = spark.createDataFrame(list(enumerate(spellings)), "_spelling int, names array<string>")
+    files = headers.join(F.broadcast(numbered), "names").select(
+        F.col("uri").alias("_uri"), "_spelling", F.size("names").alias("_width")
+    )
+    files = _kept(files, "header-of-file")
 
-def _read_group(spark: SparkSession, names: tuple, files: list[str], multi_line: bool) -> DataFrame:
-    fields = [f"c{place}" for place in range(len(names))]
+    widest = max(map(len, spellings))
+    fields = [f"c{place}" for place in range(widest)]
     # Without pruning Spark also counts the fields that nobody reads.
-    reader = spark.read.option("columnPruning", "false")
-    rows = reader.csv(
-        sorted(files), header=True, escape='"', multiLine=multi_line, mode="PERMISSIVE",
+    reader = spark.read.option("columnPruning", "false").option("pathGlobFilter", "*.csv")
+    rows = reader.option("recursiveFileLookup", "true").csv(
+        path, header=True, escape='"', multiLine=multi_line, mode="PERMISSIVE",
         schema=", ".join(f"{field} string" for field in [*fields, "_misfit"]),
         columnNameOfCorruptRecord="_misfit",
-    ).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_source_file"))
-    # A line with too few fields is a misfit as well, but a good one.
-    surplus = F.regexp_count("_misfit", F.lit(_SEPARATOR)) >= len(names)
+    ).select("*", F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_name").alias("_source_file"))
+    rows = rows.join(files, "_uri")
+    # Only a line that differs from the widest header in its number of fields is a misfit.
+    found = F.when(F.col("_misfit").isNull(), widest).otherwise(F.regexp_count("_misfit", F.lit(_SEPARATOR)) + 1)
     # Spark refuses to read the misfits alone, so one more column comes along.
-    bad = rows.filter(surplus).groupBy("_path").agg(F.max(fields[0]).alias("_sample"))
-    good = rows.join(_kept(bad, "misfit-files").drop("_sample"), "_path", "left_anti")
-    table = normalise.canonical_columns(good.select(*fields, "_source_file").toDF(*names, "_source_file"))
-    return table.select(
+    bad = rows.filter(found > F.col("_width")).groupBy("_uri").agg(F.max(fields[0]).alias("_sample"))
+    good = rows.join(_kept(bad, "misfit-files").drop("_sample"), "_uri", "left_anti")
+    return good.select(*(_by_spelling(name, spellings) for name in schema.SERIES_COLUMNS), "_source_file").select(
         *(
             text.null_if_token(F.col(name), schema.CSV_MISSING_TOKENS).alias(name)
-            for name in table.columns
+            for name in [*schema.SERIES_COLUMNS, "_source_file"]
         )
     )
 
 
+def _by_spelling(name: str, spellings: list[list[str]]) -> Column:
+    """A column from its places in each header; the first place that has a value wins."""
+    value = F.lit(None).cast("string")
+    for number, header in enumerate(spellings):
+        places = [f"c{i}" for i, spelt in enumerate(header) if schema.HEADER_SPELLINGS.get(spelt, spelt) == name]
+        if places:
+            value = F.when(F.col("_spelling") == number, F.coalesce(*places)).otherwise(value)
+    return value.alias(name)
+
+
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     name = f"part-{TaskContext.get().partitionId():05d}"
     filled = (batch for batch in batches if batch.num_rows)

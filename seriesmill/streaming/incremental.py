@@ -1,29 +1,27 @@
 """Incremental landing that keeps the newest row per series and period.
 
-The batch job replaces whole tables. For sources that only append, new files are
-taken in with `availableNow` micro-batches instead. Rows lie in buckets by a hash of
-their key. A batch merges its rows with the buckets that they touch and writes those
-buckets anew, so the landed table is always compact and a read never regroups it. Every
-batch has folders of its own and a repeated batch replaces them, so a restart changes
-nothing.
+The batch job replaces whole tables. For sources that only append, new files are taken in
+by `availableNow` micro-batches instead. A batch appends its rows below the day on which
+they land and touches nothing else. Rows that are delivered again within a watermark on
+the landing time are dropped by the stream; the newest row per key is taken at read, by
+an aggregate, so that rows that come late or are repeated later change no result.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyarrow.fs import FileType
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.schema import RAW_SCHEMA
-from seriesmill.sources.archives import locate
 
 KEYS = ("series_reference", "period")
-BUCKETS = 64
-_COMMITS = "batch_id bigint, bucket int, columns string"
+#: Time after its landing within which a repeated row is recognised.
+REPEATED_WITHIN = "7 days"
+_LANDED, _DAY = "_landed_at", "load_date"
 
 
 def newest_rows(rows: DataFrame, keys: Sequence[str] = KEYS, loaded_at: str = "_ingested_at") -> DataFrame:
@@ -46,71 +44,50 @@ def land_new_files(
     target: str,
     state: str,
     schema: T.StructType = RAW_SCHEMA,
-    keys: Sequence[str] = KEYS,
-    loaded_at: str = "_ingested_at",
     files_per_batch: int = 1000,
-    buckets: int = BUCKETS,
+    repeated_within: str = REPEATED_WITHIN,
 ) -> None:
     """Take in all parquet files that have not been seen yet, then stop.
 
-    `state` holds the stream's progress and must lie on shared storage, like
-    `target`. The number of buckets must stay the same for a target.
+    The watermark is on the time of the batch and not on the source's load time, because
+    rows that the source sends late would be behind the latter and be lost. The state
+    holds the rows of `repeated_within`, whatever has landed before. `state` holds the
+    stream's progress and must lie on shared storage, like `target`; the file sink's log
+    makes a repeated batch replace itself.
     """
-
-    def keep_batch(batch: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        fresh = newest_rows(batch, keys, loaded_at).withColumn("_bucket", bucket)
-        touched = [row[0] for row in fresh.select("_bucket").distinct().collect()]
-        if not touched:
-            return
-        known = _landed(batch.sparkSession, target, before=batch_id, only=touched)
-        rows = fresh if known is None else fresh.unionByName(known)
-        merged = newest_rows(rows, [*keys, "_bucket"], loaded_at)
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{target}/rows/batch_id={batch_id}")
-        lines = [(batch_id, number, fresh.schema.json()) for number in touched]
-        commit = batch.sparkSession.createDataFrame(lines, _COMMITS).coalesce(1)
-        commit.drop("batch_id").write.mode("overwrite").parquet(f"{target}/commits/batch_id={batch_id}")
-
-    (
+    rows = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(incoming)
-        .writeStream.foreachBatch(keep_batch)
+    )
+    landed = (
+        rows.withColumn(_LANDED, F.current_timestamp())
+        .withWatermark(_LANDED, repeated_within)
+        .dropDuplicatesWithinWatermark(rows.columns)
+        .withColumn(_DAY, F.to_date(_LANDED))
+    )
+    (
+        landed.writeStream.format("parquet")
+        .partitionBy(_DAY)
+        .option("path", target)
         .option("checkpointLocation", state)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
 
 
-def _landed(
-    spark: SparkSession, target: str, before: int | None = None, only: Sequence[int] | None = None
-) -> DataFrame | None:
-    """The newest state of each bucket, one line per bucket on the driver; None for no state."""
-    storage, folder = locate(f"{target}/commits")
-    if storage.get_file_info(folder).type == FileType.NotFound:
-        return None
-    lines = spark.read.schema(_COMMITS).parquet(f"{target}/commits")
-    if before is not None:
-        lines = lines.filter(F.col("batch_id") < before)
-    newest = lines.groupBy("bucket").agg(F.max_by("columns", "batch_id").alias("columns"), F.max("batch_id").alias("batch_id"))
-    state = [row for row in newest.collect() if only is None or row.bucket in set(only)]
-    if not state:
-        return None
-    by_batch: dict[int, list[int]] = {}
-    for row in state:
-        by_batch.setdefault(row.batch_id, []).append(row.bucket)
-    # Conditions on the folders' names: only these buckets are listed and read.
-    chosen = F.lit(False)
-    for batch_id, numbers in sorted(by_batch.items()):
-        chosen = chosen | ((F.col("batch_id") == batch_id) & F.col("_bucket").isin(numbers))
-    columns = T.StructType.fromJson(json.loads(state[0].columns)).add("batch_id", T.LongType())
-    return spark.read.schema(columns).parquet(f"{target}/rows").filter(chosen).drop("batch_id")
-
-
-def current_rows(spark: SparkSession, target: str) -> DataFrame:
+def landed_rows(spark: SparkSession, target: str) -> DataFrame:
+    """Everything that has landed, with the day."""
+    try:
+        return spark.read.parquet(target).drop(_LANDED)
+    except AnalysisException as nothing:
+        raise LookupError(f"nothing has landed in {target}") from nothing
+
+
+def current_rows(
+    spark: SparkSession, target: str, keys: Sequence[str] = KEYS, loaded_at: str = "_ingested_at"
+) -> DataFrame:
     """The landed table as of now: newest row per key over all batches."""
-    rows = _landed(spark, target)
-    if rows is None:
-        raise LookupError(f"nothing has landed in {target}")
-    return rows.drop("_bucket")
+    return newest_rows(landed_rows(spark, target).drop(_DAY), keys, loaded_at)

@@ -1,6 +1,7 @@
 """Column functions on hand-worked rows."""
 
 import datetime as dt
+from fractions import Fraction
 import math
 
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from seriesmill.functions import labels, numbers, periods, text
+from seriesmill.functions import labels, numbers, periods, sql, text
 
 
 def column(spark, values, kind="string"):
@@ -143,7 +144,9 @@ def test_exact_mean_ignores_order(spark, cents):
 def test_exact_sums(spark):
     """Digits beyond cents count, sums beyond 64 bits do not wrap, and the ANSI setting changes nothing."""
     cases = [([0.004, 0.004], 0.008), ([9e16, 9e16], 1.8e17), ([9e17] * 300, 2.7e20), ([1e-9, 1.0, -1.0], 1e-9),
-             ([1e30, 1.0], 1e30), ([float("inf"), 1.0], float("inf"))]
+             ([1e30, 1.0], 1e30), ([float("inf"), 1.0], float("inf")), ([1e-11, 1e-11], 2e-11), ([4e-11] * 10, 4e-10),
+             ([2e18, 2e18, 2e18], 6e18), ([1e20, 1.0, -1e20], 1.0), ([0.1] * 10, 1.0), ([1e-30] * 3, 3e-30),
+             ([1e28, 1e28, -2e28, 0.5], 0.5), ([0.01234567890123456, -0.01], 0.00234567890123456), ([1e300, 1e300], 2e300)]
     for ansi in ("true", "false"):
         spark.conf.set("spark.sql.ansi.enabled", ansi)
         try:
@@ -153,6 +156,18 @@ def test_exact_sums(spark):
             spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.floats(-1e24, 1e24, allow_subnormal=False) | st.floats(-1, 1, allow_subnormal=False), min_size=1, max_size=30))
+def test_sums_are_those_of_the_printed_values(spark, values):
+    """In any order and with stored parts in between, next to the sum of the decimals."""
+    whole = float(sum(Fraction(repr(v)) for v in values))
+    forth = column(spark, values, "double").repartition(3).agg(numbers.total(F.col("x"))).first()[0]
+    back = column(spark, values[::-1], "double").withColumn("g", F.col("x") > 0).groupBy("g")
+    back = back.agg(numbers.parts(F.col("x")).alias("p")).agg(numbers.from_parts(numbers.add_parts(F.col("p")))).first()[0]
+    assert forth == back
+    assert forth == pytest.approx(whole, rel=1e-15, abs=1e-34)
+
+
 def test_mean_of_nothing_is_null(spark):
     df = column(spark, [None], "double")
     assert df.agg(numbers.mean(F.col("x"))).first()[0] is None
@@ -220,3 +235,25 @@ def test_story_words(spark):
     assert evaluate(spark, [6.1, 4.4, 5.0], labels.labour_health, "double") == [
         "struggling", "performing well", "tracking close to the national average",
     ]
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    sql.register(spark)
+    names = ["2025Q4", "2025Q5", "2025M9", "2025M12", "2025M13", "2025M", "x", None, "20Q1"]
+    for kind in ("quarterly", "monthly"):
+        expected = evaluate(spark, names, lambda c: periods.period_to_date(c, kind))
+        assert evaluate(spark, names, lambda c: F.call_function("period_to_date", c, F.lit(kind))) == expected
+    pairs = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, None), (None, 2.0)], "a double, b double")
+    found = pairs.selectExpr("safe_divide(a, b)", "safe_divide(a, b, -1)")
+    assert rows_of(found) == rows_of(pairs.select(
+        numbers.safe_divide(F.col("a"), F.col("b")), numbers.safe_divide(F.col("a"), F.col("b"), -1)
+    ))
+
+
+def test_sql_table_functions(spark):
+    rows = [(dt.date(2025, 1, 1), 50.0), (dt.date(2025, 4, 1), 101.0), (dt.date(2025, 4, 1), 101.0), (None, None), (dt.date(2026, 1, 1), -1.0)]
+    spark.createDataFrame(rows, "period_start_date date, rate_pct double").createOrReplaceTempView("some_mart")
+    sql.register_checks(spark, "some_mart", "rate_pct")
+    assert sorted(rows_of(spark.sql("SELECT * FROM invalid_rates()"))) == [(-1.0, 1), (101.0, 2)]
+    assert rows_of(spark.sql("SELECT * FROM invalid_rates(-5, 100)")) == [(101.0, 2)]
+    assert rows_of(spark.sql("SELECT * FROM future_periods(DATE'2025-04-01')")) == [(dt.date(2026, 1, 1), 1)]

@@ -28,10 +28,19 @@ def brute_ranks(rows):
     return sorted(result)
 
 
-def ranked(spark, rows, cells):
+def ranked(spark, rows, ranges):
+    """Ranks by so many ranges of values."""
     df = spark.createDataFrame(rows, "id int, k string, v double")
-    out = windows.rank_rows(df, "k", "v", cells)
-    return sorted(rows_of(out, "id", "rank_highest", "rank_lowest", "percentile"))
+    settings = {"spark.sql.shuffle.partitions": str(ranges), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = windows.rank_rows(df, "k", "v")
+        return sorted(rows_of(out, "id", "rank_highest", "rank_lowest", "percentile"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_rank_rows_with_a_hot_key(spark):
@@ -47,6 +56,15 @@ def test_rank_rows_with_one_dense_place(spark):
     assert ranked(spark, rows, 32) == brute_ranks(rows)
 
 
+def test_ranges_hold_about_equally_many_values(spark, tmp_path, monkeypatch):
+    """One key with all rows, most of them within a hair of each other, is dealt out over all ranges."""
+    monkeypatch.setattr(windows, "scratch_path", lambda session, name: str(tmp_path / "ranges"))
+    rows = [(i, "hot", 1.0 + i * 1e-9) for i in range(4000)] + [(4000 + i, "hot", 1e6 * i) for i in range(20)]
+    ranked(spark, rows, 16)
+    sizes = [row["count"] for row in spark.read.parquet(str(tmp_path / "ranges")).groupBy("_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * sum(sizes) / 16
+
+
 def test_rank_rows_with_extreme_values(spark):
     inf = float("inf")
     values = [-inf, -1e300, -1.0, 0.0, 1e300, inf, float("nan")]
@@ -108,6 +126,24 @@ def test_year_ago_of_leap_days(spark):
 def test_latest_period_is_not_the_latest_text(spark):
     df = spark.createDataFrame([("2025M9",), ("2025M12",), ("2024Q4",), ("unknown",)], "period string")
     assert rows_of(joins.at_latest_period(df)) == [("2025M12",)]
+    for labels, newest in (
+        (["2026.03", "2025.12", "2026.1", None], "2026.03"),
+        (["2025.09", "2025.12", "2025M11"], "2025.12"),
+        (["b", "a", None], "b"),
+        (["zzz", "1999Q1"], "1999Q1"),
+    ):
+        some = spark.createDataFrame([(p,) for p in labels], "period string")
+        assert rows_of(joins.at_latest_period(some)) == [(newest,)]
+        stored = some.withColumn("period_year", F.left("period", F.lit(4)).try_cast("int"))
+        assert [r[0] for r in rows_of(joins.at_latest_period(stored))] == [newest]
+
+
+def test_latest_row_follows_time_and_not_text(spark):
+    rows = [("a", "2025M9", 1.0), ("a", "2025M12", 2.0), ("b", "2026.03", 3.0), ("b", "2025.12", 4.0), ("c", None, 5.0), ("c", "x", 6.0)]
+    df = spark.createDataFrame(rows, "k string, p string, v double")
+    assert sorted(rows_of(windows.latest_and_previous(df, "k", "p", "v"))) == [
+        ("a", "2025M12", 2.0, 1.0), ("b", "2026.03", 3.0, 4.0), ("c", "x", 6.0, 5.0),
+    ]
 
 
 def test_pivot_keeps_maxima(spark):
@@ -277,3 +313,38 @@ def test_summary_keeps_equal_lines(spark):
     df = spark.createDataFrame([("2025Q1", dt.datetime(2025, 1, 1))], "period string, _ingested_at timestamp_ntz")
     lines = snapshots.summary({"now": df, "then": df, "never": df.filter("false")})
     assert sorted(rows_of(lines, "snapshot", "row_count")) == [("never", 0), ("now", 1), ("then", 1)]
+
+
+def bucketed_versions(spark, tmp_path, versions):
+    from seriesmill.sources.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    shape = "series_reference string, period string, data_value double"
+    frames = [spark.createDataFrame(rows, shape) for rows in versions]
+    for name, df in zip(("current", "previous"), frames):
+        store.write_bucketed(df, name, ["series_reference", "period"], 4)
+    return frames, snapshots.diff_of_buckets(store.bucketed("current"), store.bucketed("previous"))
+
+
+def test_diff_of_buckets_equals_the_diff(spark, tmp_path):
+    random.seed(9)
+    new = [(f"S{i}", "2025Q1", random.choice([1.0, 2.0, None])) for i in range(200)]
+    old = [(f"S{i}", "2025Q1", random.choice([1.0, 2.0, None])) for i in range(100, 300)]
+    new += [(None, "2025Q1", 1.0), ("S1", None, None), (None, None, 2.0)]
+    old += [(None, "2025Q1", 1.0)] * 3
+    (current, previous), found = bucketed_versions(spark, tmp_path, (new, old))
+    expected = snapshots.diff(current, previous)
+    order = lambda row: tuple((v is None, v) for v in row)
+    assert sorted(rows_of(found), key=order) == sorted(rows_of(expected), key=order)
+    assert {row[-1] for row in rows_of(found)} == {"NEW ROW", "ROW DELETED", "VALUE CHANGED"}
+
+
+def test_diff_of_buckets_moves_no_row(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, found = bucketed_versions(spark, tmp_path, ([("S1", "2025Q1", 1.0)], [("S1", "2025Q1", 2.0)]))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "FullOuter" in plan and "Exchange" not in plan and "Bucketed: true" in plan
