@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from seriesmill.llm import words
-from seriesmill.llm.scratch import map_batches, stored, wrapped
+from seriesmill.llm.scratch import map_batches, sent_if_small, stored, wrapped
 
 #: Rules within a text: fewest words, words of a repeated window, and the percentage of
 #: the text that such windows may cover.
@@ -205,12 +205,12 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     texts and repeated rows are as in `judge`.
 
     The rejected ids are the smaller side of the join, so texts stay where they are
-    wherever Spark finds them small enough to send to the tasks.
+    if there are few enough of them to send to the tasks.
     """
     listed = boilerplate(docs, host)
     ids = _judged(docs, listed, host).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     bad = stored(ids.where("not kept").select(F.col("doc_id").alias("_bad")), "rejected")
-    good = wrapped(docs.join(bad, docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti"))
+    good = wrapped(docs.join(sent_if_small(bad), docs.doc_id.eqNullSafe(bad["_bad"]), "left_anti"))
     row = F.col("row")
     rows = _with_boilerplate(good, listed, _host_key(row[host]))
     clean = _cleaned(row["text"].cast("string"), F.col("_lines"))

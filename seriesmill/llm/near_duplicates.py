@@ -375,11 +375,11 @@ def without_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     judged = stored(near_duplicates(docs, width, percent).groupBy("doc_id").agg(
         F.max("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias("several")
     ), "kept-documents")
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone"))
-    left = docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti")
-    several = judged.where("kept and several").select(F.col("doc_id").alias("_several"))
+    gone = stored(judged.where("not kept").select(F.col("doc_id").alias("_gone")), "gone")
+    left = docs.join(sent_if_small(gone), docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti")
+    several = stored(judged.where("kept and several").select(F.col("doc_id").alias("_several")), "several")
     if several.isEmpty():
         return left
     # Only rows whose doc_id occurs again are compared as a whole.
-    again = left.doc_id.eqNullSafe(several["_several"])
+    again, several = left.doc_id.eqNullSafe(several["_several"]), sent_if_small(several)
     return left.join(several, again, "left_anti").unionByName(left.join(several, again, "left_semi").distinct())
