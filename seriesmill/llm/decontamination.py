@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.scratch import stored
+from seriesmill.llm.scratch import sent_if_small, stored
 
 #: Words of a shingle and the percentage of an item's shingles that a document must hold.
 WIDTH, PERCENT = 5, 80
@@ -48,23 +49,26 @@ def _shingles(tokens: str, width: int) -> Column:
 
 
 def item_sketches(items: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(item_id, size, shingles, sketch): a bottom-k MinHash sketch whose k follows from the item's size.
+    """(item_id, size, width, shingles, sketch): a bottom-k MinHash sketch whose k follows from the item's size.
 
     An item of q shingles may miss q - ceil(percent q / 100) of them. A sketch of one
     more shingle than that shares at least one with every document that contains enough
     of the item: no match is lost, and the sketch is a small part of the item. Items of
     up to 15, 31, 63, ... shingles form the partitions `size_class`, each with the k of
-    its largest size.
+    its largest size. An item of fewer words than a shingle is one shingle of its own
+    `width`, all of which a document must hold.
     """
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), _tokens("text").alias("tokens"))
-    rows = rows.withColumn("shingles", _shingles("tokens", width)).where(F.size("shingles") > 0)
-    rows = rows.withColumn("size", F.size("shingles"))
+    n = F.size("tokens")
+    of_width = [rows.where(n == w if w < width else n >= w).withColumns(
+        {"width": F.lit(w), "shingles": _shingles("tokens", w), "hashes": F.array_sort(_hashes("tokens", w))}
+    ) for w in range(1, width + 1)]
+    rows = reduce(DataFrame.unionByName, of_width).withColumn("size", F.size("shingles"))
     size_class = F.floor(F.log2(F.col("size"))).cast("int")
     largest = F.least(F.pow(F.lit(2), size_class + 1).cast("int") - 1, F.col("size") * 2)
     k = largest - F.ceil(largest * percent / 100.0).cast("int") + 1
-    hashes = F.array_sort(_hashes("tokens", width))
     return rows.select(
-        "item_id", "size", "shingles", size_class.alias("size_class"), F.slice(hashes, F.lit(1), k).alias("sketch")
+        "item_id", "size", "width", "shingles", size_class.alias("size_class"), F.slice("hashes", F.lit(1), k).alias("sketch")
     )
 
 
@@ -72,33 +76,42 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent:
     """(doc_id, item_id, shared, size): the items of which a document holds `percent` of the shingles.
 
     Shingles are runs of `width` words; words are lower-cased and without punctuation,
-    so line breaks and marks do not hide a passage. Candidates come from the sketches:
-    of a document's shingle hashes only those up to the largest hash in any sketch
-    (sketches hold the smallest ones) are looked up, once each. Then the full sets of
-    the candidates are compared as texts. Shingles are made inside the scan; the lookup
-    table is broadcast only where Spark finds its stored size below the session's limit.
-
-    Null and short texts (fewer words than a shingle) match nothing, on either side. An
-    item or document that occurs twice with one id is matched if any of its texts is;
-    `shared` is then the largest count. Null ids are ids. Empty tables give no rows, and
-    other columns are ignored.
+    so line breaks and marks do not hide a passage. An item of fewer words is one run of
+    its own length, and documents are cut into runs of each length that items have.
+    Candidates come from the sketches: of a document's shingle hashes only those up to
+    the largest hash in any sketch of the length (sketches hold the smallest ones) are
+    looked up, once each. Then the full sets of the candidates are compared as texts.
+    Shingles are made inside the scan; the lookup table is broadcast only where Spark
+    finds its stored size below the session's limit.
+
+    Null texts and texts without words match nothing, on either side. An item or
+    document that occurs twice with one id is matched if any of its texts is; `shared`
+    is then the largest count. Null ids are ids. Empty tables give no rows, and other
+    columns are ignored.
     """
     sketches = stored(item_sketches(items, width, percent), "item-sketches")
-    index = sketches.select(F.explode("sketch").alias("hash"), "item_id").distinct()
+    index = sketches.select("width", F.explode("sketch").alias("hash"), "item_id").distinct()
     index = stored(index, "sketch-index")
-    top = index.agg(F.max("hash")).first()[0]
+    tops = {row["width"]: row["top"] for row in index.groupBy("width").agg(F.max("hash").alias("top")).collect()}
+    tops = tops or {width: -(1 << 63)}  # a row for each length, of which there are `width` at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hashed = texts.select("doc_id", _tokens("text").alias("tokens")).select("doc_id", _hashes("tokens", width).alias("hashes"))
-    low = F.filter("hashes", lambda h: h <= F.lit(top if top is not None else -(1 << 63)))
-    seeds = hashed.select("doc_id", F.explode(low).alias("hash"))
-    candidates = stored(seeds.join(index, "hash").select("doc_id", "item_id").distinct(), "leak-candidates")
+    tokens = texts.select("doc_id", _tokens("text").alias("tokens"))
+
+    def low(w: int, top: int) -> Column:
+        kept = F.filter(_hashes("tokens", w), lambda h: h <= F.lit(top))
+        return F.transform(kept, lambda h: F.struct(F.lit(w).alias("width"), h.alias("hash")))
+
+    seeds = tokens.select("doc_id", F.explode(F.concat(*[low(w, top) for w, top in sorted(tops.items())])).alias("s"))
+    seeds = seeds.select("doc_id", "s.*")
+    candidates = stored(seeds.join(index, ["width", "hash"]).select("doc_id", "item_id").distinct(), "leak-candidates")
 
     pairs = candidates.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"))
-    items_of = sketches.select("item_id", "size", F.col("shingles").alias("of_item"))
+    items_of = sketches.select("item_id", "size", "width", F.col("shingles").alias("of_item"))
     both = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("_doc")))
     both = both.join(items_of, F.col("_item").eqNullSafe(F.col("item_id")))
     both = both.withColumn("tokens", _tokens("text"))
-    shared = F.size(F.array_intersect(_shingles("tokens", width), F.col("of_item")))
+    own = reduce(lambda other, w: F.when(F.col("width") == w, _shingles("tokens", w)).otherwise(other), sorted(tops), F.lit(None))
+    shared = F.size(F.array_intersect(own, F.col("of_item")))
     both = both.select("doc_id", "item_id", shared.alias("shared"), "size")
     both = both.where(F.col("shared") * 100 >= F.col("size") * percent)
     return both.groupBy("doc_id", "item_id").agg(
@@ -110,4 +123,4 @@ def without_leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent
     """The documents that contain no test item; a document with a null id is judged with all null ids."""
     leaks = contaminated(docs, items, width, percent).select(F.col("doc_id").alias("_leak")).distinct()
     leaks = stored(leaks, "leaks")
-    return docs.join(leaks, docs.doc_id.eqNullSafe(leaks["_leak"]), "left_anti")
+    return docs.join(sent_if_small(leaks), docs.doc_id.eqNullSafe(leaks["_leak"]), "left_anti")

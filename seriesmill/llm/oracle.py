@@ -9,20 +9,21 @@ from seriesmill.llm.words import WORD
 
 DECONTAMINATION = f"""
 WITH item AS (
-  SELECT item_id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM benchmark
+  SELECT item_id, w, least({WIDTH}, len(w)) AS width FROM (SELECT item_id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM benchmark)
+  WHERE len(w) > 0
 ), item_shingle AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + {WIDTH - 1}], ' ') AS s
-  FROM item, LATERAL (SELECT unnest(range(1, len(w) - {WIDTH - 2})) AS i)
+  SELECT DISTINCT item_id, width, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM item, LATERAL (SELECT unnest(range(1, len(w) - width + 2)) AS i)
 ), doc AS (
-  SELECT doc_id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(lower(text), '{TOKEN}') AS w, width FROM documents, (SELECT DISTINCT width FROM item)
 ), doc_shingle AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + {WIDTH - 1}], ' ') AS s
-  FROM doc, LATERAL (SELECT unnest(range(1, len(w) - {WIDTH - 2})) AS i)
+  SELECT DISTINCT doc_id, width, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM doc, LATERAL (SELECT unnest(range(1, len(w) - width + 2)) AS i)
 ), size AS (
   SELECT item_id, count(*) AS size FROM item_shingle GROUP BY ALL
 )
 SELECT doc_id, item_id, count(*) AS shared, any_value(size) AS size
-FROM doc_shingle JOIN item_shingle USING (s) JOIN size USING (item_id)
+FROM doc_shingle JOIN item_shingle USING (width, s) JOIN size USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= {PERCENT} * any_value(size)
 """
 

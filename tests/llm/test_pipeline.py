@@ -70,6 +70,31 @@ def test_run_equals_its_stages(spark, documents, tmp_path):
     assert whole.agg(F.sum("n_tokens"), F.count("slot")).first() == by_hand.agg(F.sum("n_tokens"), F.count("slot")).first()
 
 
+#: Names of helper columns anywhere in the operators of the stages.
+INTERNAL = (
+    "row _lines _host_key _clean _bad host lines removed kept line document holders _copies _doc_id _copy cut epochs of_source key size "
+    "source_size target taken before last _cell0 _total _start _gone _several digest digest2 bands sketch component component_id rep hub "
+    "n_shingles shingles _leak _doc _item item_id shared tokens hashes width hash part start base at sequence shard slot piece begin n_tokens col"
+)
+
+
+def test_stages_carry_columns_of_any_name(spark, documents, tmp_path):
+    """Extra columns with the names of helper columns come through every stage unchanged."""
+    rng = random.Random(41)
+    line = prose(rng, 12)
+    rows = [(k, f"{prose(rng, 40)}\n{line}", f"s{k % 2}") for k in range(60)] + [(70, prose(rng, 60), None)]
+    docs = documents(rows, INTERNAL)
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert found and all(getattr(r, "_lines") == str(r.doc_id) and r["row"] == str(r.doc_id) and r["size"] == str(r.doc_id) for r in found), name
+        docs = spark.createDataFrame(found, docs.schema)
+    assert not any(line in r.text for r in found)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
+
+
 def test_near_dedup_of_the_small_table(spark):
     """One document of each exact five-word group stays."""
     from test_near_duplicates import brute_force

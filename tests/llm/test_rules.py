@@ -196,6 +196,24 @@ def test_leaks(spark, documents):
     assert contaminated(documents([]), table).count() == contaminated(documents(rows), table.where("false")).count() == 0
 
 
+def test_short_items_are_found_as_a_whole(spark, documents):
+    """Items of one to four words match documents that hold these words in a row."""
+    items = [(1, "Capital of France"), (2, "zebra"), (3, "four words stand here"), (4, "one, two"), (5, "a longer item of seven words here"), (6, "...")]
+    rows = [
+        (1, "What is the capital\nof France? Paris."), (2, "the capital city of France"), (3, "A Zebra, and zebras"), (4, "zebras only"),
+        (5, "here: four words stand. Here"), (6, "four words stand there"), (7, "ONE - TWO"), (8, "two one"), (9, "a longer item of seven words here"),
+        (10, "one"), (11, None), (12, ""),
+    ]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = contaminated(documents(rows, "width hash"), table)
+    assert rows_of(found, "doc_id", "item_id", "shared", "size") == [
+        (1, 1, 1, 1), (3, 2, 1, 1), (5, 3, 1, 1), (7, 4, 1, 1), (9, 5, 3, 3),
+    ]
+    few = table.where("item_id = 2")
+    assert sorted(r.doc_id for r in contaminated(documents(rows), few).collect()) == [3]
+    assert sorted(r.doc_id for r in without_leaks(documents(rows), table).collect()) == [2, 4, 6, 8, 10, 11, 12]
+
+
 def test_sketch_cannot_miss(spark):
     """An item may lose a fifth of its shingles, and its sketch still keeps one of the rest."""
     items = spark.createDataFrame([(n, prose(random.Random(n), n + 4)) for n in range(1, 130)], "item_id long, text string")
