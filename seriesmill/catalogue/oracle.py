@@ -924,15 +924,14 @@ def oracle_sql() -> dict[str, str]:
     q["snapshot_diff_bucketed"] = q["snapshot_diff"]
     q["global_summary_stored"] = q["global_summary"]
     q["dq_freshness_stored"] = f"SELECT * FROM ({q['dq_freshness']}) WHERE table_name <> 'events'"
-    q["sql_macros"] = """WITH m AS (SELECT * FROM mart_regional )
-    SELECT year_quarter_label, region, period_start_date AS starts, CAST(period_start_date + INTERVAL 2 MONTH AS DATE) AS last_month,
+    q["sql_macros"] = """SELECT year_quarter_label, region, period_start_date AS starts, CAST(period_start_date + INTERVAL 2 MONTH AS DATE) AS last_month,
       coalesce(unemployment_rate_pct / nullif(employment_rate_pct, 0),
         CASE WHEN employment_rate_pct IS NULL OR employment_rate_pct = 0 THEN -1.0 END) AS share,
       CASE WHEN employment_rate_pct < 2 OR employment_rate_pct > 4
-        THEN (SELECT count(*) FROM m o WHERE o.employment_rate_pct = m.employment_rate_pct) END AS failing_rows,
+        THEN (SELECT count(*) FROM mart_regional o WHERE o.employment_rate_pct = m.employment_rate_pct) END AS failing_rows,
       CASE WHEN period_start_date > DATE '1998-01-01'
-        THEN (SELECT count(*) FROM m o WHERE o.period_start_date = m.period_start_date) END AS future_rows
-    FROM m"""
+        THEN (SELECT count(*) FROM mart_regional o WHERE o.period_start_date = m.period_start_date) END AS future_rows
+    FROM mart_regional m"""
     q["rebuilt_year"] = """SELECT CAST(year(period_start_date) AS INTEGER) AS period_year, CAST(count(wage_nzd) AS BIGINT) AS wages
     FROM stg_wages WHERE year(period_start_date) = 1997 OR series_reference LIKE '%.1' GROUP BY 1"""
 

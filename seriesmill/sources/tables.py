@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyarrow.fs import FileType
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from seriesmill.functions import periods
 from seriesmill.operators import policies, quality, snapshots
 from seriesmill.session import scratch_path
 from seriesmill.sources import normalise
+from seriesmill.sources.archives import locate
 
 log = logging.getLogger(__name__)
 
@@ -97,9 +99,12 @@ class TableStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
         if self.spark.catalog.tableExists(f"{self.database}.{name}"):
             return True
+        storage, folder = locate(f"{self.root}/{name}")
+        if storage.get_file_info(folder).type != FileType.Directory:
+            return False
         try:
             columns = self.spark.read.parquet(f"{self.root}/{name}").columns
-        except AnalysisException:  # no folder, or no file in it
+        except AnalysisException:  # no file in it
             return False
         self.spark.sql(f"CREATE TABLE {self.full_name(name)} USING parquet LOCATION '{self.root}/{name}'")
         if {LOAD, YEAR} & set(columns):
