@@ -4,12 +4,14 @@ import random
 
 import compare
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from llm_helpers import SMALL, prose
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from seriesmill.llm import catalogue, near_duplicates
+from seriesmill import session
+from seriesmill.llm import catalogue, near_duplicates, scratch
 
 ORACLES = catalogue.oracle_sql()
 
@@ -95,6 +97,18 @@ def test_stages_carry_columns_of_any_name(spark, documents, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
 
 
+def test_long_texts_reach_python_in_small_batches(spark, documents):
+    """Thirty MB of texts in one partition are many batches, and all rows of them."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    texts = documents([(k, "text") for k in range(300)]).coalesce(1).select(F.repeat("text", 25_000).alias("text"))
+    found = scratch.map_batches(texts, sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in found) == 300
+    assert max(r.bytes for r in found) < 2 * session.BATCH_BYTES
+
+
 def test_near_dedup_of_the_small_table(spark):
     """One document of each exact five-word group stays."""
     from test_near_duplicates import brute_force
